@@ -1,15 +1,34 @@
-"""Registry of every query / operator key: ``name -> fn(Workspace) -> DataFrame``."""
+"""Registry of every query / operator key: ``name -> fn(Workspace) -> DataFrame``.
+
+Each key is one operator (or pipeline) of the inventory applied to the derived
+bronze inputs or to the driver tables; the matching DuckDB SQL lives in
+``sql_oracles.py`` under the same key.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-
+from pyspark.sql import functions as F
+
+from ..functions.expr import segment_key
+from ..operators import clean as C
+from ..operators import enrich as J
+from ..operators import metrics as M
+from ..operators import profile as P
+from . import dashboard as D
+from . import gold as G
+from .silver import CUSTOMER, CUSTOMER_RENAMES, LINEITEM, PRODUCT, PRODUCT_RENAMES, SALES
 from .workspace import Workspace
 
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {}
 
+# Parameters of the registered queries (the oracle SQL uses the same literals).
+AS_OF = "2025-01-01"                       # "today" for future-date checks; current_date() would rot
+COUNTRY_SELECTION = ["United States", "Germany", "Unknown"]
+GENDER_SELECTION = ["Female"]
+
 
 def query(name: str):
     def deco(fn):
@@ -18,27 +37,193 @@ def query(name: str):
     return deco
 
 
-# ---------------------------------------------------------------- pipelines
-@query("silver_customer")
-def _silver_customer(ws: Workspace) -> DataFrame:
-    return ws.silver_cust
-
-
-@query("silver_product")
-def _silver_product(ws: Workspace) -> DataFrame:
-    return ws.silver_prd
-
-
-@query("silver_sales")
-def _silver_sales(ws: Workspace) -> DataFrame:
-    return ws.silver_sls
-
-
-@query("gold_customer_enriched")
-def _gold_customer(ws: Workspace) -> DataFrame:
-    return ws.gold_cust
-
-
-@query("gold_sales_denormalized")
-def _gold_sales(ws: Workspace) -> DataFrame:
-    return ws.gold_sales
+def _q(name: str, fn: Callable[[Workspace], DataFrame]) -> None:
+    QUERIES[name] = fn
+
+
+# ---------------------------------------------------------------- helpers
+def _cust_trim(ws: Workspace) -> DataFrame:
+    return C.trim_strings(ws.bronze_cust)
+
+
+def _prd_trim(ws: Workspace) -> DataFrame:
+    return C.trim_strings(ws.bronze_prd)
+
+
+def _cust_dedup_keep_null(ws: Workspace) -> DataFrame:
+    return C.dedupe_latest(_cust_trim(ws), CUSTOMER.key, CUSTOMER.order_col, keep_null_keys=True)
+
+
+def _prd_dedup(ws: Workspace) -> DataFrame:
+    return C.dedupe_latest(_prd_trim(ws), PRODUCT.key, PRODUCT.order_col)
+
+
+def _cust_filled(ws: Workspace) -> DataFrame:
+    return C.fill_nulls(C.drop_null_key(_cust_dedup_keep_null(ws), CUSTOMER.key), dict(CUSTOMER.fills))
+
+
+# ---------------------------------------------------------------- profiling
+_q("profile_customer", lambda ws: P.profile(ws.bronze_cust))
+_q("profile_product", lambda ws: P.profile(ws.bronze_prd))
+_q("profile_sales", lambda ws: P.profile(ws.bronze_sales))
+_q("profile_long_customer", lambda ws: P.profile_long(ws.bronze_cust))
+_q("dup_check_customer", lambda ws: P.duplicate_check(
+    ws.bronze_cust, {"cst_id duplicates": "cst_id", "cst_key duplicates": "cst_key"}))
+_q("dup_check_product", lambda ws: P.duplicate_check(
+    ws.bronze_prd, {"prd_id duplicates": "prd_id", "prd_key duplicates": "prd_key"}))
+_q("dup_check_lineitem", lambda ws: P.duplicate_check(
+    ws.lineitem, {"l_orderkey, l_linenumber duplicates": list(LINEITEM.key)}))
+_q("category_dist_customer", lambda ws: P.category_distribution(ws.bronze_cust, list(CUSTOMER.categorical)))
+_q("category_dist_product", lambda ws: P.category_distribution(ws.bronze_prd, list(PRODUCT.categorical)))
+_q("date_range_customer", lambda ws: P.date_profile(ws.bronze_cust, "cst_create_date", as_of=AS_OF))
+_q("date_range_product", lambda ws: P.date_profile(ws.bronze_prd, "prd_start_dt", as_of=AS_OF, end_col="prd_end_dt"))
+_q("end_before_start_rows", lambda ws: C.date_order_violations(ws.bronze_prd, "prd_start_dt", "prd_end_dt", order_by="prd_id"))
+_q("rows_with_whitespace", lambda ws: C.rows_with_whitespace(ws.bronze_cust).select(
+    "cst_id", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr"))
+_q("verify_no_whitespace", lambda ws: P.whitespace_rows_count(_cust_trim(ws)))
+_q("duplicate_rows_customer", lambda ws: P.duplicate_rows(_cust_trim(ws), "cst_id", ["cst_id", "cst_create_date"]))
+_q("duplicate_rows_product", lambda ws: P.duplicate_rows(_prd_trim(ws), "prd_id", ["prd_id", "prd_start_dt"]))
+_q("dup_summary", lambda ws: P.dup_summary(_cust_trim(ws), "cst_id"))
+_q("duplicate_column_diff", lambda ws: P.duplicate_column_diff(_cust_trim(ws), "cst_id"))
+_q("null_summary", lambda ws: P.null_summary(_cust_dedup_keep_null(ws)))
+_q("null_summary_silver_product", lambda ws: P.null_summary(ws.silver_prd))
+_q("verify_no_dups", lambda ws: P.duplicate_check(ws.silver_cust, {"customer_id duplicates": "customer_id"}))
+_q("sample_customer", lambda ws: ws.bronze_cust.orderBy(
+    *[F.col(c).asc_nulls_last() for c in ws.bronze_cust.columns]).limit(20))
+
+# ---------------------------------------------------------------- cleaning
+_q("trim_strings", _cust_trim)
+_q("null_count_score", lambda ws: C.with_null_count(_cust_trim(ws), [c for c in ws.bronze_cust.columns if c != "cst_id"]))
+_q("dedupe_customer", lambda ws: C.dedupe_latest(_cust_trim(ws), CUSTOMER.key, CUSTOMER.order_col))
+_q("dedupe_keep_null_keys", _cust_dedup_keep_null)
+_q("dedupe_product", _prd_dedup)
+_q("dedupe_sales", lambda ws: C.dedupe_latest(C.trim_strings(ws.bronze_sales), SALES.key, SALES.order_col))
+_q("dedupe_lineitem", lambda ws: C.dedupe_latest(ws.lineitem, LINEITEM.key, LINEITEM.order_col))
+_q("null_key_rows", lambda ws: C.null_key_rows(_cust_trim(ws), CUSTOMER.key))
+_q("null_rows_by_column", lambda ws: _cust_dedup_keep_null(ws).where(F.col("cst_lastname").isNull()))
+_q("null_overlap", lambda ws: _cust_dedup_keep_null(ws).where(
+    F.col("cst_id").isNull() & F.col("cst_create_date").isNull()))
+_q("drop_null_key", lambda ws: C.drop_null_key(_cust_dedup_keep_null(ws), CUSTOMER.key))
+_q("fill_gender", _cust_filled)
+_q("fill_product", lambda ws: C.fill_nulls(_prd_dedup(ws), dict(PRODUCT.fills)))
+_q("std_marital", lambda ws: C.recode(_cust_filled(ws), {"cst_marital_status": dict(CUSTOMER.recodes)["cst_marital_status"]}))
+_q("std_gender", lambda ws: C.recode(_cust_filled(ws), {"cst_gndr": dict(CUSTOMER.recodes)["cst_gndr"]}))
+_q("std_product_line", lambda ws: C.recode(C.fill_nulls(_prd_dedup(ws), dict(PRODUCT.fills)), dict(PRODUCT.recodes)))
+_q("rename_customer", lambda ws: C.rename(ws.bronze_cust, dict(CUSTOMER_RENAMES)))
+_q("rename_product", lambda ws: C.rename(ws.bronze_prd, dict(PRODUCT_RENAMES)))
+
+
+@query("dedupe_audit")
+def _dedupe_audit(ws: Workspace) -> DataFrame:
+    """Rows before / after / removed by the customer dedupe (NULL keys kept), from one pass."""
+    a = P.key_audit(_cust_trim(ws), CUSTOMER.key)
+    after = F.col("distinct_keys") + F.col("null_key_rows")
+    return a.select(F.col("rows_in").alias("rows_before"), after.alias("rows_after"),
+                    (F.col("rows_in") - after).alias("rows_removed"))
+
+
+@query("pipeline_audit")
+def _pipeline_audit(ws: Workspace) -> DataFrame:
+    """Per entity: rows in, duplicates removed, NULL-key rows dropped, rows out (one pass each)."""
+    out = None
+    for spec, df in ((CUSTOMER, ws.bronze_cust), (PRODUCT, ws.bronze_prd), (SALES, ws.bronze_sales)):
+        a = P.key_audit(df, spec.key).select(
+            F.lit(spec.name).alias("entity"), "rows_in",
+            (F.col("rows_in") - F.col("null_key_rows") - F.col("distinct_keys")).alias("duplicates_removed"),
+            F.col("null_key_rows").alias("null_keys_dropped"), F.col("distinct_keys").alias("rows_out"))
+        out = a if out is None else out.unionByName(a)
+    return out
+
+
+# ---------------------------------------------------------------- silver pipelines
+_q("silver_customer", lambda ws: ws.silver_cust)
+_q("silver_product", lambda ws: ws.silver_prd)
+_q("silver_sales", lambda ws: ws.silver_sls)
+
+# ---------------------------------------------------------------- ERP cleaning and joins
+_q("erp_cust_clean", lambda ws: G.erp_cust_clean(ws.erp_cust))
+_q("erp_loc_clean", lambda ws: G.erp_loc_clean(ws.erp_loc))
+_q("erp_cat_clean", lambda ws: G.erp_cat_clean(ws.erp_cat))
+_q("std_country", lambda ws: G.std_country(G.erp_loc_clean(ws.erp_loc)))
+_q("std_erp_gender", lambda ws: G.std_erp_gender(G.erp_cust_clean(ws.erp_cust)))
+_q("join_erp_customer", lambda ws: G.join_erp_customer(ws.silver_cust, ws.erp_cust))
+_q("join_erp_location", lambda ws: G.join_erp_location(ws.silver_cust, ws.erp_loc))
+_q("unmatched_erp_customers", lambda ws: J.unmatched(
+    ws.silver_cust, G.erp_cust_clean(ws.erp_cust), "erp_cust_cid",
+    left_key=G.derived_key(G.CUST_KEY_PREFIX, "customer_key", G.CUST_KEY_FROM)))
+
+
+@query("join_product_master")
+def _join_product_master(ws: Workspace) -> DataFrame:
+    sls, prd = ws.silver_sls.alias("sls"), ws.silver_prd.alias("prd")
+    j = sls.join(prd, on="product_id", how="left")
+    return j.select("product_id", *[F.col(f"sls.{c}").alias(c) for c in ws.silver_sls.columns if c != "product_id"],
+                    *[F.col(f"prd.{c}").alias(f"master_{c}") for c in ws.silver_prd.columns if c != "product_id"])
+
+
+@query("join_category")
+def _join_category(ws: Workspace) -> DataFrame:
+    return J.enrich(ws.silver_sls, G.erp_cat_clean(ws.erp_cat), "category_id",
+                    left_key=segment_key("product_key"), broadcast_max_rows=J.DEFAULT_BROADCAST_MAX_ROWS)
+
+
+@query("gender_fallback")
+def _gender_fallback(ws: Workspace) -> DataFrame:
+    j = G.std_erp_gender(G.join_erp_customer(ws.silver_cust, ws.erp_cust))
+    j = j.withColumn("crm_gender", F.col("gender"))
+    return J.fallback(j, "gender", "erp_gender_clean").select("customer_id", "crm_gender", "erp_gender_clean", "gender")
+
+
+# ---------------------------------------------------------------- gold
+_q("gold_customer_enriched", lambda ws: ws.gold_cust)
+_q("gold_sales_denormalized", lambda ws: ws.gold_sales)
+_q("coverage_customer", lambda ws: J.coverage(ws.gold_cust, ["country", "birth_date"]))
+_q("coverage_category", lambda ws: J.coverage(ws.gold_sales, ["category"]))
+_q("dist_gold_country", lambda ws: P.value_counts(ws.gold_cust, "country"))
+_q("dist_gold_gender", lambda ws: P.value_counts(ws.gold_cust, "gender"))
+_q("dist_gold_line", lambda ws: P.value_counts(ws.gold_sales, "product_line"))
+_q("dist_gold_category", lambda ws: P.value_counts(ws.gold_sales, "category"))
+
+
+@query("gold_verification")
+def _gold_verification(ws: Workspace) -> DataFrame:
+    c = ws.gold_cust.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("gold_customer_enriched").alias("table_name"), "row_count")
+    s = ws.gold_sales.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit("gold_sales_denormalized").alias("table_name"), "row_count")
+    return c.unionByName(s)
+
+
+# ---------------------------------------------------------------- dashboard
+def _cust(ws: Workspace) -> DataFrame:
+    return D.gold_customers_dataset(ws.gold_cust)
+
+
+def _prod(ws: Workspace) -> DataFrame:
+    return D.gold_products_dataset(ws.gold_sales)
+
+
+_q("ds_gold_customers", _cust)
+_q("ds_gold_products", _prod)
+_q("kpi_total_customers", lambda ws: M.kpi(_cust(ws), {"total_customers": F.count("customer_id")}))
+_q("kpi_total_products", lambda ws: M.kpi(_prod(ws), {"total_products": F.count("product_id")}))
+_q("kpi_product_categories", lambda ws: M.kpi(_prod(ws), {"product_categories": F.count_distinct("category")}))
+_q("kpi_countries_covered", lambda ws: M.kpi(_cust(ws), {"countries_covered": F.count_distinct("country")},
+                                             where=F.col("country") != F.lit(D.UNKNOWN)))
+_q("kpi_average_cost", lambda ws: M.kpi(_prod(ws), {"average_cost": F.avg("cost")}))
+_q("customers_by_country", lambda ws: M.group_count(_cust(ws), "country", "customer_id", "customer_count"))
+_q("customers_by_gender", lambda ws: M.group_count(_cust(ws), "gender", "customer_id", "customer_count"))
+_q("customers_by_marital", lambda ws: M.group_count(_cust(ws), "marital_status", "customer_id", "customer_count"))
+_q("products_by_category", lambda ws: M.group_count(_prod(ws), "category", "product_id", "product_count"))
+_q("products_by_line", lambda ws: M.group_count(_prod(ws), "product_line", "product_id", "product_count"))
+_q("products_by_subcategory", lambda ws: M.group_count(_prod(ws), "subcategory", "product_id", "product_count"))
+_q("products_by_maintenance", lambda ws: M.group_count(_prod(ws), "maintenance_required", "product_id", "product_count"))
+_q("customer_detail", lambda ws: M.detail(_cust(ws), G.GOLD_CUSTOMER_COLUMNS))
+_q("product_detail", lambda ws: M.detail(_prod(ws), D.PRODUCT_DETAIL_COLUMNS))
+_q("customers_filtered", lambda ws: M.filtered(_cust(ws), {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}))
+_q("filter_values_country", lambda ws: M.filter_values(_cust(ws), "country", {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}))
+_q("filter_values_gender", lambda ws: M.filter_values(_cust(ws), "gender", {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}))
+_q("top10_products_by_cost", lambda ws: M.top_k(
+    _prod(ws), [F.col("cost").desc_nulls_last(), F.col("product_id").asc_nulls_last()], 10,
+    ["product_id", "product_key", "product_name", "cost", "category"]))
+_q("dq_checks_gold", lambda ws: D.dq_checks_gold(ws.gold_cust, ws.gold_sales, AS_OF))
