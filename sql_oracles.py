@@ -368,3 +368,30 @@ def _dq_oracle() -> str:
 
 
 oracle("dq_checks_gold", _dq_oracle())
+
+# ------------------------------------------------------------------ sources, sinks, catalog (round trips)
+oracle("ingest_csv", "SELECT * FROM fx_cust_info")
+oracle("ingest_config", """SELECT 'bronze_erp_cust_az12' AS table_name, COUNT(*) AS row_count FROM fx_erp_cust
+  UNION ALL SELECT 'bronze_erp_loc_a101', COUNT(*) FROM fx_erp_loc
+  UNION ALL SELECT 'bronze_erp_px_cat_g1v2', COUNT(*) FROM fx_px_cat""")
+oracle("create_tables_catalog", """SELECT 'bronze_crm_cust_info' AS table_name, COUNT(*) AS row_count FROM fx_cust_info
+  UNION ALL SELECT 'bronze_crm_prd_info', COUNT(*) FROM fx_prd_info
+  UNION ALL SELECT 'bronze_crm_sales_details', COUNT(*) FROM fx_sales_details
+  UNION ALL SELECT 'bronze_erp_cust_az12', COUNT(*) FROM fx_erp_cust
+  UNION ALL SELECT 'bronze_erp_loc_a101', COUNT(*) FROM fx_erp_loc
+  UNION ALL SELECT 'bronze_erp_px_cat_g1v2', COUNT(*) FROM fx_px_cat""")
+oracle("write_overwrite_roundtrip", "SELECT * FROM silver_cust")
+oracle("rename_table_roundtrip", "SELECT * FROM fx_cust_info")
+oracle("layered_pipeline", "SELECT * FROM gold_cust")
+oracle("layered_pipeline_audit", """
+  SELECT 'bronze' AS layer, 'bronze_crm_cust_info' AS table_name, COUNT(*) AS rows_written FROM fx_cust_info
+  UNION ALL SELECT 'bronze', 'bronze_crm_prd_info', COUNT(*) FROM fx_prd_info
+  UNION ALL SELECT 'bronze', 'bronze_crm_sales_details', COUNT(*) FROM fx_sales_details
+  UNION ALL SELECT 'bronze', 'bronze_erp_cust_az12', COUNT(*) FROM fx_erp_cust
+  UNION ALL SELECT 'bronze', 'bronze_erp_loc_a101', COUNT(*) FROM fx_erp_loc
+  UNION ALL SELECT 'bronze', 'bronze_erp_px_cat_g1v2', COUNT(*) FROM fx_px_cat
+  UNION ALL SELECT 'silver', 'silver_crm_cust_info', COUNT(*) FROM silver_cust
+  UNION ALL SELECT 'silver', 'silver_crm_prd_info', COUNT(*) FROM silver_prd
+  UNION ALL SELECT 'silver', 'silver_crm_sales_details', COUNT(*) FROM silver_sls
+  UNION ALL SELECT 'gold', 'gold_customer_enriched', COUNT(*) FROM gold_cust
+  UNION ALL SELECT 'gold', 'gold_sales_denormalized', COUNT(*) FROM gold_sales""")

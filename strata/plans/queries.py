@@ -227,3 +227,96 @@ _q("top10_products_by_cost", lambda ws: M.top_k(
     _prod(ws), [F.col("cost").desc_nulls_last(), F.col("product_id").asc_nulls_last()], 10,
     ["product_id", "product_key", "product_name", "cost", "category"]))
 _q("dq_checks_gold", lambda ws: D.dq_checks_gold(ws.gold_cust, ws.gold_sales, AS_OF))
+
+
+# ---------------------------------------------------------------- sources, sinks, catalog
+# These keys write to the session's shared folders (checkpoint dir for landing
+# files, warehouse for tables) under names unique per call, then read back.
+import uuid  # noqa: E402
+
+from ..schemas import BRONZE  # noqa: E402
+from ..sources import catalog as K  # noqa: E402
+from ..sources import csv as S  # noqa: E402
+from ..sources.fixtures import BRONZE_OF  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..specs import IngestConfig, IngestSource  # noqa: E402
+from . import layered  # noqa: E402
+
+
+def _prefix() -> str:
+    return f"strata_{uuid.uuid4().hex[:10]}_"
+
+
+def _fixture_frames(ws: Workspace) -> dict[str, DataFrame]:
+    return {BRONZE_OF[n]: getattr(ws, a) for n, a in (
+        ("fx_cust_info", "bronze_cust"), ("fx_prd_info", "bronze_prd"), ("fx_sales_details", "bronze_sales"),
+        ("fx_erp_cust", "erp_cust"), ("fx_erp_loc", "erp_loc"), ("fx_px_cat", "erp_cat"))}
+
+
+@query("ingest_csv")
+def _ingest_csv(ws: Workspace) -> DataFrame:
+    """Land the CRM customer file as CSV, read it back with the bronze schema (NULL, '' and padding survive)."""
+    path = scratch_path(ws.spark, "landing", "crm", "cust_info.csv")
+    S.write_csv(ws.bronze_cust, path)
+    return S.read_csv(ws.spark, path, BRONZE["bronze_crm_cust_info"].schema)
+
+
+@query("ingest_config")
+def _ingest_config(ws: Workspace) -> DataFrame:
+    """Config-driven ERP ingest: three landed CSVs -> three bronze tables; report of observed row counts."""
+    base = scratch_path(ws.spark, "landing", "erp")
+    files = {"bronze_erp_cust_az12": ("CUST_AZ12.csv", ws.erp_cust), "bronze_erp_loc_a101": ("LOC_A101.csv", ws.erp_loc),
+             "bronze_erp_px_cat_g1v2": ("PX_CAT_G1V2.csv", ws.erp_cat)}
+    for table, (fname, df) in files.items():
+        S.write_csv(df, f"{base}/{fname}")
+    layers = K.ensure_layers(ws.spark, _prefix())
+    cfg = IngestConfig(base, layers["bronze"], tuple(IngestSource(f, t, BRONZE[t].comment) for t, (f, _) in files.items()))
+    report = S.ingest_config(ws.spark, cfg, {t: BRONZE[t].schema for t in files})
+    return report.select("table_name", "row_count")
+
+
+@query("create_tables_catalog")
+def _create_tables_catalog(ws: Workspace) -> DataFrame:
+    """Create the three layer schemas and all eleven typed tables, load the six bronze inputs;
+    report rows written per bronze table (observed during the writes)."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    K.create_layer_tables(ws.spark, layers)
+    audit: list = []
+    layered.load_bronze(ws.spark, _fixture_frames(ws), layers, audit)
+    return ws.spark.createDataFrame([(t, n) for _, t, n in audit], "table_name string, row_count bigint")
+
+
+@query("write_overwrite_roundtrip")
+def _write_overwrite_roundtrip(ws: Workspace) -> DataFrame:
+    """Overwrite the silver customer table twice (idempotent) and read it back."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    from ..schemas import SILVER
+    spec = SILVER["silver_crm_cust_info"]
+    name = K.write_spec_table(ws.silver_cust, layers["silver"], spec)
+    K.write_spec_table(ws.silver_cust, layers["silver"], spec)
+    return ws.spark.table(name)
+
+
+@query("rename_table_roundtrip")
+def _rename_table_roundtrip(ws: Workspace) -> DataFrame:
+    """Write under a raw name, rename to the layer convention (replace-safe), read back."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    raw = K.qualified(layers["bronze"], "cust_info")
+    final = K.qualified(layers["bronze"], "bronze_crm_cust_info")
+    ws.bronze_cust.write.mode("overwrite").saveAsTable(raw)
+    K.rename_table(ws.spark, raw, final, replace=True)
+    return ws.spark.table(final)
+
+
+@query("layered_pipeline")
+def _layered_pipeline(ws: Workspace) -> DataFrame:
+    """Full bronze -> silver -> gold run through written tables; returns the gold customer table."""
+    layers, _audit = layered.run_layers(ws.spark, _fixture_frames(ws), _prefix())
+    return ws.spark.table(K.qualified(layers["gold"], "gold_customer_enriched"))
+
+
+@query("layered_pipeline_audit")
+def _layered_pipeline_audit(ws: Workspace) -> DataFrame:
+    """Rows written per table by a full layered run (from ``observe`` metrics of the writes)."""
+    _layers, audit = layered.run_layers(ws.spark, _fixture_frames(ws), _prefix())
+    return audit

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # values; nothing in the library mutates static confs of a session it was handed.
 LOCAL_CONFS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
