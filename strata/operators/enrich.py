@@ -1,9 +1,17 @@
 """Enrichment: guarded left joins on derived keys, fallbacks and coverage.
 
 Broadcast policy: a right side is broadcast only after its row count is
-*measured* below ``broadcast_max_rows`` (a bounded ``limit(n+1).count()`` job
-that stops early); otherwise the join is left to the planner (sort-merge with
-AQE skew splitting of the left side).  Nothing is hinted from guesses.
+*measured* at or below ``broadcast_max_rows`` (one distributed count of the
+right side, a dimension); otherwise the join is left to the planner (Spark's
+own size-based choice, sort-merge with AQE skew splitting beyond it).  Nothing
+is hinted from guesses.
+
+Hot keys: in a shuffle join every row whose join key is NULL hashes to the
+same reducer.  Such rows can never match, so they are spread with a row-hash
+salt that is part of the equi-join key (both sides use the same rule: 0 with
+a key, a row hash without; a literal 0 on one side would be folded into a
+residual filter and drop out of the partitioning): same result, no single hot
+task, whatever share of rows lacks a key.
 """
 
 from __future__ import annotations
@@ -13,15 +21,33 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import try_pct
 
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_ROWS = 200_000
+
+
+def fits_broadcast(df: DataFrame, max_rows: int | None) -> bool:
+    """True when df is measured to hold at most ``max_rows`` rows (one distributed count)."""
+    return bool(max_rows) and df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     """``F.broadcast(df)`` when df provably has at most ``max_rows`` rows, else ``df``."""
-    if not max_rows:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
+def null_key_salt(df: DataFrame, key: str) -> Column:
+    """0 for rows with a key; a row hash for rows without one (spreads them over reducers)."""
+    return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
+    """``left <how> right`` on ``key`` (USING semantics: the key column is the left one),
+    with NULL left keys salted so they do not gather in one shuffle partition."""
+    l = left.withColumn("__salt", null_key_salt(left, key))
+    r = right.withColumnRenamed(key, "__rkey")
+    r = r.withColumn("__rsalt", null_key_salt(r, "__rkey"))
+    cond = (F.col(key) == F.col("__rkey")) & (F.col("__salt") == F.col("__rsalt"))
+    out = l.join(r, cond, how)
+    return out.drop("__salt", "__rkey", "__rsalt") if how not in ("left_anti", "left_semi") else out.drop("__salt")
 
 
 def guard_unique(right: DataFrame, key: str, on_duplicate: str) -> DataFrame:
@@ -56,8 +82,11 @@ def enrich(left: DataFrame, right: DataFrame, key: str, *, left_key: Column | No
     """``left ⟕ right USING (key)``; ``left_key`` derives the key column on the left first."""
     if left_key is not None:
         left = left.withColumn(key, left_key)
-    right = bounded_broadcast(guard_unique(right, key, on_duplicate), broadcast_max_rows)
-    out = left.join(right, on=key, how="left")
+    right = guard_unique(right, key, on_duplicate)
+    if fits_broadcast(right, broadcast_max_rows):
+        out = left.join(F.broadcast(right), on=key, how="left")
+    else:
+        out = salted_join(left, right, key, "left")
     return out.drop(key) if drop_key else out
 
 
@@ -65,7 +94,7 @@ def unmatched(left: DataFrame, right: DataFrame, key: str, *, left_key: Column |
     """Left rows whose (derived) key has no partner on the right (NULL keys included)."""
     if left_key is not None:
         left = left.withColumn(key, left_key)
-    return left.join(right.select(key).where(F.col(key).isNotNull()), on=key, how="left_anti")
+    return salted_join(left, right.select(key).where(F.col(key).isNotNull()), key, "left_anti")
 
 
 def fallback(df: DataFrame, target: str, source: str, when_value: str = "Unknown") -> DataFrame:
