@@ -29,6 +29,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
     )
+    if not os.environ.get("STRATA_WAREHOUSE_KEEP"):
+        # local runs keep managed tables out of the working directory
+        builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-wh-"))
     for k, v in LOCAL_CONFS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
