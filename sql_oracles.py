@@ -381,6 +381,7 @@ oracle("create_tables_catalog", """SELECT 'bronze_crm_cust_info' AS table_name,
   UNION ALL SELECT 'bronze_erp_loc_a101', COUNT(*) FROM fx_erp_loc
   UNION ALL SELECT 'bronze_erp_px_cat_g1v2', COUNT(*) FROM fx_px_cat""")
 oracle("write_overwrite_roundtrip", "SELECT * FROM silver_cust")
+oracle("ingest_stream", "SELECT * FROM fx_cust_info")
 oracle("rename_table_roundtrip", "SELECT * FROM fx_cust_info")
 oracle("layered_pipeline", "SELECT * FROM gold_cust")
 oracle("layered_pipeline_audit", """

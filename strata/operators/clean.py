@@ -104,6 +104,13 @@ def fill_nulls(df: DataFrame, fills: dict[str, object]) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in fills.items()})
 
 
+def blank_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """'' -> NULL in string columns (run after trim, so blank-only values are caught too)."""
+    cols = string_columns(df) if cols is None else cols
+    return df.withColumns({c: F.when(F.col(c) == F.lit(""), F.lit(None).cast("string")).otherwise(F.col(c))
+                           for c in cols})
+
+
 def recode(df: DataFrame, rules: dict[str, Recode]) -> DataFrame:
     if not rules:
         return df
@@ -129,6 +136,8 @@ def date_order_violations(df: DataFrame, start_col: str, end_col: str,
 def clean_entity(df: DataFrame, spec: EntitySpec) -> DataFrame:
     """The full silver cleaning of one entity, driven by its spec."""
     trimmed = trim_strings(df)
+    if spec.blank_as_null:
+        trimmed = blank_to_null(trimmed)
     deduped = dedupe_latest(trimmed, spec.key, spec.order_col, spec.score_cols,
                             keep_null_keys=spec.keep_null_keys)
     filled = fill_nulls(deduped, dict(spec.fills))

@@ -308,6 +308,21 @@ def _rename_table_roundtrip(ws: Workspace) -> DataFrame:
     return ws.spark.table(final)
 
 
+@query("ingest_stream")
+def _ingest_stream(ws: Workspace) -> DataFrame:
+    """Incremental (streaming, availableNow) ingest of a landed CSV drop; a second run adds nothing."""
+    from ..streaming import ingest_incremental
+
+    land = scratch_path(ws.spark, "landing", "stream", "crm_cust")
+    S.write_csv(ws.bronze_cust, f"{land}/drop_0001")
+    layers = K.ensure_layers(ws.spark, _prefix())
+    table = K.qualified(layers["bronze"], "bronze_crm_cust_info")
+    spec = BRONZE["bronze_crm_cust_info"]
+    ck = ingest_incremental(ws.spark, land, spec.schema, table, table_comment=spec.comment)
+    ingest_incremental(ws.spark, land, spec.schema, table, checkpoint=ck)
+    return ws.spark.table(table)
+
+
 @query("layered_pipeline")
 def _layered_pipeline(ws: Workspace) -> DataFrame:
     """Full bronze -> silver -> gold run through written tables; returns the gold customer table."""

@@ -52,6 +52,14 @@ PRODUCT = EntitySpec(
     renames=PRODUCT_RENAMES,
 )
 
+# Variant that also applies the documented (but uncoded) fills: NULL names and
+# marital status become Unknown, and blank strings count as missing.
+CUSTOMER_STRICT = replace(
+    CUSTOMER, name="customer_strict", blank_as_null=True,
+    fills=(("cst_firstname", UNKNOWN), ("cst_lastname", UNKNOWN), ("cst_marital_status", UNKNOWN),
+           ("cst_gndr", UNKNOWN)),
+)
+
 # Sales lines share the product-shaped bronze schema; same rules.
 SALES = replace(PRODUCT, name="sales")
 
@@ -64,7 +72,7 @@ LINEITEM = EntitySpec(
     date_cols=("l_shipdate",),
 )
 
-SPECS = {s.name: s for s in (CUSTOMER, PRODUCT, SALES, LINEITEM)}
+SPECS = {s.name: s for s in (CUSTOMER, CUSTOMER_STRICT, PRODUCT, SALES, LINEITEM)}
 
 
 def silver(df: DataFrame, spec: EntitySpec) -> DataFrame:

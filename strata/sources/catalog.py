@@ -104,5 +104,9 @@ def schema_report(df: DataFrame) -> list[tuple[str, str, bool, str | None]]:
     return [(f.name, f.dataType.simpleString(), f.nullable, f.metadata.get("comment")) for f in df.schema.fields]
 
 
+def use_schema(spark: SparkSession, name: str) -> None:
+    spark.catalog.setCurrentDatabase(name)
+
+
 def list_schemas(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]

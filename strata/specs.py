@@ -57,6 +57,7 @@ class EntitySpec:
     recodes: tuple[tuple[str, Recode], ...] = ()      # code standardisation, per column
     renames: tuple[tuple[str, str], ...] = ()         # old -> new, defines output order
     keep_null_keys: bool = False              # keep NULL-key rows (False: junk rows are dropped)
+    blank_as_null: bool = False               # treat '' (after trim) as NULL before fills
 
     @property
     def rename_map(self) -> dict[str, str]:

@@ -127,3 +127,12 @@ def test_date_order_violations(spark):
                                "id int, s date, e date")
     out = C.date_order_violations(df, "s", "e", order_by="id").collect()
     assert [(r.id, r.days_end_before_start) for r in out] == [(1, 9)]
+
+
+def test_strict_variant_fills_names_and_blank(spark):
+    from strata.plans.silver import CUSTOMER_STRICT
+    data = [(1, "k", "", None, None, " ", D(2024, 1, 1))]
+    out = C.clean_entity(spark.createDataFrame(data, CUST_SCHEMA), CUSTOMER_STRICT).collect()[0]
+    assert (out.first_name, out.last_name, out.marital_status, out.gender) == ("Unknown",) * 4
+    default = C.clean_entity(spark.createDataFrame(data, CUST_SCHEMA), CUSTOMER).collect()[0]
+    assert (default.first_name, default.last_name, default.marital_status, default.gender) == ("", None, None, "")
