@@ -212,6 +212,14 @@ oracle("null_summary", _null_summary("cust_dedup_all", CUST_COLS))
 oracle("null_summary_silver_product", _null_summary(
     "silver_prd", ["product_id", "product_key", "product_name", "cost", "product_line", "start_date", "end_date"]))
 oracle("verify_no_dups", _dup_check("silver_cust", {"customer_id duplicates": ["customer_id"]}))
+oracle("schema_report", " UNION ALL ".join(
+    f"SELECT {i + 1} AS position, '{c}' AS column_name, '{t}' AS data_type, {n} AS nullable, "
+    f"COUNT({c}) AS non_null_rows FROM silver_cust"
+    # gender cannot be NULL after the 'Unknown' fill, and Spark's schema says so
+    for i, (c, t, n) in enumerate([("customer_id", "int", "true"), ("customer_key", "string", "true"),
+                                   ("first_name", "string", "true"), ("last_name", "string", "true"),
+                                   ("marital_status", "string", "true"), ("gender", "string", "false"),
+                                   ("created_date", "date", "true")])))
 oracle("sample_customer", "SELECT * FROM fx_cust_info ORDER BY "
        + ", ".join(f"{c} ASC NULLS LAST" for c in CUST_COLS) + " LIMIT 20")
 

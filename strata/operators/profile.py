@@ -207,3 +207,15 @@ def key_audit(df: DataFrame, keys) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows_in"),
                   _count_if(~nn).alias("null_key_rows"),
                   F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"))
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """(position, column_name, data_type, nullable, non_null_rows): the schema joined with one
+    pass of per-column non-NULL counts (a ``printSchema`` that also says how full each column is)."""
+    fields = df.schema.fields
+    wide = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)])
+    parts = ", ".join(
+        f"{i + 1}, '{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()}, n{i}"
+        for i, f in enumerate(fields))
+    return wide.selectExpr(
+        f"stack({len(fields)}, {parts}) AS (position, column_name, data_type, nullable, non_null_rows)")

@@ -88,6 +88,7 @@ _q("duplicate_column_diff", lambda ws: P.duplicate_column_diff(_cust_trim(ws), "
 _q("null_summary", lambda ws: P.null_summary(_cust_dedup_keep_null(ws)))
 _q("null_summary_silver_product", lambda ws: P.null_summary(ws.silver_prd))
 _q("verify_no_dups", lambda ws: P.duplicate_check(ws.silver_cust, {"customer_id duplicates": "customer_id"}))
+_q("schema_report", lambda ws: P.schema_profile(ws.silver_cust))
 _q("sample_customer", lambda ws: ws.bronze_cust.orderBy(
     *[F.col(c).asc_nulls_last() for c in ws.bronze_cust.columns]).limit(20))
 
