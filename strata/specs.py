@@ -79,6 +79,14 @@ class IngestConfig:
     target_schema: str
     sources: tuple[IngestSource, ...] = field(default_factory=tuple)
 
+    @staticmethod
+    def from_json(path: str) -> "IngestConfig":
+        """Load a config from a JSON file (data only; nothing is executed)."""
+        import json
+
+        with open(path, encoding="utf-8") as fh:
+            return IngestConfig.from_dict(json.load(fh))
+
     @staticmethod
     def from_dict(d: dict) -> "IngestConfig":
         return IngestConfig(
