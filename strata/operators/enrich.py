@@ -66,13 +66,13 @@ def guard_unique(right: DataFrame, key: str, on_duplicate: str) -> DataFrame:
         return (right.where(F.col(key).isNotNull()).withColumn("__rn", F.row_number().over(w))
                 .where("__rn = 1").drop("__rn"))
     if on_duplicate == "error":
-        w = Window.partitionBy(key)
-        n = F.count(F.lit(1)).over(w)
-        checked = right.where(F.col(key).isNotNull()).withColumn("__n", n)
-        first = right.columns[0] if right.columns[0] != key else right.columns[-1]
-        guard = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"duplicate join key in {key}: "),
-                                                                 F.col(key).cast("string"))))
-        return checked.withColumn(first, F.coalesce(guard.cast(checked.schema[first].dataType), F.col(first))).drop("__n")
+        # The check is a filter, not a projected column, so column pruning downstream
+        # cannot drop it; the count window shares the join's hash partitioning on ``key``.
+        n = F.count(F.lit(1)).over(Window.partitionBy(key))
+        msg = F.concat(F.lit(f"duplicate join key in {key}: "), F.col(key).cast("string"))
+        return (right.where(F.col(key).isNotNull()).withColumn("__n", n)
+                .where(F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.lit(True)))
+                .drop("__n"))
     raise ValueError(f"on_duplicate must be fanout, first or error, not {on_duplicate!r}")
 
 

@@ -95,3 +95,11 @@ def test_gold_customer_left_join_keeps_cardinality(spark):
     assert (out[1].gender, out[1].birth_date, out[1].country) == ("Female", D(1980, 1, 1), "Unknown")
     assert (out[2].gender, out[2].country) == ("Male", "Germany")
     assert (out[3].gender, out[3].country) == ("Unknown", "Unknown")
+
+
+def test_error_guard_survives_column_pruning(spark, sides):
+    left, right = sides
+    pruned = J.enrich(left, right, "k", on_duplicate="error").select("id")
+    with pytest.raises(Exception, match="duplicate join key"):
+        pruned.collect()
+    assert J.unmatched(left, J.guard_unique(right.where("v != 11"), "k", "error"), "k").count() == 1
