@@ -124,6 +124,7 @@ class TableSpec:
     name: str
     comment: str
     schema: T.StructType
+    bucket_by: tuple[str, ...] = ()   # written bucketed on these columns (co-located joins)
 
     @property
     def columns(self) -> list[str]:
@@ -145,6 +146,10 @@ def _specs(layer: str, defs: dict) -> dict[str, TableSpec]:
 
 BRONZE = _specs("bronze", _BRONZE)
 SILVER = _specs("silver", _SILVER)
+# Sales lines and the product master are both fact-sized and joined on product_id in gold:
+# bucketing both on that key lets the join read co-located buckets instead of shuffling both sides.
+for _n in ("silver_crm_prd_info", "silver_crm_sales_details"):
+    SILVER[_n] = TableSpec("silver", _n, SILVER[_n].comment, SILVER[_n].schema, bucket_by=("product_id",))
 GOLD = _specs("gold", _GOLD)
 ALL_TABLES: dict[str, TableSpec] = {**BRONZE, **SILVER, **GOLD}
 

@@ -43,7 +43,8 @@ def ensure_layers(spark: SparkSession, prefix: str = "") -> dict[str, str]:
     return names
 
 
-def table_ddl(name: str, schema: T.StructType, comment: str | None = None, fmt: str = "parquet") -> str:
+def table_ddl(name: str, schema: T.StructType, comment: str | None = None, fmt: str = "parquet",
+              bucket_by: tuple[str, ...] = (), buckets: int | None = None) -> str:
     cols = []
     for f in schema.fields:
         col = f"`{f.name}` {f.dataType.simpleString().upper()}"
@@ -51,43 +52,70 @@ def table_ddl(name: str, schema: T.StructType, comment: str | None = None, fmt:
             col += f" COMMENT {_lit(f.metadata['comment'])}"
         cols.append(col)
     ddl = f"CREATE TABLE IF NOT EXISTS {_q(name)} (\n  " + ",\n  ".join(cols) + f"\n) USING {fmt}"
+    if bucket_by:
+        ddl += f" CLUSTERED BY ({', '.join(f'`{c}`' for c in bucket_by)}) INTO {int(buckets)} BUCKETS"
     if comment:
         ddl += f" COMMENT {_lit(comment)}"
     return ddl
 
 
-def create_table(spark: SparkSession, name: str, schema: T.StructType, comment: str | None = None) -> None:
+def create_table(spark: SparkSession, name: str, schema: T.StructType, comment: str | None = None,
+                 bucket_by: tuple[str, ...] = (), buckets: int | None = None) -> None:
     """Idempotent typed table creation; NOT NULL is kept as a data-quality rule, not a constraint."""
-    spark.sql(table_ddl(name, schema, comment))
+    spark.sql(table_ddl(name, schema, comment, bucket_by=bucket_by, buckets=buckets or default_buckets(spark)))
 
 
-def create_layer_tables(spark: SparkSession, layers: dict[str, str]) -> list[str]:
+def default_buckets(spark: SparkSession) -> int:
+    """Bucket count matching the shuffle partition count: a writer whose last shuffle is on the
+    bucket key then needs no extra shuffle and writes one file per bucket."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def table_buckets(spark: SparkSession, name: str) -> int | None:
+    """Number of buckets of an existing table (from its extended description), or None."""
+    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}").collect():
+        if r[0] == "Num Buckets":
+            return int(r[1])
+    return None
+
+
+def create_layer_tables(spark: SparkSession, layers: dict[str, str], buckets: int | None = None) -> list[str]:
     """Create every bronze / silver / gold table of the model in the given schemas."""
     made = []
     for spec in ALL_TABLES.values():
         name = qualified(layers[spec.layer], spec.name)
-        create_table(spark, name, spec.schema, spec.comment)
+        create_table(spark, name, spec.schema, spec.comment, bucket_by=spec.bucket_by, buckets=buckets)
         made.append(name)
     return made
 
 
 def write_table(df: DataFrame, name: str, *, schema: T.StructType | None = None, comment: str | None = None,
-                mode: str = "overwrite") -> None:
+                mode: str = "overwrite", bucket_by: tuple[str, ...] = (), buckets: int | None = None) -> None:
     """Overwrite (or append to) a managed table, keeping its DDL when it already exists.
 
     The table is created from ``schema`` (or the DataFrame's) on first use; the
     data is then written with ``insertInto`` by column *name* order of the table.
+    Bucketed tables are hash-partitioned on the bucket key first so every bucket
+    is one file; Spark drops that repartition when the plan is already
+    partitioned that way (e.g. by the dedupe window on the same key).
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
-        create_table(spark, name, schema or df.schema, comment)
+        create_table(spark, name, schema or df.schema, comment, bucket_by=bucket_by, buckets=buckets)
     cols = spark.table(name).columns
-    df.select(*[F.col(c) for c in cols]).write.insertInto(name, overwrite=(mode == "overwrite"))
+    out = df.select(*[F.col(c) for c in cols])
+    if bucket_by:
+        n = table_buckets(spark, name)
+        if n:
+            out = out.repartition(n, *bucket_by)
+    out.write.insertInto(name, overwrite=(mode == "overwrite"))
 
 
-def write_spec_table(df: DataFrame, schema_name: str, spec: TableSpec, mode: str = "overwrite") -> str:
+def write_spec_table(df: DataFrame, schema_name: str, spec: TableSpec, mode: str = "overwrite",
+                     buckets: int | None = None) -> str:
     name = qualified(schema_name, spec.name)
-    write_table(df, name, schema=spec.schema, comment=spec.comment, mode=mode)
+    write_table(df, name, schema=spec.schema, comment=spec.comment, mode=mode, bucket_by=spec.bucket_by,
+                buckets=buckets)
     return name
 
 

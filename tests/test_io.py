@@ -116,3 +116,30 @@ def test_incremental_ingest_is_exactly_once_across_drops(spark, tmp_path, layers
     S.write_csv(spark.createDataFrame([("c", "DE")], schema), f"{land}/drop2")
     ingest_incremental(spark, land, schema, table, checkpoint=ck)          # only the new drop
     assert rows(spark.table(table)) == [("a", None), ("b", " x "), ("c", "DE")]
+
+
+def test_bucketed_silver_tables_make_the_product_join_shuffle_free(spark):
+    """Layered run: silver product and sales are bucketed on product_id; gold's product-master join
+    then reads co-located buckets (no exchange under that join)."""
+    from strata.plans import layered
+    from strata.plans.gold import gold_sales
+    from strata.plans.workspace import Workspace
+    from conftest import plan_text
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    lay, _ = layered.run_layers(spark, {
+        "bronze_crm_cust_info": ws.bronze_cust, "bronze_crm_prd_info": ws.bronze_prd,
+        "bronze_crm_sales_details": ws.bronze_sales, "bronze_erp_cust_az12": ws.erp_cust,
+        "bronze_erp_loc_a101": ws.erp_loc, "bronze_erp_px_cat_g1v2": ws.erp_cat}, f"t{uuid.uuid4().hex[:8]}_")
+    s = lambda n: spark.table(f"{lay['silver']}.{n}")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(s("silver_crm_sales_details").join(s("silver_crm_prd_info"), "product_id", "left"))
+        assert "SortMergeJoin" in plan and "Exchange" not in plan.split("\n\n")[0]
+        assert K.table_buckets(spark, f"{lay['silver']}.silver_crm_prd_info") == int(
+            spark.conf.get("spark.sql.shuffle.partitions"))
+        gs = gold_sales(s("silver_crm_sales_details"), s("silver_crm_prd_info"), spark.table(f"{lay['bronze']}.bronze_erp_px_cat_g1v2"))
+        assert rows(gs) == rows(ws.gold_sales)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
