@@ -7,11 +7,12 @@ own size-based choice, sort-merge with AQE skew splitting beyond it).  Nothing
 is hinted from guesses.
 
 Hot keys: in a shuffle join every row whose join key is NULL hashes to the
-same reducer.  Such rows can never match, so they are spread with a row-hash
-salt that is part of the equi-join key (both sides use the same rule: 0 with
-a key, a row hash without; a literal 0 on one side would be folded into a
-residual filter and drop out of the partitioning): same result, no single hot
-task, whatever share of rows lacks a key.
+same reducer.  Such rows can never match, so they are spread with a salt that
+is part of the equi-join key: a hash of the row for rows without a key, a hash
+of the key itself for rows with one (on both sides, so salts agree exactly when
+keys do, and the salt never folds to a constant that Catalyst would demote to a
+residual filter).  Same result, no single hot task, whatever share of rows
+lacks a key.
 """
 
 from __future__ import annotations
@@ -35,8 +36,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 
 def null_key_salt(df: DataFrame, key: str) -> Column:
-    """0 for rows with a key; a row hash for rows without one (spreads them over reducers)."""
-    return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.lit(0).cast("long"))
+    """Hash of the key for rows with one; hash of the whole row for rows without (spreads them)."""
+    return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.xxhash64(F.col(key)))
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:

@@ -103,3 +103,29 @@ def test_error_guard_survives_column_pruning(spark, sides):
     with pytest.raises(Exception, match="duplicate join key"):
         pruned.collect()
     assert J.unmatched(left, J.guard_unique(right.where("v != 11"), "k", "error"), "k").count() == 1
+
+
+def test_salting_spreads_a_third_of_rows_with_null_keys(spark):
+    """A third of the left rows lack a key: the plain shuffle join puts them all in one partition,
+    the salted join spreads them (measured per output partition, AQE and broadcast off)."""
+    confs = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 30000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, None).otherwise((F.col("id") % 997).cast("string")).alias("k"))
+        right = spark.range(0, 997).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+
+        def max_share(df):
+            sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            return max(sizes) / sum(sizes)
+
+        assert max_share(left.join(right, "k", "left")) > 0.33
+        salted = J.salted_join(left, right, "k", "left")
+        assert max_share(salted) < 0.2
+        assert salted.count() == 30000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
