@@ -47,19 +47,25 @@ def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> None:
 
 
 def ingest(spark: SparkSession, path: str, schema: T.StructType, table: str, *,
-           table_comment: str | None = None, mode: str = "overwrite") -> int:
+           table_comment: str | None = None, mode: str = "overwrite", with_corrupt: bool = False):
     """CSV -> managed table in one job; returns the row count observed *during* the write
-    (no second read of the files or the table)."""
-    df = read_csv(spark, path, schema)
+    (no second read of the files or the table).  With ``with_corrupt`` it returns
+    ``(rows, corrupt_rows)``, counting lines whose values did not parse (they are
+    still loaded, with NULL in the failed fields, as PERMISSIVE mode does)."""
+    df = read_csv(spark, path, schema, keep_corrupt=with_corrupt)
     obs = Observation(f"ingest_{table.replace('.', '_')}")
-    write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), table, schema=schema,
-                comment=table_comment, mode=mode)
-    return int(obs.get["rows"])
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if with_corrupt:
+        metrics.append(F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("corrupt"))
+    observed = df.observe(obs, *metrics)
+    write_table(observed.select(*schema.fieldNames()), table, schema=schema, comment=table_comment, mode=mode)
+    got = obs.get
+    return (int(got["rows"]), int(got["corrupt"])) if with_corrupt else int(got["rows"])
 
 
 def ingest_config(spark: SparkSession, config: IngestConfig, schemas: dict[str, T.StructType],
                   comments: dict[str, str] | None = None) -> DataFrame:
-    """Config-driven ingest of every source; returns (table_name, row_count, source_path).
+    """Config-driven ingest of every source; returns (table_name, row_count, corrupt_rows, source_path).
 
     Sources are independent jobs, each of which already uses the whole cluster,
     so they run one after another; the report is built from observed metrics.
@@ -68,7 +74,7 @@ def ingest_config(spark: SparkSession, config: IngestConfig, schemas: dict[str,
     for src in config.sources:
         path = config.base_path.rstrip("/") + "/" + src.file_name
         table = qualified(config.target_schema, src.table_name)
-        n = ingest(spark, path, schemas[src.table_name], table,
-                   table_comment=(comments or {}).get(src.table_name) or src.description or None)
-        report.append((src.table_name, n, path))
-    return spark.createDataFrame(report, "table_name string, row_count bigint, source_path string")
+        n, bad = ingest(spark, path, schemas[src.table_name], table, with_corrupt=True,
+                        table_comment=(comments or {}).get(src.table_name) or src.description or None)
+        report.append((src.table_name, n, bad, path))
+    return spark.createDataFrame(report, "table_name string, row_count bigint, corrupt_rows bigint, source_path string")

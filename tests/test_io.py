@@ -37,6 +37,16 @@ def test_bad_date_is_visible_as_corrupt_record(spark, tmp_path):
     assert dict(inferred.dtypes)["BDATE"] == "string"
 
 
+def test_ingest_reports_corrupt_rows(spark, tmp_path, layers):
+    p = tmp_path / "cust.csv"
+    p.write_text("CID,BDATE,GEN\nA,1980-01-01,M\nB,not-a-date,F\nC,\\N,\n")
+    table = f"{layers['bronze']}.bronze_erp_cust_az12"
+    n, bad = S.ingest(spark, str(p), BRONZE["bronze_erp_cust_az12"].schema, table, with_corrupt=True)
+    assert (n, bad) == (3, 1)
+    # an unquoted empty field is NULL on read (the landing writer quotes empty strings)
+    assert rows(spark.table(table)) == [("A", D(1980, 1, 1), "M"), ("B", None, "F"), ("C", None, None)]
+
+
 def test_ingest_config_reports_observed_counts(spark, tmp_path, layers):
     schema = BRONZE["bronze_erp_px_cat_g1v2"].schema
     S.write_csv(spark.createDataFrame([("AC_BR", "Acc", "Bikes", "Yes"), ("AC_HE", "Acc", None, "No")], schema),
