@@ -37,7 +37,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
 
 def null_key_salt(df: DataFrame, key: str) -> Column:
     """Hash of the key for rows with one; hash of the whole row for rows without (spreads them)."""
-    return F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(F.xxhash64(F.col(key)))
+    return F.when(F.col(key).isNull(), F.xxhash64(F.struct("*"))).otherwise(F.xxhash64(F.col(key)))
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:

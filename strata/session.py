@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 LOCAL_CONFS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",   # per-call call-site capture: debugging aid only
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
