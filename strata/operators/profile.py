@@ -120,12 +120,18 @@ def value_counts(df: DataFrame, col: str, count_col: str = "count", ordered: boo
 
 
 def date_range(df: DataFrame, col: str, *, label: str = "date", plural: str | None = None,
-               as_of=None, floor: str | None = DATE_FLOOR, future: bool = True) -> list[Column]:
-    """Aggregate columns describing one date column (to be combined in one ``agg``)."""
+               as_of=None, floor: str | None = DATE_FLOOR, future: bool = True,
+               approx_distinct: float | None = None) -> list[Column]:
+    """Aggregate columns describing one date column (to be combined in one ``agg``).
+
+    ``approx_distinct`` (a relative standard deviation, e.g. 0.01) swaps the exact
+    distinct count, which needs its own distinct aggregation, for a HyperLogLog++
+    sketch that merges map-side in fixed memory."""
     plural = plural or f"{label}s"
     c = F.col(col)
+    distinct = (F.approx_count_distinct(c, approx_distinct) if approx_distinct else F.count_distinct(c))
     aggs = [F.min(c).alias(f"earliest_{label}"), F.max(c).alias(f"latest_{label}"),
-            F.count_distinct(c).alias(f"distinct_{plural}")]
+            distinct.alias(f"distinct_{plural}")]
     if future:
         aggs.append(_count_if(c > _date_lit(as_of)).alias(f"future_{plural}"))
     if floor is not None:
@@ -133,12 +139,14 @@ def date_range(df: DataFrame, col: str, *, label: str = "date", plural: str | No
     return aggs
 
 
-def date_profile(df: DataFrame, col: str, *, as_of=None, end_col: str | None = None) -> DataFrame:
+def date_profile(df: DataFrame, col: str, *, as_of=None, end_col: str | None = None,
+                 approx_distinct: float | None = None) -> DataFrame:
     """One-row date-range report; with ``end_col`` also the end column and end-before-start count."""
     if end_col is None:
-        return df.agg(*date_range(df, col, as_of=as_of))
-    aggs = date_range(df, col, label="start", plural="start_dates", as_of=as_of)
-    aggs += date_range(df, end_col, label="end", plural="end_dates", future=False, floor=None)
+        return df.agg(*date_range(df, col, as_of=as_of, approx_distinct=approx_distinct))
+    aggs = date_range(df, col, label="start", plural="start_dates", as_of=as_of, approx_distinct=approx_distinct)
+    aggs += date_range(df, end_col, label="end", plural="end_dates", future=False, floor=None,
+                       approx_distinct=approx_distinct)
     aggs.append(_count_if(F.col(end_col).isNotNull() & (F.col(end_col) < F.col(col))).alias("end_before_start"))
     return df.agg(*aggs)
 

@@ -75,3 +75,11 @@ def test_whitespace_check_after_trim_is_zero(spark):
     df = spark.createDataFrame([(" a", "b "), (None, " ")], "a string, b string")
     assert P.whitespace_rows_count(df).collect()[0][0] == 2
     assert P.whitespace_rows_count(C.trim_strings(df)).collect()[0][0] == 0
+
+
+def test_date_profile_approx_distinct_is_close_and_single_stage(spark):
+    df = spark.range(5000).select(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 700).cast("int")).alias("d"))
+    exact = P.date_profile(df, "d", as_of="2025-01-01").collect()[0].distinct_dates
+    approx = P.date_profile(df, "d", as_of="2025-01-01", approx_distinct=0.02).collect()[0].distinct_dates
+    assert exact == 700 and abs(approx - 700) / 700 < 0.08
+    assert "Expand" not in plan_text(P.date_profile(df, "d", approx_distinct=0.02, end_col="d"))
