@@ -7,6 +7,7 @@ bronze inputs or to the driver tables; the matching DuckDB SQL lives in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -17,8 +18,15 @@ from ..operators import clean as C
 from ..operators import enrich as J
 from ..operators import metrics as M
 from ..operators import profile as P
+from ..schemas import BRONZE, SILVER
+from ..session import scratch_path
+from ..sources import catalog as K
+from ..sources import csv as S
+from ..sources.fixtures import BRONZE_OF
+from ..specs import IngestConfig, IngestSource
 from . import dashboard as D
 from . import gold as G
+from . import layered
 from .silver import CUSTOMER, CUSTOMER_RENAMES, LINEITEM, PRODUCT, PRODUCT_RENAMES, SALES
 from .workspace import Workspace
 
@@ -233,15 +241,6 @@ _q("dq_checks_gold", lambda ws: D.dq_checks_gold(ws.gold_cust, ws.gold_sales, AS
 # ---------------------------------------------------------------- sources, sinks, catalog
 # These keys write to the session's shared folders (checkpoint dir for landing
 # files, warehouse for tables) under names unique per call, then read back.
-import uuid  # noqa: E402
-
-from ..schemas import BRONZE  # noqa: E402
-from ..sources import catalog as K  # noqa: E402
-from ..sources import csv as S  # noqa: E402
-from ..sources.fixtures import BRONZE_OF  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..specs import IngestConfig, IngestSource  # noqa: E402
-from . import layered  # noqa: E402
 
 
 def _prefix() -> str:
@@ -291,7 +290,6 @@ def _create_tables_catalog(ws: Workspace) -> DataFrame:
 def _write_overwrite_roundtrip(ws: Workspace) -> DataFrame:
     """Overwrite the silver customer table twice (idempotent) and read it back."""
     layers = K.ensure_layers(ws.spark, _prefix())
-    from ..schemas import SILVER
     spec = SILVER["silver_crm_cust_info"]
     name = K.write_spec_table(ws.silver_cust, layers["silver"], spec)
     K.write_spec_table(ws.silver_cust, layers["silver"], spec)
