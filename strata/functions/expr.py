@@ -6,8 +6,6 @@ that uses them stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,35 +28,49 @@ def blank(c: str | Column) -> Column:
     return F.trim(c) == F.lit("")
 
 
+def quote_ident(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
+
+def sql_str(v) -> str:
+    """A SQL literal for a Python str / int / float / None."""
+    if v is None:
+        return "CAST(NULL AS STRING)"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(v)
+
+
 def null_flag_count(cols) -> Column:
     """Number of NULL columns in a row (completeness score, lower is better)."""
     cols = list(cols)
     if not cols:
         return F.lit(0)
-    return reduce(lambda a, b: a + b, [F.col(c).isNull().cast("int") for c in cols])
+    return F.expr(" + ".join(f"CAST({quote_ident(c)} IS NULL AS INT)" for c in cols))
 
 
-def recode_expr(c: str, rule: Recode) -> Column:
-    """A CASE chain generated from a :class:`Recode` (first match wins).
+def recode_sql(c: str, rule: Recode) -> str:
+    """The CASE expression (SQL text) of a :class:`Recode` for column ``c`` (first match wins).
 
-    NULL never matches an ``isin`` test, so it falls through to the NULL branch
-    (or to ``otherwise``) exactly like a hand-written chain.
+    NULL never matches an ``IN`` / ``=`` test, so it falls through to the NULL
+    branch (or to the ELSE value) exactly like a hand-written chain.
     """
-    col = F.col(c)
-    expr = None
+    q = quote_ident(c)
+    branches = []
     for target, sources in rule.mapping:
-        cond = col.isin(*sources) if len(sources) > 1 else (col == F.lit(sources[0]))
-        expr = F.when(cond, F.lit(target)) if expr is None else expr.when(cond, F.lit(target))
+        test = (f"{q} IN ({', '.join(sql_str(v) for v in sources)})" if len(sources) > 1
+                else f"{q} = {sql_str(sources[0])}")
+        branches.append(f"WHEN {test} THEN {sql_str(target)}")
     if rule.handle_null:
-        cond = col.isNull()
-        val = F.lit(rule.null_default).cast("string")
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+        branches.append(f"WHEN {q} IS NULL THEN {sql_str(rule.null_default)}")
     if rule.handle_blank:
-        cond = blank(col)
-        val = F.lit(rule.blank_default).cast("string")
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    rest = F.trim(col) if rule.otherwise == "trim" else col
-    return rest if expr is None else expr.otherwise(rest)
+        branches.append(f"WHEN trim({q}) = '' THEN {sql_str(rule.blank_default)}")
+    rest = f"trim({q})" if rule.otherwise == "trim" else q
+    return f"CASE {' '.join(branches)} ELSE {rest} END" if branches else rest
+
+
+def recode_expr(c: str, rule: Recode) -> Column:
+    return F.expr(recode_sql(c, rule))
 
 
 def derived_key(prefix: str, c: str | Column, start: int) -> Column:

@@ -11,14 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import has_whitespace, null_flag_count, recode_expr, string_columns
+from ..functions.expr import has_whitespace, null_flag_count, quote_ident, recode_expr, string_columns
 from ..specs import EntitySpec, Recode
 
 
 def trim_strings(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Trim every string column (or ``cols``), pass other columns through, keep order."""
     targets = set(string_columns(df) if cols is None else cols)
-    return df.select([F.trim(F.col(c)).alias(c) if c in targets else F.col(c) for c in df.columns])
+    return df.selectExpr(*[f"trim({quote_ident(c)}) AS {quote_ident(c)}" if c in targets else quote_ident(c)
+                           for c in df.columns])
 
 
 def rows_with_whitespace(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -45,9 +46,9 @@ def dedupe_order(df: DataFrame, key: tuple[str, ...], order_col: str | None,
     score = list(score_cols) if score_cols is not None else rest
     order: list[Column] = []
     if order_col is not None:
-        order.append(F.col(order_col).desc_nulls_last())
+        order.append(F.desc_nulls_last(order_col))
     order.append(null_flag_count(score).asc())
-    order += [F.col(c).asc_nulls_last() for c in rest if c != order_col]
+    order += [F.asc_nulls_last(c) for c in rest if c != order_col]
     return order
 
 
@@ -98,10 +99,7 @@ def drop_null_key(df: DataFrame, key) -> DataFrame:
 
 def fill_nulls(df: DataFrame, fills: dict[str, object]) -> DataFrame:
     """NULL -> value per column, types kept (an INT column filled with 0 stays INT)."""
-    if not fills:
-        return df
-    types = dict(df.dtypes)
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v).cast(types[c])) for c, v in fills.items()})
+    return df.na.fill(fills) if fills else df
 
 
 def blank_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -119,10 +117,10 @@ def recode(df: DataFrame, rules: dict[str, Recode]) -> DataFrame:
 
 def rename(df: DataFrame, renames: dict[str, str], keep_others: bool = False) -> DataFrame:
     """Rename and order columns as listed in ``renames``."""
-    cols = [F.col(old).alias(new) for old, new in renames.items()]
+    cols = [f"{quote_ident(old)} AS {quote_ident(new)}" for old, new in renames.items()]
     if keep_others:
-        cols += [F.col(c) for c in df.columns if c not in renames]
-    return df.select(cols)
+        cols += [quote_ident(c) for c in df.columns if c not in renames]
+    return df.selectExpr(*cols)
 
 
 def date_order_violations(df: DataFrame, start_col: str, end_col: str,
