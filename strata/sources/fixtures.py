@@ -97,7 +97,12 @@ BRONZE_OF = {
 
 
 def fixture(tables: TableSet, name: str) -> DataFrame:
-    """Spark DataFrame of one derived input (lazy; reads only the columns it uses)."""
+    """Spark DataFrame of one derived input (lazy; reads only the columns it uses).
+    Built once per table set, so a fixture used by another one is not re-planned."""
+    return tables.derived(name, lambda: _build(tables, name))
+
+
+def _build(tables: TableSet, name: str) -> DataFrame:
     body, deps = FIXTURES[name]
     bound = {d: (fixture(tables, d) if d in FIXTURES else tables[d]) for d in deps}
     return tables.spark.sql(body, **bound)

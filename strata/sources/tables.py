@@ -17,3 +17,10 @@ class TableSet:
         if name not in self._dfs:
             self._dfs[name] = self.spark.read.parquet(f"{self.base_dir}/{name}.parquet")
         return self._dfs[name]
+
+    def derived(self, name: str, build) -> DataFrame:
+        """A DataFrame derived from these tables, planned once per table set."""
+        key = f"derived:{name}"
+        if key not in self._dfs:
+            self._dfs[key] = build()
+        return self._dfs[key]
