@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import try_pct
-from ..operators import metrics as M
 from ..operators.dq import dq_checks
 from ..specs import DqRule
 from .gold import GOLD_CUSTOMER_COLUMNS
@@ -77,5 +76,3 @@ def product_dq(gold_sales: DataFrame) -> DataFrame:
 def dq_checks_gold(gold_cust: DataFrame, gold_sales: DataFrame, as_of) -> DataFrame:
     return customer_dq(gold_cust, as_of).unionByName(product_dq(gold_sales))
 
-
-__all__ = ["M", "gold_customers_dataset", "gold_products_dataset", "dq_checks_gold"]
