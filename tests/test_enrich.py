@@ -129,3 +129,19 @@ def test_salting_spreads_a_third_of_rows_with_null_keys(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_gold_customer_cardinality_with_duplicated_erp_keys(spark):
+    """Left-join cardinality = left count unless on_duplicate='fanout' (which reproduces the fan-out)."""
+    from strata.plans.workspace import Workspace
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    dup_cust = ws.erp_cust.unionByName(ws.erp_cust.limit(5))   # five CIDs now appear twice
+    n = ws.silver_cust.count()
+    first = G.gold_customer(ws.silver_cust, dup_cust, ws.erp_loc, on_duplicate="first")
+    assert first.count() == n
+    assert first.select("customer_id").distinct().count() == n
+    fan = G.gold_customer(ws.silver_cust, dup_cust, ws.erp_loc, on_duplicate="fanout")
+    assert n < fan.count() <= n + 5
+    with pytest.raises(ValueError, match="duplicate join key"):
+        G.gold_customer(ws.silver_cust, dup_cust, ws.erp_loc, on_duplicate="error")
