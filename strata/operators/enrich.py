@@ -19,8 +19,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.expr import try_pct
+from ..functions.expr import quote_ident, try_pct
 
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
@@ -35,9 +36,21 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def _hashable(dt: T.DataType) -> bool:
+    if isinstance(dt, T.MapType):
+        return False
+    if isinstance(dt, T.StructType):
+        return all(_hashable(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _hashable(dt.elementType)
+    return True
+
+
 def null_key_salt(df: DataFrame, key: str) -> Column:
-    """Hash of the key for rows with one; hash of the whole row for rows without (spreads them)."""
-    return F.when(F.col(key).isNull(), F.xxhash64(F.struct("*"))).otherwise(F.xxhash64(F.col(key)))
+    """Hash of the key for rows with one; hash of the row's hashable columns for rows without
+    (spreads them; map columns cannot be hashed and are left out)."""
+    cols = [F.col(quote_ident(f.name)) for f in df.schema.fields if _hashable(f.dataType)]
+    return F.when(F.col(key).isNull(), F.xxhash64(*cols)).otherwise(F.xxhash64(F.col(key)))
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:

@@ -145,3 +145,9 @@ def test_gold_customer_cardinality_with_duplicated_erp_keys(spark):
     assert n < fan.count() <= n + 5
     with pytest.raises(ValueError, match="duplicate join key"):
         G.gold_customer(ws.silver_cust, dup_cust, ws.erp_loc, on_duplicate="error")
+
+
+def test_salted_join_with_map_column(spark):
+    left = spark.createDataFrame([(1, None, {"a": 1}), (2, "x", {"b": 2})], "id int, k string, m map<string,int>")
+    right = spark.createDataFrame([("x", 10)], "k string, v int")
+    assert rows(J.salted_join(left, right, "k", "left").select("id", "v")) == [(1, None), (2, 10)]
