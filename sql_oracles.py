@@ -220,6 +220,19 @@ oracle("schema_report", " UNION ALL ".join(
                                    ("first_name", "string", "true"), ("last_name", "string", "true"),
                                    ("marital_status", "string", "true"), ("gender", "string", "false"),
                                    ("created_date", "date", "true")])))
+_LI_STR = ["l_returnflag", "l_linestatus"]
+oracle("profile_lineitem", _profile("lineitem", LINEITEM_COLS, _LI_STR))
+oracle("category_dist_lineitem", " UNION ALL ".join(
+    f'SELECT {chr(39)}{c}{chr(39)} AS column_name, {c} AS value, COUNT(*) AS "count" FROM lineitem GROUP BY {c}'
+    for c in _LI_STR))
+oracle("date_range_lineitem", f"""
+SELECT MIN(l_shipdate) AS earliest_date, MAX(l_shipdate) AS latest_date, COUNT(DISTINCT l_shipdate) AS distinct_dates,
+  {_cnt(f"l_shipdate > {AS_OF}")} AS future_dates, {_cnt("l_shipdate < DATE '1900-01-01'")} AS pre_1900_dates
+FROM lineitem""")
+oracle("duplicate_rows_lineitem", """
+SELECT l.* FROM lineitem l JOIN (SELECT l_orderkey, l_linenumber FROM lineitem
+  WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1) d
+  ON l.l_orderkey = d.l_orderkey AND l.l_linenumber = d.l_linenumber""")
 oracle("sample_customer", "SELECT * FROM fx_cust_info ORDER BY "
        + ", ".join(f"{c} ASC NULLS LAST" for c in CUST_COLS) + " LIMIT 20")
 

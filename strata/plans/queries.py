@@ -97,6 +97,11 @@ _q("null_summary", lambda ws: P.null_summary(_cust_dedup_keep_null(ws)))
 _q("null_summary_silver_product", lambda ws: P.null_summary(ws.silver_prd))
 _q("verify_no_dups", lambda ws: P.duplicate_check(ws.silver_cust, {"customer_id duplicates": "customer_id"}))
 _q("schema_report", lambda ws: P.schema_profile(ws.silver_cust))
+# the same operators on the driver's fact table (composite key, timestamps, 600 000 rows at sf0.1)
+_q("profile_lineitem", lambda ws: P.profile(ws.lineitem))
+_q("category_dist_lineitem", lambda ws: P.category_distribution(ws.lineitem, list(LINEITEM.categorical)))
+_q("date_range_lineitem", lambda ws: P.date_profile(ws.lineitem, "l_shipdate", as_of=AS_OF))
+_q("duplicate_rows_lineitem", lambda ws: P.duplicate_rows(ws.lineitem, list(LINEITEM.key)))
 _q("sample_customer", lambda ws: ws.bronze_cust.orderBy(
     *[F.col(c).asc_nulls_last() for c in ws.bronze_cust.columns]).limit(20))
 
