@@ -75,7 +75,8 @@ def recode_expr(c: str, rule: Recode) -> Column:
 
 def derived_key(prefix: str, c: str | Column, start: int) -> Column:
     """``prefix || substring(c, start)`` to the end of the string; NULL-propagating."""
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        return F.expr(f"concat({sql_str(prefix)}, substring({quote_ident(c)}, {int(start)}))")
     return F.concat(F.lit(prefix), F.substring(c, start, 2147483647))
 
 

@@ -65,10 +65,7 @@ def dedupe_latest(df: DataFrame, key, order_col: str | None = None, score_cols=N
     the exchange, not a third of the table in one reducer.
     """
     key = (key,) if isinstance(key, str) else tuple(key)
-    not_null = None
-    for k in key:
-        c = F.col(k).isNotNull()
-        not_null = c if not_null is None else (not_null & c)
+    not_null = F.expr(" AND ".join(f"{quote_ident(k)} IS NOT NULL" for k in key))
     w = Window.partitionBy(*key).orderBy(*dedupe_order(df, key, order_col, score_cols))
     kept = (
         df.where(not_null)

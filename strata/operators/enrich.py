@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.expr import quote_ident, try_pct
+from ..functions.expr import quote_ident, sql_str, try_pct
 
 DEFAULT_BROADCAST_MAX_ROWS = 200_000
 
@@ -49,8 +49,9 @@ def _hashable(dt: T.DataType) -> bool:
 def null_key_salt(df: DataFrame, key: str) -> Column:
     """Hash of the key for rows with one; hash of the row's hashable columns for rows without
     (spreads them; map columns cannot be hashed and are left out)."""
-    cols = [F.col(quote_ident(f.name)) for f in df.schema.fields if _hashable(f.dataType)]
-    return F.when(F.col(key).isNull(), F.xxhash64(*cols)).otherwise(F.xxhash64(F.col(key)))
+    cols = ", ".join(quote_ident(f.name) for f in df.schema.fields if _hashable(f.dataType))
+    k = quote_ident(key)
+    return F.expr(f"CASE WHEN {k} IS NULL THEN xxhash64({cols}) ELSE xxhash64({k}) END")
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFrame:
@@ -114,8 +115,9 @@ def unmatched(left: DataFrame, right: DataFrame, key: str, *, left_key: Column |
 
 def fallback(df: DataFrame, target: str, source: str, when_value: str = "Unknown") -> DataFrame:
     """``target := source`` when target is the sentinel and source is known; NULL target stays NULL."""
-    cond = (F.col(target) == F.lit(when_value)) & F.col(source).isNotNull()
-    return df.withColumn(target, F.when(cond, F.col(source)).otherwise(F.col(target)))
+    t, src = quote_ident(target), quote_ident(source)
+    return df.withColumn(target, F.expr(
+        f"CASE WHEN {t} = {sql_str(when_value)} AND {src} IS NOT NULL THEN {src} ELSE {t} END"))
 
 
 def coverage(df: DataFrame, cols: list[str], digits: int = 1) -> DataFrame:

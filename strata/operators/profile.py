@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import has_whitespace, string_columns
+from ..functions.expr import has_whitespace, quote_ident, string_columns
 
 DATE_FLOOR = "1900-01-01"
 
@@ -33,14 +33,15 @@ def _count_if(cond: Column) -> Column:
 
 def profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Wide one-row profile: total_rows, <c>_nulls for every column, <c>_empty and
-    <c>_has_whitespace for every string column."""
+    <c>_has_whitespace for every string column (one global aggregate, one scan)."""
     cols = df.columns if cols is None else cols
     strings = [c for c in string_columns(df) if c in cols]
-    aggs = [F.count(F.lit(1)).alias("total_rows")]
-    aggs += [_count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in cols]
-    aggs += [_count_if(F.col(c) == F.lit("")).alias(f"{c}_empty") for c in strings]
-    aggs += [_count_if(has_whitespace(c)).alias(f"{c}_has_whitespace") for c in strings]
-    return df.agg(*aggs)
+    q = quote_ident
+    exprs = ["count(1) AS total_rows"]
+    exprs += [f"count_if({q(c)} IS NULL) AS {q(c + '_nulls')}" for c in cols]
+    exprs += [f"count_if(coalesce({q(c)} = '', false)) AS {q(c + '_empty')}" for c in strings]
+    exprs += [f"count_if(coalesce({q(c)} != trim({q(c)}), false)) AS {q(c + '_has_whitespace')}" for c in strings]
+    return df.selectExpr(*exprs)
 
 
 def profile_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

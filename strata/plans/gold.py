@@ -22,17 +22,16 @@ GOLD_CUSTOMER_COLUMNS = ["customer_id", "customer_key", "first_name", "last_name
 
 
 def erp_cust_clean(df: DataFrame) -> DataFrame:
-    return df.select(F.trim("CID").alias("erp_cust_cid"), F.col("BDATE").alias("birth_date"),
-                     F.trim("GEN").alias("erp_gender"))
+    return df.selectExpr("trim(CID) AS erp_cust_cid", "BDATE AS birth_date", "trim(GEN) AS erp_gender")
 
 
 def erp_loc_clean(df: DataFrame) -> DataFrame:
-    return df.select(F.trim("CID").alias("erp_loc_cid"), F.trim("CNTRY").alias("country"))
+    return df.selectExpr("trim(CID) AS erp_loc_cid", "trim(CNTRY) AS country")
 
 
 def erp_cat_clean(df: DataFrame) -> DataFrame:
-    return df.select(F.trim("ID").alias("category_id"), F.trim("CAT").alias("category"),
-                     F.trim("SUBCAT").alias("subcategory"), F.trim("MAINTENANCE").alias("maintenance_required"))
+    return df.selectExpr("trim(ID) AS category_id", "trim(CAT) AS category", "trim(SUBCAT) AS subcategory",
+                         "trim(MAINTENANCE) AS maintenance_required")
 
 
 def std_country(df: DataFrame, col: str = "country") -> DataFrame:
