@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import try_pct
+from ..operators import metrics as M
 from ..operators.dq import dq_checks
 from ..specs import DqRule
 from .gold import GOLD_CUSTOMER_COLUMNS
@@ -76,3 +77,65 @@ def product_dq(gold_sales: DataFrame) -> DataFrame:
 def dq_checks_gold(gold_cust: DataFrame, gold_sales: DataFrame, as_of) -> DataFrame:
     return customer_dq(gold_cust, as_of).unionByName(product_dq(gold_sales))
 
+
+
+def _df(x) -> DataFrame:
+    """A DataFrame, or a zero-argument callable producing one (built only when a tile needs it)."""
+    return x() if callable(x) else x
+
+
+def _tiles(gold_cust, gold_sales, selections: dict[str, list] | None, as_of):
+    """name -> builder of each dashboard tile (built only when asked for)."""
+    cust_all = lambda: gold_customers_dataset(_df(gold_cust))
+    cust = lambda: M.filtered(cust_all(), selections)
+    prod = lambda: gold_products_dataset(_df(gold_sales))
+    by_cust = lambda dim: lambda: M.group_count(cust(), dim, "customer_id", "customer_count")
+    by_prod = lambda dim: lambda: M.group_count(prod(), dim, "product_id", "product_count")
+    tiles = {
+        "kpi_total_customers": lambda: M.kpi(cust(), {"total_customers": F.count("customer_id")}),
+        "kpi_total_products": lambda: M.kpi(prod(), {"total_products": F.count("product_id")}),
+        "kpi_product_categories": lambda: M.kpi(prod(), {"product_categories": F.count_distinct("category")}),
+        "kpi_countries_covered": lambda: M.kpi(cust(), {"countries_covered": F.count_distinct("country")},
+                                               where=F.col("country") != F.lit(UNKNOWN)),
+        "kpi_average_cost": lambda: M.kpi(prod(), {"average_cost": F.avg("cost")}),
+        "customers_by_country": by_cust("country"),
+        "customers_by_gender": by_cust("gender"),
+        "customers_by_marital": by_cust("marital_status"),
+        "products_by_category": by_prod("category"),
+        "products_by_line": by_prod("product_line"),
+        "products_by_subcategory": by_prod("subcategory"),
+        "products_by_maintenance": by_prod("maintenance_required"),
+        "customer_detail": lambda: M.detail(cust(), GOLD_CUSTOMER_COLUMNS),
+        "product_detail": lambda: M.detail(prod(), PRODUCT_DETAIL_COLUMNS),
+        "top10_products_by_cost": lambda: M.top_k(
+            prod(), [F.col("cost").desc_nulls_last(), F.col("product_id").asc_nulls_last()], 10,
+            ["product_id", "product_key", "product_name", "cost", "category"]),
+        "filter_values_country": lambda: M.filter_values(cust_all(), "country", selections),
+        "filter_values_gender": lambda: M.filter_values(cust_all(), "gender", selections),
+    }
+    if as_of is not None:
+        tiles["dq_checks_gold"] = lambda: dq_checks_gold(_df(gold_cust), _df(gold_sales), as_of)
+    return tiles
+
+
+TILE_NAMES = tuple(_tiles(None, None, None, "2000-01-01"))
+
+
+def widget(name: str, gold_cust, gold_sales, selections: dict[str, list] | None = None,
+           as_of=None) -> DataFrame:
+    """One dashboard tile as a lazy DataFrame (see :func:`widgets`); the gold inputs may be
+    DataFrames or zero-argument callables, so a customer tile never plans the sales side."""
+    return _tiles(gold_cust, gold_sales, selections, as_of)[name]()
+
+
+def widgets(gold_cust: DataFrame, gold_sales: DataFrame, selections: dict[str, list] | None = None,
+            as_of=None) -> dict[str, DataFrame]:
+    """Every tile of the gold dashboard as a lazy DataFrame.
+
+    In production pass the *written* gold tables (``spark.table(...)``): each
+    tile is then one scan of a gold table plus one small aggregate.  The global
+    multi-select filters (country, gender) apply to the customer dataset only,
+    as in the dashboard definition; the filter lists themselves count rows that
+    satisfy the *other* active filter.
+    """
+    return {name: build() for name, build in _tiles(gold_cust, gold_sales, selections, as_of).items()}

@@ -219,27 +219,21 @@ def _prod(ws: Workspace) -> DataFrame:
 
 _q("ds_gold_customers", _cust)
 _q("ds_gold_products", _prod)
-_q("kpi_total_customers", lambda ws: M.kpi(_cust(ws), {"total_customers": F.count("customer_id")}))
-_q("kpi_total_products", lambda ws: M.kpi(_prod(ws), {"total_products": F.count("product_id")}))
-_q("kpi_product_categories", lambda ws: M.kpi(_prod(ws), {"product_categories": F.count_distinct("category")}))
-_q("kpi_countries_covered", lambda ws: M.kpi(_cust(ws), {"countries_covered": F.count_distinct("country")},
-                                             where=F.col("country") != F.lit(D.UNKNOWN)))
-_q("kpi_average_cost", lambda ws: M.kpi(_prod(ws), {"average_cost": F.avg("cost")}))
-_q("customers_by_country", lambda ws: M.group_count(_cust(ws), "country", "customer_id", "customer_count"))
-_q("customers_by_gender", lambda ws: M.group_count(_cust(ws), "gender", "customer_id", "customer_count"))
-_q("customers_by_marital", lambda ws: M.group_count(_cust(ws), "marital_status", "customer_id", "customer_count"))
-_q("products_by_category", lambda ws: M.group_count(_prod(ws), "category", "product_id", "product_count"))
-_q("products_by_line", lambda ws: M.group_count(_prod(ws), "product_line", "product_id", "product_count"))
-_q("products_by_subcategory", lambda ws: M.group_count(_prod(ws), "subcategory", "product_id", "product_count"))
-_q("products_by_maintenance", lambda ws: M.group_count(_prod(ws), "maintenance_required", "product_id", "product_count"))
-_q("customer_detail", lambda ws: M.detail(_cust(ws), G.GOLD_CUSTOMER_COLUMNS))
-_q("product_detail", lambda ws: M.detail(_prod(ws), D.PRODUCT_DETAIL_COLUMNS))
-_q("customers_filtered", lambda ws: M.filtered(_cust(ws), {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}))
-_q("filter_values_country", lambda ws: M.filter_values(_cust(ws), "country", {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}))
-_q("filter_values_gender", lambda ws: M.filter_values(_cust(ws), "gender", {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}))
-_q("top10_products_by_cost", lambda ws: M.top_k(
-    _prod(ws), [F.col("cost").desc_nulls_last(), F.col("product_id").asc_nulls_last()], 10,
-    ["product_id", "product_key", "product_name", "cost", "category"]))
+_SELECTION = {"country": COUNTRY_SELECTION, "gender": GENDER_SELECTION}
+
+
+def _widget(name: str, selections: dict | None = None) -> Callable[[Workspace], DataFrame]:
+    return lambda ws: D.widget(name, lambda: ws.gold_cust, lambda: ws.gold_sales, selections)
+
+
+for _name in ("kpi_total_customers", "kpi_total_products", "kpi_product_categories", "kpi_countries_covered",
+              "kpi_average_cost", "customers_by_country", "customers_by_gender", "customers_by_marital",
+              "products_by_category", "products_by_line", "products_by_subcategory", "products_by_maintenance",
+              "customer_detail", "product_detail", "top10_products_by_cost"):
+    _q(_name, _widget(_name))
+_q("customers_filtered", _widget("customer_detail", _SELECTION))
+_q("filter_values_country", _widget("filter_values_country", _SELECTION))
+_q("filter_values_gender", _widget("filter_values_gender", _SELECTION))
 _q("dq_checks_gold", lambda ws: D.dq_checks_gold(ws.gold_cust, ws.gold_sales, AS_OF))
 
 

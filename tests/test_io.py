@@ -153,3 +153,25 @@ def test_bucketed_silver_tables_make_the_product_join_shuffle_free(spark):
         assert rows(gs) == rows(ws.gold_sales)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_dashboard_widgets_over_written_gold_tables(spark):
+    """Production path: layered run writes gold; every dashboard tile reads the written tables
+    and equals the same tile computed from the in-memory plan."""
+    from strata.plans import dashboard as D
+    from strata.plans import layered
+    from strata.plans.workspace import Workspace
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    lay, _ = layered.run_layers(spark, {
+        "bronze_crm_cust_info": ws.bronze_cust, "bronze_crm_prd_info": ws.bronze_prd,
+        "bronze_crm_sales_details": ws.bronze_sales, "bronze_erp_cust_az12": ws.erp_cust,
+        "bronze_erp_loc_a101": ws.erp_loc, "bronze_erp_px_cat_g1v2": ws.erp_cat}, f"t{uuid.uuid4().hex[:8]}_")
+    sel = {"country": ["Germany", "Unknown"], "gender": ["Male", "Female"]}
+    written = D.widgets(spark.table(f"{lay['gold']}.gold_customer_enriched"),
+                        spark.table(f"{lay['gold']}.gold_sales_denormalized"), sel, as_of="2025-01-01")
+    planned = D.widgets(ws.gold_cust, ws.gold_sales, sel, as_of="2025-01-01")
+    assert set(written) == set(D.TILE_NAMES)
+    for name in ("kpi_total_customers", "customers_by_gender", "filter_values_country", "products_by_category",
+                 "top10_products_by_cost", "dq_checks_gold"):
+        assert rows(written[name]) == rows(planned[name]), name
