@@ -175,3 +175,31 @@ def test_dashboard_widgets_over_written_gold_tables(spark):
     for name in ("kpi_total_customers", "customers_by_gender", "filter_values_country", "products_by_category",
                  "top10_products_by_cost", "dq_checks_gold"):
         assert rows(written[name]) == rows(planned[name]), name
+
+
+def test_cli_layered_and_dq(spark, tmp_path, capsys):
+    """``python -m strata layered`` then ``dq`` on the same session (getOrCreate reuses it)."""
+    import json as _json
+
+    from strata.__main__ import main
+    from strata.plans.workspace import Workspace
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    root = tmp_path / "landing"
+    frames = {"cust_info.csv": ws.bronze_cust, "prd_info.csv": ws.bronze_prd, "sales_details.csv": ws.bronze_sales,
+              "CUST_AZ12.csv": ws.erp_cust, "LOC_A101.csv": ws.erp_loc, "PX_CAT_G1V2.csv": ws.erp_cat}
+    cfg_dir = os.path.join(os.path.dirname(os.path.dirname(__file__)), "configs")
+    for name in ("crm_ingest.json", "erp_ingest.json"):
+        cfg = IngestConfig.from_json(f"{cfg_dir}/{name}")
+        for src in cfg.sources:
+            S.write_csv(frames[src.file_name], str(root / cfg.base_path / src.file_name))
+    prefix = f"t{uuid.uuid4().hex[:8]}_"
+    assert main(["layered", "--config", f"{cfg_dir}/crm_ingest.json", "--config", f"{cfg_dir}/erp_ingest.json",
+                 "--landing-root", str(root), "--prefix", prefix]) == 0
+    out = [_json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    written = {o["table_name"]: o["rows_written"] for o in out if "table_name" in o}
+    assert written["gold_customer_enriched"] == ws.gold_cust.count()
+    code = main(["dq", "--gold-schema", f"{prefix}gold", "--as-of", "2025-01-01"])
+    checks = [_json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert len(checks) == 11 and code in (0, 2)
+    assert code == (2 if any(c["status"] == "FAIL" for c in checks) else 0)
