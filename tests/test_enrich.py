@@ -151,3 +151,33 @@ def test_salted_join_with_map_column(spark):
     left = spark.createDataFrame([(1, None, {"a": 1}), (2, "x", {"b": 2})], "id int, k string, m map<string,int>")
     right = spark.createDataFrame([("x", 10)], "k string, v int")
     assert rows(J.salted_join(left, right, "k", "left").select("id", "v")) == [(1, None), (2, 10)]
+
+
+def test_aqe_splits_a_hot_non_null_key_in_enrich(spark):
+    """A third of the left rows share one key: AQE's skew-join split keeps every output
+    partition well under that third (thresholds lowered to this test's size)."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.enabled": "true",
+             "spark.sql.adaptive.skewJoin.enabled": "true",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(0, 60000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 997).cast("string")).alias("k"))
+        right = spark.range(0, 997).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")) \
+            .union(spark.createDataFrame([("HOT", 1)], "k string, v long"))
+        out = J.enrich(left, right, "k")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 60000
+        assert max(sizes) / sum(sizes) < 0.25
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
