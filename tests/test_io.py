@@ -203,3 +203,15 @@ def test_cli_layered_and_dq(spark, tmp_path, capsys):
     checks = [_json.loads(line) for line in capsys.readouterr().out.splitlines()]
     assert len(checks) == 11 and code in (0, 2)
     assert code == (2 if any(c["status"] == "FAIL" for c in checks) else 0)
+
+
+def test_list_and_use_schema(spark, layers):
+    assert {layers["bronze"], layers["silver"], layers["gold"]} <= set(K.list_schemas(spark))
+    before = spark.catalog.currentDatabase()
+    try:
+        K.use_schema(spark, layers["silver"])
+        assert spark.catalog.currentDatabase() == layers["silver"]
+    finally:
+        K.use_schema(spark, before)
+    comments = {r[0]: r[1] for r in spark.sql(f"DESCRIBE SCHEMA EXTENDED {layers['gold']}").collect()}
+    assert comments.get("Comment") == "Gold layer: Denormalized, enriched, analytics-ready tables"
