@@ -90,7 +90,8 @@ def create_layer_tables(spark: SparkSession, layers: dict[str, str], buckets: in
 
 
 def write_table(df: DataFrame, name: str, *, schema: T.StructType | None = None, comment: str | None = None,
-                mode: str = "overwrite", bucket_by: tuple[str, ...] = (), buckets: int | None = None) -> None:
+                mode: str = "overwrite", bucket_by: tuple[str, ...] = (), buckets: int | None = None,
+                max_records_per_file: int | None = None) -> None:
     """Overwrite (or append to) a managed table, keeping its DDL when it already exists.
 
     The table is created from ``schema`` (or the DataFrame's) on first use; the
@@ -98,6 +99,7 @@ def write_table(df: DataFrame, name: str, *, schema: T.StructType | None = None,
     Bucketed tables are hash-partitioned on the bucket key first so every bucket
     is one file; Spark drops that repartition when the plan is already
     partitioned that way (e.g. by the dedupe window on the same key).
+    ``max_records_per_file`` caps file size for very large partitions.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
@@ -108,7 +110,10 @@ def write_table(df: DataFrame, name: str, *, schema: T.StructType | None = None,
         n = table_buckets(spark, name)
         if n:
             out = out.repartition(n, *bucket_by)
-    out.write.insertInto(name, overwrite=(mode == "overwrite"))
+    writer = out.write
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
+    writer.insertInto(name, overwrite=(mode == "overwrite"))
 
 
 def write_spec_table(df: DataFrame, schema_name: str, spec: TableSpec, mode: str = "overwrite",
