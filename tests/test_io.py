@@ -215,13 +215,3 @@ def test_list_and_use_schema(spark, layers):
         K.use_schema(spark, before)
     comments = {r[0]: r[1] for r in spark.sql(f"DESCRIBE SCHEMA EXTENDED {layers['gold']}").collect()}
     assert comments.get("Comment") == "Gold layer: Denormalized, enriched, analytics-ready tables"
-
-
-def test_max_records_per_file_caps_file_size(spark, layers):
-    import glob
-
-    name = f"{layers['bronze']}.capped"
-    K.write_table(spark.range(100).selectExpr("CAST(id AS INT) AS a").coalesce(1), name, max_records_per_file=10)
-    loc = [r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r[0] == "Location"][0]
-    files = glob.glob(loc.replace("file:", "") + "/*.parquet")
-    assert len(files) == 10 and spark.table(name).count() == 100
