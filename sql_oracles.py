@@ -248,6 +248,12 @@ oracle("dedupe_lineitem", f"""
 SELECT {', '.join(LINEITEM_COLS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_dedupe_order('l_shipdate', _LI_REST)}) AS rn
   FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL) t WHERE rn = 1""")
+oracle("silver_lineitem", f"""
+SELECT {', '.join(LINEITEM_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {_dedupe_order('l_shipdate', _LI_REST)}) AS rn
+  FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+               trim(l_returnflag) AS l_returnflag, trim(l_linestatus) AS l_linestatus, l_shipdate FROM lineitem) t
+  WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL) r WHERE rn = 1""")
 oracle("null_key_rows", "SELECT * FROM cust_trim WHERE cst_id IS NULL")
 oracle("null_rows_by_column", "SELECT * FROM cust_dedup_all WHERE cst_lastname IS NULL")
 oracle("null_overlap", "SELECT * FROM cust_dedup_all WHERE cst_id IS NULL AND cst_create_date IS NULL")

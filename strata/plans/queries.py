@@ -113,6 +113,7 @@ _q("dedupe_keep_null_keys", _cust_dedup_keep_null)
 _q("dedupe_product", _prd_dedup)
 _q("dedupe_sales", lambda ws: C.dedupe_latest(C.trim_strings(ws.bronze_sales), SALES.key, SALES.order_col))
 _q("dedupe_lineitem", lambda ws: C.dedupe_latest(ws.lineitem, LINEITEM.key, LINEITEM.order_col))
+_q("silver_lineitem", lambda ws: C.clean_entity(ws.lineitem, LINEITEM))   # the whole silver step, fact-table spec
 _q("null_key_rows", lambda ws: C.null_key_rows(_cust_trim(ws), CUSTOMER.key))
 _q("null_rows_by_column", lambda ws: _cust_dedup_keep_null(ws).where(F.col("cst_lastname").isNull()))
 _q("null_overlap", lambda ws: _cust_dedup_keep_null(ws).where(
