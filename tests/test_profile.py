@@ -83,3 +83,19 @@ def test_date_profile_approx_distinct_is_close_and_single_stage(spark):
     approx = P.date_profile(df, "d", as_of="2025-01-01", approx_distinct=0.02).collect()[0].distinct_dates
     assert exact == 700 and abs(approx - 700) / 700 < 0.08
     assert "Expand" not in plan_text(P.date_profile(df, "d", approx_distinct=0.02, end_col="d"))
+
+
+def test_dedupe_shuffles_at_most_one_row_per_map_task_for_a_hot_key(spark):
+    """A third of the rows share one key across 8 map tasks: after execution, AQE's final plan
+    reports the rows that crossed the shuffle — the other keys' 20 000 plus <= 8 for the hot key."""
+    import re
+
+    src = spark.range(0, 30000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id").alias("v"))
+    df = C.dedupe_latest(src, ["k"], "v")
+    assert df.count() == 20001
+    df.collect()
+    shuffled = [float(x) for x in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\([^)]*rowCount=([0-9.E+]+)",
+                                             plan_text(df))]
+    assert shuffled and max(shuffled) < 20100      # not 30 000: the hot key was cut map-side
