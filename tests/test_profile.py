@@ -99,3 +99,15 @@ def test_dedupe_shuffles_at_most_one_row_per_map_task_for_a_hot_key(spark):
     shuffled = [float(x) for x in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\([^)]*rowCount=([0-9.E+]+)",
                                              plan_text(df))]
     assert shuffled and max(shuffled) < 20100      # not 30 000: the hot key was cut map-side
+
+
+def test_duplicate_check_pre_aggregates_a_hot_key_before_the_shuffle(spark):
+    import re
+
+    src = spark.range(0, 30000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"))
+    df = P.duplicate_check(src, {"k": "k"})
+    assert df.collect()[0].dup_count == 1
+    shuffled = [float(x) for x in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\([^)]*rowCount=([0-9.E+]+)",
+                                             plan_text(df))]
+    assert shuffled and max(shuffled) < 20100      # one partial row per key per map task
