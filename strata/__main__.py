@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> int:
     lay.add_argument("--config", action="append", required=True, help="ingest config JSON (repeatable)")
     lay.add_argument("--landing-root", default=".", help="root for relative base_path values")
     lay.add_argument("--prefix", default="", help="schema name prefix (bronze/silver/gold get it)")
+    lay.add_argument("--parallel", type=int, default=1, help="source files ingested concurrently")
     dq = sub.add_parser("dq", help="data-quality checks over written gold tables")
     dq.add_argument("--gold-schema", default="gold")
     dq.add_argument("--as-of", required=True, help="reference date for freshness, YYYY-MM-DD")
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "layered":
         from .plans.layered import run_from_csv
 
-        layers, audit = run_from_csv(spark, _configs(args), args.prefix)
+        layers, audit = run_from_csv(spark, _configs(args), args.prefix, parallel=args.parallel)
         for r in audit.collect():  # one row per table written: bounded
             print(json.dumps(r.asDict()))
         print(json.dumps({"layers": layers}))

@@ -61,7 +61,8 @@ def run_layers(spark: SparkSession, inputs: dict[str, DataFrame], prefix: str =
     return layers, spark.createDataFrame(audit, "layer string, table_name string, rows_written bigint")
 
 
-def run_from_csv(spark: SparkSession, configs: list[IngestConfig], prefix: str = "") -> tuple[dict[str, str], DataFrame]:
+def run_from_csv(spark: SparkSession, configs: list[IngestConfig], prefix: str = "",
+                 parallel: int = 1) -> tuple[dict[str, str], DataFrame]:
     """Landing CSVs -> bronze (config-driven) -> silver -> gold.  Each config's ``target_schema``
     is replaced by this run's bronze schema; returns schema names and the ingest + write audit."""
     layers = ensure_layers(spark, prefix)
@@ -70,7 +71,7 @@ def run_from_csv(spark: SparkSession, configs: list[IngestConfig], prefix: str =
         cfg = IngestConfig(cfg.base_path, layers["bronze"], cfg.sources)
         schemas = {src.table_name: BRONZE[src.table_name].schema for src in cfg.sources}
         comments = {src.table_name: BRONZE[src.table_name].comment for src in cfg.sources}
-        for r in ingest_config(spark, cfg, schemas, comments).collect():  # one row per source file set
+        for r in ingest_config(spark, cfg, schemas, comments, parallel=parallel).collect():  # one row per source
             audit.append(("bronze", r.table_name, r.row_count))
     run_silver(spark, layers, audit)
     run_gold(spark, layers, audit)

@@ -195,7 +195,7 @@ def test_cli_layered_and_dq(spark, tmp_path, capsys):
             S.write_csv(frames[src.file_name], str(root / cfg.base_path / src.file_name))
     prefix = f"t{uuid.uuid4().hex[:8]}_"
     assert main(["layered", "--config", f"{cfg_dir}/crm_ingest.json", "--config", f"{cfg_dir}/erp_ingest.json",
-                 "--landing-root", str(root), "--prefix", prefix]) == 0
+                 "--landing-root", str(root), "--prefix", prefix, "--parallel", "3"]) == 0
     out = [_json.loads(line) for line in capsys.readouterr().out.splitlines()]
     written = {o["table_name"]: o["rows_written"] for o in out if "table_name" in o}
     assert written["gold_customer_enriched"] == ws.gold_cust.count()
@@ -215,3 +215,22 @@ def test_list_and_use_schema(spark, layers):
         K.use_schema(spark, before)
     comments = {r[0]: r[1] for r in spark.sql(f"DESCRIBE SCHEMA EXTENDED {layers['gold']}").collect()}
     assert comments.get("Comment") == "Gold layer: Denormalized, enriched, analytics-ready tables"
+
+
+def test_ingest_config_parallel_matches_sequential(spark, tmp_path):
+    from strata.plans.workspace import Workspace
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    files = {"bronze_erp_cust_az12": ("CUST_AZ12.csv", ws.erp_cust), "bronze_erp_loc_a101": ("LOC_A101.csv", ws.erp_loc),
+             "bronze_erp_px_cat_g1v2": ("PX_CAT_G1V2.csv", ws.erp_cat)}
+    for t, (f, df) in files.items():
+        S.write_csv(df, str(tmp_path / f))
+    reports = []
+    for par in (1, 3):
+        lay = K.ensure_layers(spark, f"t{uuid.uuid4().hex[:8]}_")
+        cfg = IngestConfig(str(tmp_path), lay["bronze"], tuple(IngestSource(f, t) for t, (f, _) in files.items()))
+        rep = S.ingest_config(spark, cfg, {t: BRONZE[t].schema for t in files}, parallel=par)
+        reports.append([(r.table_name, r.row_count, r.corrupt_rows) for r in rep.collect()])
+        for t in files:
+            assert rows(spark.table(f"{lay['bronze']}.{t}")) == rows(files[t][1])
+    assert reports[0] == reports[1]
