@@ -33,31 +33,54 @@ def load_bronze(spark: SparkSession, inputs: dict[str, DataFrame], layers: dict[
         _write(inputs[name], layers["bronze"], BRONZE[name], audit)
 
 
-def run_silver(spark: SparkSession, layers: dict[str, str], audit: list) -> None:
+def _run_all(tasks, parallel: int) -> None:
+    """Run independent table writes, optionally as concurrent Spark jobs from driver threads."""
+    if parallel > 1 and len(tasks) > 1:
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            for f in [pool.submit(t) for t in tasks]:
+                f.result()
+    else:
+        for t in tasks:
+            t()
+
+
+def run_silver(spark: SparkSession, layers: dict[str, str], audit: list, parallel: int = 1) -> None:
     b = lambda n: spark.table(qualified(layers["bronze"], n))
-    _write(silver.silver_customer(b("bronze_crm_cust_info")), layers["silver"], SILVER["silver_crm_cust_info"], audit)
-    _write(silver.silver_product(b("bronze_crm_prd_info")), layers["silver"], SILVER["silver_crm_prd_info"], audit)
-    _write(silver.silver_sales(b("bronze_crm_sales_details")), layers["silver"], SILVER["silver_crm_sales_details"], audit)
+    w = lambda build, src, dst: lambda: _write(build(b(src)), layers["silver"], SILVER[dst], audit)
+    _run_all([w(silver.silver_customer, "bronze_crm_cust_info", "silver_crm_cust_info"),
+              w(silver.silver_product, "bronze_crm_prd_info", "silver_crm_prd_info"),
+              w(silver.silver_sales, "bronze_crm_sales_details", "silver_crm_sales_details")], parallel)
 
 
-def run_gold(spark: SparkSession, layers: dict[str, str], audit: list, broadcast_max_rows: int | None = None) -> None:
+def run_gold(spark: SparkSession, layers: dict[str, str], audit: list, broadcast_max_rows: int | None = None,
+             parallel: int = 1) -> None:
     b = lambda n: spark.table(qualified(layers["bronze"], n))
     s = lambda n: spark.table(qualified(layers["silver"], n))
-    gc = gold.gold_customer(s("silver_crm_cust_info"), b("bronze_erp_cust_az12"), b("bronze_erp_loc_a101"),
-                            broadcast_max_rows=broadcast_max_rows)
-    _write(gc, layers["gold"], GOLD["gold_customer_enriched"], audit)
-    gs = gold.gold_sales(s("silver_crm_sales_details"), s("silver_crm_prd_info"), b("bronze_erp_px_cat_g1v2"))
-    _write(gs, layers["gold"], GOLD["gold_sales_denormalized"], audit)
+
+    def customer():
+        gc = gold.gold_customer(s("silver_crm_cust_info"), b("bronze_erp_cust_az12"), b("bronze_erp_loc_a101"),
+                                broadcast_max_rows=broadcast_max_rows)
+        _write(gc, layers["gold"], GOLD["gold_customer_enriched"], audit)
+
+    def sales():
+        gs = gold.gold_sales(s("silver_crm_sales_details"), s("silver_crm_prd_info"), b("bronze_erp_px_cat_g1v2"))
+        _write(gs, layers["gold"], GOLD["gold_sales_denormalized"], audit)
+
+    _run_all([customer, sales], parallel)
 
 
-def run_layers(spark: SparkSession, inputs: dict[str, DataFrame], prefix: str = "") -> tuple[dict[str, str], DataFrame]:
+def run_layers(spark: SparkSession, inputs: dict[str, DataFrame], prefix: str = "",
+               parallel: int = 1) -> tuple[dict[str, str], DataFrame]:
     """Run bronze -> silver -> gold; returns the schema names and an audit DataFrame
-    (layer, table_name, rows_written)."""
+    (layer, table_name, rows_written).  ``parallel`` writes the independent tables of a
+    layer as concurrent jobs."""
     layers = ensure_layers(spark, prefix)
     audit: list = []
     load_bronze(spark, inputs, layers, audit)
-    run_silver(spark, layers, audit)
-    run_gold(spark, layers, audit)
+    run_silver(spark, layers, audit, parallel=parallel)
+    run_gold(spark, layers, audit, parallel=parallel)
     return layers, spark.createDataFrame(audit, "layer string, table_name string, rows_written bigint")
 
 
@@ -73,6 +96,6 @@ def run_from_csv(spark: SparkSession, configs: list[IngestConfig], prefix: str =
         comments = {src.table_name: BRONZE[src.table_name].comment for src in cfg.sources}
         for r in ingest_config(spark, cfg, schemas, comments, parallel=parallel).collect():  # one row per source
             audit.append(("bronze", r.table_name, r.row_count))
-    run_silver(spark, layers, audit)
-    run_gold(spark, layers, audit)
+    run_silver(spark, layers, audit, parallel=parallel)
+    run_gold(spark, layers, audit, parallel=parallel)
     return layers, spark.createDataFrame(audit, "layer string, table_name string, rows_written bigint")

@@ -234,3 +234,17 @@ def test_ingest_config_parallel_matches_sequential(spark, tmp_path):
         for t in files:
             assert rows(spark.table(f"{lay['bronze']}.{t}")) == rows(files[t][1])
     assert reports[0] == reports[1]
+
+
+def test_layered_parallel_writes_match_sequential(spark):
+    from strata.plans import layered
+    from strata.plans.workspace import Workspace
+
+    ws = Workspace(spark, "/root/testdata/sf0.001")
+    inputs = {"bronze_crm_cust_info": ws.bronze_cust, "bronze_crm_prd_info": ws.bronze_prd,
+              "bronze_crm_sales_details": ws.bronze_sales, "bronze_erp_cust_az12": ws.erp_cust,
+              "bronze_erp_loc_a101": ws.erp_loc, "bronze_erp_px_cat_g1v2": ws.erp_cat}
+    lay, audit = layered.run_layers(spark, inputs, f"t{uuid.uuid4().hex[:8]}_", parallel=3)
+    assert rows(spark.table(f"{lay['gold']}.gold_customer_enriched")) == rows(ws.gold_cust)
+    assert rows(spark.table(f"{lay['gold']}.gold_sales_denormalized")) == rows(ws.gold_sales)
+    assert len(audit.collect()) == 11
