@@ -28,9 +28,10 @@ def _write(df: DataFrame, schema_name: str, spec, audit: list) -> str:
     return name
 
 
-def load_bronze(spark: SparkSession, inputs: dict[str, DataFrame], layers: dict[str, str], audit: list) -> None:
-    for name in BRONZE_INPUTS:
-        _write(inputs[name], layers["bronze"], BRONZE[name], audit)
+def load_bronze(spark: SparkSession, inputs: dict[str, DataFrame], layers: dict[str, str], audit: list,
+                parallel: int = 1) -> None:
+    _run_all([(lambda n=name: _write(inputs[n], layers["bronze"], BRONZE[n], audit)) for name in BRONZE_INPUTS],
+             parallel)
 
 
 def _run_all(tasks, parallel: int) -> None:
@@ -78,7 +79,7 @@ def run_layers(spark: SparkSession, inputs: dict[str, DataFrame], prefix: str =
     layer as concurrent jobs."""
     layers = ensure_layers(spark, prefix)
     audit: list = []
-    load_bronze(spark, inputs, layers, audit)
+    load_bronze(spark, inputs, layers, audit, parallel=parallel)
     run_silver(spark, layers, audit, parallel=parallel)
     run_gold(spark, layers, audit, parallel=parallel)
     return layers, spark.createDataFrame(audit, "layer string, table_name string, rows_written bigint")
