@@ -19,7 +19,9 @@ from .catalog import qualified, write_table
 NULL_TOKEN = "\\N"
 CORRUPT_COL = "_corrupt_record"
 
-READ_OPTIONS = {"header": "true", "nullValue": NULL_TOKEN, "mode": "PERMISSIVE",
+# enforceSchema=false: header names are checked against the schema, so a source that
+# reorders its columns fails loudly instead of loading values into the wrong columns.
+READ_OPTIONS = {"header": "true", "enforceSchema": "false", "nullValue": NULL_TOKEN, "mode": "PERMISSIVE",
                 "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 WRITE_OPTIONS = {"header": "true", "nullValue": NULL_TOKEN, "emptyValue": '""',
                  "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}

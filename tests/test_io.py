@@ -248,3 +248,10 @@ def test_layered_parallel_writes_match_sequential(spark):
     assert rows(spark.table(f"{lay['gold']}.gold_customer_enriched")) == rows(ws.gold_cust)
     assert rows(spark.table(f"{lay['gold']}.gold_sales_denormalized")) == rows(ws.gold_sales)
     assert len(audit.collect()) == 11
+
+
+def test_reordered_source_columns_fail_instead_of_shifting_values(spark, tmp_path):
+    p = tmp_path / "swapped.csv"
+    p.write_text("CID,GEN,BDATE\nA,M,1980-01-01\n")
+    with pytest.raises(Exception):
+        S.read_csv(spark, str(p), BRONZE["bronze_erp_cust_az12"].schema).collect()
