@@ -97,3 +97,25 @@ def test_filters_match_brute_force(spark, data, sel_a, sel_b):
     for r in data:
         want[r[2]] += keep(r, skip="a")
     assert fv == dict(want)
+
+
+KEYS = st.lists(st.one_of(st.none(), st.text(alphabet="AB-é0 ", max_size=8)), min_size=1, max_size=20)
+
+
+@SETTINGS
+@given(KEYS)
+def test_derived_and_segment_keys_match_python(spark, keys):
+    from strata.functions.expr import derived_key, segment_key
+
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = [tuple(r) for r in df.select(derived_key("NASA", "k", 2).alias("a"), derived_key("AW-", "k", 3).alias("b"),
+                                       segment_key("k").alias("c")).collect()]
+
+    def seg(k):
+        if k is None:
+            return None
+        parts = k.split("-")
+        return None if len(parts) < 2 else parts[0] + "_" + parts[1]
+
+    want = [(None if k is None else "NASA" + k[1:], None if k is None else "AW-" + k[2:], seg(k)) for k in keys]
+    assert got == want
