@@ -119,3 +119,63 @@ def test_derived_and_segment_keys_match_python(spark, keys):
 
     want = [(None if k is None else "NASA" + k[1:], None if k is None else "AW-" + k[2:], seg(k)) for k in keys]
     assert got == want
+
+
+CUST_KEY = st.one_of(st.none(), st.sampled_from(["AW1", "AW2", "AX1", "A", "", "AW-9"]))
+GENDER = st.sampled_from([None, "", " ", "M", "F", "Male ", "x"])
+SILVER_GENDER = st.sampled_from(["Unknown", "Male", "Female", "", "n/a"])
+COUNTRY = st.sampled_from([None, "", " ", "US", "USA", "DE", " France ", "Spain"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(CUST_KEY, SILVER_GENDER), min_size=1, max_size=12),
+       st.lists(st.tuples(st.sampled_from(["NASAW1", "NASAW2 ", "NASAX1", "NASA", "NAS", None]), GENDER), max_size=6),
+       st.lists(st.tuples(st.sampled_from(["AW-1", " AW-2", "AW-", "AW-9", "X", None]), COUNTRY), max_size=6))
+def test_gold_customer_matches_brute_force(spark, cust, erp_cust, erp_loc):
+    import datetime as _dt
+
+    from strata.plans import gold as G
+
+    D0 = _dt.date(2024, 1, 1)
+    silver = spark.createDataFrame(
+        [(i, k, "f", "l", "Single", g, D0) for i, (k, g) in enumerate(cust)],
+        "customer_id int, customer_key string, first_name string, last_name string, marital_status string, "
+        "gender string, created_date date")
+    ec = spark.createDataFrame([(c, D0, g) for c, g in erp_cust], "CID string, BDATE date, GEN string")
+    el = spark.createDataFrame(erp_loc, "CID string, CNTRY string")
+    got = sorted((tuple(r) for r in G.gold_customer(silver, ec, el).select("customer_id", "gender", "birth_date",
+                                                                             "country").collect()), key=repr)
+
+    def strip(v):
+        return None if v is None else v.strip(" ")
+
+    def country(c):
+        if c in ("USA", "US"):
+            return "United States"
+        if c == "DE":
+            return "Germany"
+        if c is None or c.strip(" ") == "":
+            return "Unknown"
+        return c.strip(" ")
+
+    def erp_gender(g):
+        if g == "M":
+            return "Male"
+        if g == "F":
+            return "Female"
+        if g is None or g.strip(" ") == "":
+            return None
+        return g.strip(" ")
+
+    want = []
+    for i, (k, g) in enumerate(cust):
+        ck = None if k is None else "NASA" + k[1:]
+        lk = None if k is None else "AW-" + k[2:]
+        cm = [(D0, strip(gg)) for c, gg in erp_cust if ck is not None and strip(c) == ck] or [(None, None)]
+        lm = [strip(cc) for c, cc in erp_loc if lk is not None and strip(c) == lk] or [None]
+        for bdate, eg in cm:
+            for cc in lm:
+                clean = erp_gender(eg)
+                gender = clean if (g == "Unknown" and clean is not None) else g
+                want.append((i, gender, bdate, country(cc)))
+    assert got == sorted(want, key=repr)
