@@ -179,3 +179,45 @@ def test_gold_customer_matches_brute_force(spark, cust, erp_cust, erp_loc):
                 gender = clean if (g == "Unknown" and clean is not None) else g
                 want.append((i, gender, bdate, country(cc)))
     assert got == sorted(want, key=repr)
+
+
+PKEY = st.sampled_from(["AB-C-1", "AB-C-2", "AB-D-3", "NOHYPHEN", "AB-", "-C-9", None])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(1, 6), PKEY, st.one_of(st.none(), st.integers(0, 9))), min_size=1, max_size=10,
+                unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.integers(1, 8), st.sampled_from(["m1", "m2"]), st.integers(0, 9)), max_size=8,
+                unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.sampled_from(["AB_C", " AB_D", "AB_", "_C", "ZZ_Z"]), st.sampled_from(["cat1", "cat2 "])),
+                max_size=5))
+def test_gold_sales_matches_brute_force(spark, sales, products, cats):
+    import datetime as _dt
+
+    from strata.plans import gold as G
+
+    D0 = _dt.date(2020, 1, 1)
+    schema = ("product_id int, product_key string, product_name string, cost int, product_line string, "
+              "start_date date, end_date date")
+    sls = spark.createDataFrame([(i, k, "s", c, "Road", D0, None) for i, k, c in sales], schema)
+    prd = spark.createDataFrame([(i, "k", n, c, "Touring", D0, None) for i, n, c in products], schema)
+    cat = spark.createDataFrame([(c, n, "sub", "Yes") for c, n in cats], "ID string, CAT string, SUBCAT string, "
+                                                                          "MAINTENANCE string")
+    got = sorted((tuple(r) for r in G.gold_sales(sls, prd, cat).select(
+        "product_id", "cost", "category", "master_product_name", "master_cost").collect()), key=repr)
+
+    def seg(k):
+        if k is None:
+            return None
+        p = k.split("-")
+        return None if len(p) < 2 else p[0] + "_" + p[1]
+
+    master = {i: (n, c) for i, n, c in products}
+    want = []
+    for i, k, c in sales:
+        mn, mc = master.get(i, (None, None))
+        cid = seg(k)
+        matches = [n.strip(" ") for cc, n in cats if cid is not None and cc.strip(" ") == cid] or [None]
+        for m in matches:
+            want.append((i, c, m, mn, mc))
+    assert got == sorted(want, key=repr)
