@@ -221,3 +221,48 @@ def test_gold_sales_matches_brute_force(spark, sales, products, cats):
         for m in matches:
             want.append((i, c, m, mn, mc))
     assert got == sorted(want, key=repr)
+
+
+CROW = st.tuples(
+    st.one_of(st.none(), st.integers(0, 3)),
+    st.sampled_from([None, "AW1", " AW1", "AW2 "]),
+    st.sampled_from([None, "", " a", "a", "b"]),
+    st.sampled_from([None, "x", "y "]),
+    st.sampled_from([None, "M", " M", "S", "X", ""]),
+    st.sampled_from([None, "M", "F ", "F", "U"]),
+    st.one_of(st.none(), st.dates(dt.date(2024, 1, 1), dt.date(2024, 1, 3))),
+)
+
+
+@SETTINGS
+@given(st.lists(CROW, max_size=20))
+def test_silver_customer_matches_brute_force(spark, data):
+    from strata.plans.silver import silver_customer
+
+    schema = ("cst_id int, cst_key string, cst_firstname string, cst_lastname string, cst_marital_status string, "
+              "cst_gndr string, cst_create_date date")
+    got = sorted((tuple(r) for r in silver_customer(spark.createDataFrame(data, schema).repartition(3)).collect()),
+                 key=repr)
+
+    def t(v):
+        return None if v is None else v.strip(" ")
+
+    trimmed = [(r[0], t(r[1]), t(r[2]), t(r[3]), t(r[4]), t(r[5]), r[6]) for r in data]
+    groups = defaultdict(list)
+    for r in trimmed:
+        if r[0] is not None:
+            groups[r[0]].append(r)
+
+    def order(r):
+        d = r[6]
+        return ((d is None, -(d.toordinal()) if d is not None else 0), sum(v is None for v in r[1:]),
+                *[_asc_nulls_last(v) for v in r[1:6]])
+
+    want = []
+    for rs in groups.values():
+        r = min(rs, key=order)
+        g = "Unknown" if r[5] is None else r[5]
+        g = {"M": "Male", "F": "Female"}.get(g, g)
+        m = {"M": "Married", "S": "Single"}.get(r[4], r[4])
+        want.append((r[0], r[1], r[2], r[3], m, g, r[6]))
+    assert got == sorted(want, key=repr)
