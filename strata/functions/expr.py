@@ -81,15 +81,20 @@ def derived_key(prefix: str, c: str | Column, start: int) -> Column:
 
 
 def segment_key(c: str | Column, sep: str = "-", parts: int = 2, joiner: str = "_") -> Column:
-    """First ``parts`` ``sep``-separated segments joined by ``joiner``; NULL when a segment is missing."""
-    c = F.col(c) if isinstance(c, str) else c
+    """First ``parts`` ``sep``-separated segments joined by ``joiner``; NULL when a segment is missing.
+
+    ``c`` is a Column, a column name, or a qualified reference such as ``"sls.product_key"``."""
+    if isinstance(c, str):
+        ref = c if "." in c else quote_ident(c)
+        pieces = [f"try_element_at(split({ref}, {sql_str(sep)}), {i})" for i in range(1, parts + 1)]
+        return F.expr(f"concat({f', {sql_str(joiner)}, '.join(pieces)})")
     arr = F.split(c, sep)
-    pieces: list[Column] = []
+    cols: list[Column] = []
     for i in range(1, parts + 1):
         if i > 1:
-            pieces.append(F.lit(joiner))
-        pieces.append(F.try_element_at(arr, F.lit(i)))
-    return F.concat(*pieces)
+            cols.append(F.lit(joiner))
+        cols.append(F.try_element_at(arr, F.lit(i)))
+    return F.concat(*cols)
 
 
 def try_pct(num: Column, den: Column, digits: int = 1) -> Column:

@@ -60,8 +60,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, how: str) -> DataFr
     l = left.withColumn("__salt", null_key_salt(left, key))
     r = right.withColumnRenamed(key, "__rkey")
     r = r.withColumn("__rsalt", null_key_salt(r, "__rkey"))
-    cond = (F.col(key) == F.col("__rkey")) & (F.col("__salt") == F.col("__rsalt"))
-    out = l.join(r, cond, how)
+    out = l.join(r, F.expr(f"{quote_ident(key)} = __rkey AND __salt = __rsalt"), how)
     return out.drop("__salt", "__rkey", "__rsalt") if how not in ("left_anti", "left_semi") else out.drop("__salt")
 
 

@@ -27,7 +27,10 @@ def _date_lit(d) -> Column:
     return F.to_date(F.lit(d))
 
 
-def _count_if(cond: Column) -> Column:
+def _count_if(cond: Column | str) -> Column:
+    """count_if with NULL treated as false; a SQL-text condition is built in one call."""
+    if isinstance(cond, str):
+        return F.expr(f"count_if(coalesce({cond}, false))")
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
@@ -62,17 +65,13 @@ def profile_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def null_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column_name, nulls) for every column in one pass."""
     cols = df.columns if cols is None else cols
-    wide = df.agg(*[_count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
+    wide = df.selectExpr(*[f"count_if({quote_ident(c)} IS NULL) AS n{i}" for i, c in enumerate(cols)])
     stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
 
 
 def _not_null(keys) -> Column:
-    cond = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        cond = c if cond is None else (cond & c)
-    return cond
+    return F.expr(" AND ".join(f"{quote_ident(k)} IS NOT NULL" for k in keys))
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -183,14 +182,12 @@ def duplicate_column_diff(df: DataFrame, keys) -> DataFrame:
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys]
-    per_group = []
-    for i, c in enumerate(rest):
-        col = F.col(c)
-        differs = (F.min(col) != F.max(col)) | ((F.count(col) > 0) & (F.count(col) < F.count(F.lit(1))))
-        per_group.append(F.coalesce(differs, F.lit(False)).cast("int").alias(f"d{i}"))
+    q = quote_ident
+    per_group = [F.expr(f"CAST(coalesce(min({q(c)}) != max({q(c)}) OR (count({q(c)}) > 0 AND count({q(c)}) < count(1)),"
+                        f" false) AS INT)").alias(f"d{i}") for i, c in enumerate(rest)]
     groups = (df.where(_not_null(keys)).groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("__copies"), *per_group).where(F.col("__copies") > 1))
-    wide = groups.agg(*[F.coalesce(F.sum(f"d{i}"), F.lit(0)).cast("bigint").alias(f"d{i}") for i in range(len(rest))])
+    wide = groups.selectExpr(*[f"CAST(coalesce(sum(d{i}), 0) AS BIGINT) AS d{i}" for i in range(len(rest))])
     stack = ", ".join(f"'{c}', d{i}" for i, c in enumerate(rest))
     return wide.selectExpr(f"stack({len(rest)}, {stack}) AS (column_name, groups_with_mismatch)")
 

@@ -84,19 +84,15 @@ def gold_sales(silver_sls: DataFrame, silver_prd: DataFrame, erp_cat: DataFrame,
     """
     sls, prd = silver_sls.alias("sls"), silver_prd.alias("prd")
     j = sls.join(prd, on="product_id", how="left")
-    j = j.withColumn("category_id", segment_key(F.col("sls.product_key")))
+    j = j.withColumn("category_id", segment_key("sls.product_key"))
     cat = erp_cat_clean(erp_cat)
     j = enrich(j, cat, "category_id", on_duplicate=on_duplicate, broadcast_max_rows=category_broadcast_max_rows)
-    return j.select(
-        F.col("product_id"),
-        F.col("sls.product_key").alias("product_key"),
-        F.col("sls.product_name").alias("product_name"),
-        F.col("sls.cost").alias("cost"),
-        F.col("sls.product_line").alias("product_line"),
-        F.col("sls.start_date").alias("product_start_date"),
-        F.col("sls.end_date").alias("product_end_date"),
-        F.col("category"), F.col("subcategory"), F.col("maintenance_required"),
-        F.col("prd.product_name").alias("master_product_name"),
-        F.col("prd.cost").alias("master_cost"),
-        F.col("prd.product_line").alias("master_product_line"),
+    return j.selectExpr(
+        "product_id",
+        "sls.product_key AS product_key", "sls.product_name AS product_name", "sls.cost AS cost",
+        "sls.product_line AS product_line", "sls.start_date AS product_start_date",
+        "sls.end_date AS product_end_date",
+        "category", "subcategory", "maintenance_required",
+        "prd.product_name AS master_product_name", "prd.cost AS master_cost",
+        "prd.product_line AS master_product_line",
     )
