@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.expr import sql_str
 from ..specs import DqRule
 
 
@@ -26,7 +27,7 @@ def dq_checks(df: DataFrame, metrics: dict[str, Column], rules: list[DqRule], ta
     names = {m: f"m{i}" for i, m in enumerate(metrics)}
     wide = df.agg(*[e.cast("double").alias(names[m]) for m, e in metrics.items()])
     parts = ", ".join(
-        f"'{r.check_name}', {names[r.metric]}, CAST({float(r.warn)!r} AS DOUBLE), CAST({float(r.fail)!r} AS DOUBLE)"
+        f"{sql_str(r.check_name)}, {names[r.metric]}, CAST({float(r.warn)!r} AS DOUBLE), CAST({float(r.fail)!r} AS DOUBLE)"
         for r in rules)
     long = wide.selectExpr(
         f"stack({len(rules)}, {parts}) AS (check_name, metric_value, warn_threshold, fail_threshold)")

@@ -124,6 +124,6 @@ def coverage(df: DataFrame, cols: list[str], digits: int = 1) -> DataFrame:
     total = F.count(F.lit(1)).alias("total_rows")
     aggs = [total] + [F.count(F.col(c)).alias(f"m_{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', m_{i}" for i, c in enumerate(cols))
+    stack = ", ".join(f"{sql_str(c)}, m_{i}" for i, c in enumerate(cols))
     return (wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, matched_rows)", "total_rows")
             .withColumn("coverage_pct", try_pct(F.col("matched_rows"), F.col("total_rows"), digits)))

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import has_whitespace, quote_ident, string_columns
+from ..functions.expr import has_whitespace, quote_ident, sql_str, string_columns
 
 DATE_FLOOR = "1900-01-01"
 
@@ -52,11 +52,12 @@ def profile_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = df.columns if cols is None else cols
     strings = set(string_columns(df))
     wide = profile(df, cols)
+    q = quote_ident
     parts = []
     for c in cols:
-        e = f"`{c}_empty`" if c in strings else "CAST(NULL AS BIGINT)"
-        w = f"`{c}_has_whitespace`" if c in strings else "CAST(NULL AS BIGINT)"
-        parts.append(f"'{c}', `{c}_nulls`, {e}, {w}")
+        e = q(c + "_empty") if c in strings else "CAST(NULL AS BIGINT)"
+        w = q(c + "_has_whitespace") if c in strings else "CAST(NULL AS BIGINT)"
+        parts.append(f"{sql_str(c)}, {q(c + '_nulls')}, {e}, {w}")
     return wide.selectExpr(
         f"stack({len(cols)}, {', '.join(parts)}) AS (column_name, nulls, empties, whitespace)", "total_rows"
     ).select("column_name", "total_rows", "nulls", "empties", "whitespace")
@@ -66,7 +67,7 @@ def null_summary(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(column_name, nulls) for every column in one pass."""
     cols = df.columns if cols is None else cols
     wide = df.selectExpr(*[f"count_if({quote_ident(c)} IS NULL) AS n{i}" for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
+    stack = ", ".join(f"{sql_str(c)}, n{i}" for i, c in enumerate(cols))
     return wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
 
 
@@ -188,7 +189,7 @@ def duplicate_column_diff(df: DataFrame, keys) -> DataFrame:
     groups = (df.where(_not_null(keys)).groupBy(*keys)
               .agg(F.count(F.lit(1)).alias("__copies"), *per_group).where(F.col("__copies") > 1))
     wide = groups.selectExpr(*[f"CAST(coalesce(sum(d{i}), 0) AS BIGINT) AS d{i}" for i in range(len(rest))])
-    stack = ", ".join(f"'{c}', d{i}" for i, c in enumerate(rest))
+    stack = ", ".join(f"{sql_str(c)}, d{i}" for i, c in enumerate(rest))
     return wide.selectExpr(f"stack({len(rest)}, {stack}) AS (column_name, groups_with_mismatch)")
 
 
@@ -221,7 +222,7 @@ def schema_profile(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     wide = df.agg(*[F.count(F.col(f.name)).alias(f"n{i}") for i, f in enumerate(fields)])
     parts = ", ".join(
-        f"{i + 1}, '{f.name}', '{f.dataType.simpleString()}', {str(f.nullable).lower()}, n{i}"
+        f"{i + 1}, {sql_str(f.name)}, {sql_str(f.dataType.simpleString())}, {str(f.nullable).lower()}, n{i}"
         for i, f in enumerate(fields))
     return wide.selectExpr(
         f"stack({len(fields)}, {parts}) AS (position, column_name, data_type, nullable, non_null_rows)")

@@ -111,3 +111,11 @@ def test_duplicate_check_pre_aggregates_a_hot_key_before_the_shuffle(spark):
     shuffled = [float(x) for x in re.findall(r"ShuffleQueryStage \(\d+\), Statistics\([^)]*rowCount=([0-9.E+]+)",
                                              plan_text(df))]
     assert shuffled and max(shuffled) < 20100      # one partial row per key per map task
+
+
+def test_reshaped_reports_accept_awkward_column_names(spark):
+    df = spark.createDataFrame([(None, "a "), (1, None)], "`it's` int, `odd name` string")
+    assert rows(P.null_summary(df)) == [("it's", 1), ("odd name", 1)]
+    long = {r.column_name: (r.nulls, r.whitespace) for r in P.profile_long(df).collect()}
+    assert long == {"it's": (1, None), "odd name": (1, 1)}
+    assert [r.column_name for r in P.schema_profile(df).collect()] == ["it's", "odd name"]
