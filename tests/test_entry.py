@@ -45,3 +45,10 @@ def test_query_matches_oracle(spark, duck, key):
     assert stypes == dtypes
     assert len(srows) == len(drows)
     assert digest(srows, sdf.columns)[0] == digest(drows, rel.columns)[0]
+
+
+def test_bench_headline_keys_are_registered_with_oracles():
+    from bench import HEADLINE
+
+    assert set(HEADLINE) <= set(E.queries()) and set(HEADLINE) <= set(E.oracle_sql())
+    assert len(HEADLINE) == len(set(HEADLINE))
