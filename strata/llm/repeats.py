@@ -24,11 +24,13 @@ from pyspark.sql import functions as F
 from .common import blocks, id_text, mix64, shuffle_partitions, text_bytes
 
 WIDTH = 50
-ANCHOR = 16
+ANCHOR = 8
 POSITION_BITS = 24  # a block of bytes is shorter than 2 ** 24
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
-C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+LEVEL = 7  # of the compression of what is shuffled: spans overlap, so this shuffle is the largest
+WINDOWS = 1 << 19  # windows that are ordered at once
+C1 = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_at(buffer: np.ndarray) -> np.ndarray:
@@ -48,7 +50,7 @@ def window_anchors(words: np.ndarray, width: int) -> np.ndarray:
     n = len(words) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64)
-    key = mix64(words[:n + grams - 1] * C1 ^ mix64(words[8:8 + n + grams - 1]))
+    key = mix64(words[:n + grams - 1])
     key &= ~np.uint64((1 << POSITION_BITS) - 1)
     key |= np.arange(len(key), dtype=np.uint64)
     reach = 1
@@ -138,17 +140,30 @@ def shared_groups(new: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def repeated_windows(s: Spans, words: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(span, window)``: windows that also start in a smaller document, by digit passes from the anchor on."""
-    a = s.at + s.anchor
-    order = np.lexsort((words[a + 8], words[a]))
-    w0, w1 = words[a[order]], words[a[order] + 8]
-    new = group_starts(w0, w1)
+    """``(span, window)``: windows that also start in a smaller document.  Digit 0 is the anchor; the others follow for a run of anchors at a time."""
+    digit = words[s.at + s.anchor]
+    order = np.argsort(digit, kind="stable")
+    digit = digit[order]
+    new = group_starts(digit)
     alive = shared_groups(new, s.doc[order])
     span, group = order[alive], np.cumsum(new)[alive]
+    begin = np.flatnonzero(group_starts(group))
+    windows = np.concatenate([[0], np.cumsum(s.count[span])])
+    found, a = [], 0
+    while a < len(begin):
+        b = max(a + 1, int(np.searchsorted(windows[begin], windows[begin[a]] + WINDOWS, side="right")) - 1)
+        lo, hi = begin[a], begin[b] if b < len(begin) else len(span)
+        found.append(_digit_passes(s, words, width, span[lo:hi], group[lo:hi]))
+        a = b
+    if not found:
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _digit_passes(s: Spans, words: np.ndarray, width: int, span: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = s.count[span]
-    first = np.cumsum(n) - n
-    j = np.arange(int(n.sum())) - np.repeat(first, n)
-    group = np.repeat(group, n) * width + np.repeat(s.anchor[span], n) - j
+    j = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    group = np.repeat(group, n) * width + np.repeat(s.anchor[span], n) - j  # equal windows have their anchor at the same place
     span = np.repeat(span, n)
     order = np.argsort(group, kind="stable")
     span, j, group = span[order], j[order], group[order]
@@ -156,7 +171,7 @@ def repeated_windows(s: Spans, words: np.ndarray, width: int) -> tuple[np.ndarra
         alive = shared_groups(group_starts(group), s.doc[span])
         span, j, group = span[alive], j[alive], group[alive]
         if not len(span):
-            break
+            return span, j
         value = words[s.at[span] + j + digit]
         begin = np.flatnonzero(group_starts(group))
         size = np.diff(np.append(begin, len(group)))
@@ -166,24 +181,41 @@ def repeated_windows(s: Spans, words: np.ndarray, width: int) -> tuple[np.ndarra
             order = mixed[np.lexsort((value[mixed], group[mixed]))]
             span[mixed], j[mixed], value[mixed] = span[order], j[order], value[order]
         group = np.cumsum(group_starts(group, value))
-    if not len(span):
-        return span, j
     begin = np.flatnonzero(group_starts(group))
     least = np.repeat(np.minimum.reduceat(s.doc[span], begin), np.diff(np.append(begin, len(group))))
     hit = s.doc[span] > least
     return span[hit], j[hit]
 
 
-def packed(*arrays: np.ndarray, raw: bytes = b"") -> bytes:
-    parts = [a.astype(np.int64).tobytes() for a in arrays]
-    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<q", len(arrays[0])) + b"".join(parts) + raw)
+def packed_spans(s: Spans, raw: bytes) -> bytes:
+    """A blob of spans in order of document and position: a table of documents, then small numbers by byte plane, then the bytes."""
+    new = group_starts(s.doc, s.row)
+    table = np.concatenate([s.doc[new], s.row[new]]).astype("<i8").tobytes()
+    local = np.diff(np.cumsum(new) - 1, prepend=0).astype(np.uint8)  # 0 or 1: the next document
+    step = np.diff(s.pos.astype("<u4"), prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    head = struct.pack("<qq", len(s), int(new.sum())) + table + local.tobytes() + step + s.count.astype(np.uint8).tobytes() + s.anchor.astype(np.uint8).tobytes()
+    return zstandard.ZstdCompressor(level=LEVEL).compress(head + raw)
+
+
+def unpacked_spans(blob: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+    """``doc, row, pos, count, anchor`` of each span, and the bytes of all."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    n, docs = (int(x) for x in data[:16].view("<i8"))
+    at = 16 + 16 * docs
+    table = data[16:at].view("<i8").astype(np.int64)
+    local = np.cumsum(data[at:at + n].astype(np.int64))
+    step = np.ascontiguousarray(data[at + n:at + 5 * n].reshape(4, n).T).view("<u4").reshape(-1)
+    pos = np.cumsum(step, dtype=np.uint32).astype(np.int64)
+    count, anchor = (data[at + k * n:at + (k + 1) * n].astype(np.int64) for k in (5, 6))
+    return [table[:docs][local], table[docs:][local], pos, count, anchor], data[at + 7 * n:]
+
+
+def packed(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(b"".join(a.astype("<i8").tobytes() for a in arrays))
 
 
-def unpacked(blob: bytes, n_arrays: int) -> tuple[list[np.ndarray], np.ndarray]:
-    data = zstandard.ZstdDecompressor().decompress(blob)
-    n = struct.unpack_from("<q", data)[0]
-    arrays = [np.frombuffer(data, dtype=np.int64, count=n, offset=8 + 8 * n * i) for i in range(n_arrays)]
-    return arrays, np.frombuffer(data, dtype=np.uint8, offset=8 + 8 * n * n_arrays)
+def unpacked(blob: bytes, n_arrays: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype="<i8").reshape(n_arrays, -1)
 
 
 def gathered(buffer: np.ndarray, at: np.ndarray, size: np.ndarray) -> bytes:
@@ -213,7 +245,7 @@ def span_rows(batches, width: int, buckets: int, parts: int):
         pieces = [(i, k, texts[i][k:k + BLOCK_BYTES + width - 1]) for i in order.tolist() for k in range(0, max(1, len(texts[i]) - width + 1), BLOCK_BYTES)]
         groups, total = [[]], 0  # a text longer than a block becomes several, overlapping by width - 1 bytes
         for piece in pieces:
-            if groups[-1] and total + len(piece[2]) > 2 * BLOCK_BYTES:
+            if groups[-1] and total + len(piece[2]) > BLOCK_BYTES + width:
                 groups.append([])
                 total = 0
             groups[-1].append(piece)
@@ -237,11 +269,11 @@ def _block_rows(group, docs, rows, width, buckets, parts):
     gone, kept = repeated_spans(s, words, width)
     out = [(1, part, blob) for part, blob in range_rows(s.doc[gone], s.row[gone], s.pos[gone], s.pos[gone] + s.count[gone] + width - 1, parts)]
     a = s.at[kept] + s.anchor[kept]
-    bucket = (mix64(words[a] ^ mix64(words[a + 8])) % np.uint64(buckets)).astype(np.int64)
+    bucket = (mix64(words[a] ^ C1) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     for idx in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         t = s.take(kept[idx])
-        out.append((0, int(bucket[idx[0]]), packed(t.doc, t.row, t.pos, t.count, t.anchor, raw=gathered(buffer, t.at, t.count + width - 1))))
+        out.append((0, int(bucket[idx[0]]), packed_spans(t, gathered(buffer, t.at, t.count + width - 1))))
     yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()),
                                       pa.array([x[2] for x in out], pa.binary())], names=["side", "part", "blob"])
 
@@ -250,7 +282,7 @@ def bucket_ranges(blobs: list[bytes], width: int, parts: int) -> Iterator[tuple[
     """Reduce side: the removed ranges of all windows of one bucket."""
     fields, raws, offset = [], [], 0
     for blob in blobs:
-        arrays, raw = unpacked(blob, 5)
+        arrays, raw = unpacked_spans(blob)
         size = arrays[3] + width - 1
         fields.append([*arrays, offset + np.cumsum(size) - size])
         raws.append(raw)
@@ -286,6 +318,8 @@ def removed_runs(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """``(texts, ranges)``: the documents with a ``part``, and blobs of removed ranges (``part``, ``blob``)."""
+    if not ANCHOR < width < 256:
+        raise ValueError("the width must lie between the anchor's and 256 bytes")
     spark = docs.sparkSession
     texts = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1))).withColumn("row", F.xxhash64("doc_id", "text"))
     total = text_bytes(texts)
@@ -323,7 +357,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         removed: dict[tuple[int, int], list] = {}
         for blob in right.column("blob").to_pylist():
-            (doc, row, start, size), _ = unpacked(blob, 4)
+            doc, row, start, size = unpacked(blob, 4)
             new = group_starts(doc, row)
             begin = np.flatnonzero(new)
             for b, e in zip(begin.tolist(), [*begin[1:].tolist(), len(doc)]):
@@ -345,7 +379,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     def squeezed(batches):
         for batch in batches:
-            comp = zstandard.ZstdCompressor(level=1)
+            comp = zstandard.ZstdCompressor(level=LEVEL)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), batch.column("part"), pa.array([comp.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())],
                                              names=["doc_id", "row", "part", "body"])
 
