@@ -28,6 +28,7 @@ SKETCH_BITS = 16
 BLOCK_BYTES = 2 << 20
 ORDERS = 2
 BUCKET_BYTES = 8 << 20
+TILE_ROWS = 4096
 NO_ID = (1 << 63) - 1
 
 
@@ -70,7 +71,7 @@ def shingled(docs: DataFrame, n: int = WORDS) -> DataFrame:
 
     def run(batches):
         freq = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        comp = zstandard.ZstdCompressor(level=1)
+        comp = zstandard.ZstdCompressor(level=6)
         for batch in blocks(batches, BLOCK_BYTES):
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             sets = sets_of(texts, n)
@@ -196,6 +197,16 @@ def tiles(blobs: DataFrame, percent: int, orders: int) -> DataFrame:
     return written(blobs.groupBy("bucket").applyInArrow(run, "a long, b long, key long, cid long, size long"), "tiles")
 
 
+def may_link(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the differing bits of two signatures leave an overlap that links."""
+    differ = np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64)
+    return (na + nb - differ) // 2 >= least_overlap(na, nb, percent)
+
+
+def signatures(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), -1)
+
+
 def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs whose signatures leave a large enough overlap possible."""
     side = [classes.select(F.col("cid").alias(c), F.col("size").alias(f"n{c}"), F.col("sig").alias(f"s{c}")) for c in "ab"]
@@ -204,31 +215,76 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
-                sa, sb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(batch.num_rows, -1) for c in ("sa", "sb"))
-                differ = np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64)
-                yield batch.filter(pa.array((na + nb - differ) // 2 >= least_overlap(na, nb, percent))).select(["a", "b"])
+                yield batch.filter(pa.array(may_link(na, nb, signatures(batch.column("sa")), signatures(batch.column("sb")), percent))).select(["a", "b"])
 
     return pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def linked(pairs: DataFrame, classes: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs that link, by exact intersection of their sorted sets, recomputed from the texts."""
-    side = [classes.select(F.col("cid").alias(c), F.col("body").alias(f"t{c}")) for c in "ab"]
+def cross_pairs(tile, part, cid, size, root, sig, across, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unconnected classes within each run of equal ``tile`` that the size band and the signatures leave; with ``across`` set, of unlike ``part`` only."""
+    n = len(tile)
+    ends = np.repeat(np.append(np.flatnonzero(tile[1:] != tile[:-1]) + 1, n), np.diff(np.concatenate([[0], np.flatnonzero(tile[1:] != tile[:-1]) + 1, [n]])))
+    out, x, d = [], np.arange(n), 1
+    while len(x):
+        x = x[x + d < ends[x]]
+        y = x + d
+        ok = (root[x] != root[y]) & compatible(size[x], size[y], percent) & (~across[x] | (part[x] != part[y]))
+        p, q = x[ok], y[ok]
+        ok = may_link(size[p], size[q], sig[p], sig[q], percent)
+        out.append((cid[p[ok]], cid[q[ok]]))
+        d += 1
+    return out
+
+
+def remaining_pairs(members: DataFrame, classes: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Distinct pairs ``a, b`` of members ``key, cid, size, root, n_parts, part`` that share a tile and are not connected yet.
+
+    A tile of more than ``TILE_ROWS`` members is cut into parts and each pair of parts meets in a task of its own, so no task
+    holds a whole hot tile; pairs are bounded by their signatures where they meet and only those left become rows.
+    """
+    other = F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))
+    t = (members.select("key", "cid", "root", "part", other.alias("other"))
+         .select("cid", "root", "part", (F.col("part") != F.col("other")).alias("across"), F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("tile"))
+         .join(classes, "cid").withColumn("bucket", F.pmod("tile", F.lit(buckets))))
+
+    def run(table: pa.Table) -> pa.Table:
+        tile, part, cid, size, root, across = (table.column(c).to_numpy() for c in ("tile", "part", "cid", "size", "root", "across"))
+        sig = signatures(table.column("sig"))
+        order = np.lexsort((cid, tile))
+        found = cross_pairs(*(x[order] for x in (tile, part, cid, size, root, sig, across)), percent)
+        a, b = (np.concatenate([*x, np.empty(0, dtype=np.int64)]) for x in (zip(*found) if found else ((), ())))
+        pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return t.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+
+
+def bodies_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Written ``cid, body``: one compressed text of each class that a pair names."""
+    named = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    rows = members.select("cid", "doc_id", "body").join(named, "cid", "left_semi")
+    return written(rows.groupBy("cid").agg(F.min(F.struct("doc_id", "body")).alias("r")).select("cid", "r.body"), "bodies")
+
+
+def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs that link, by exact intersection of their sorted sets, recomputed from the texts; written."""
+    bodies = bodies_of(pairs, members)
+    side = [bodies.select(F.col("cid").alias(c), F.col("body").alias(f"t{c}")) for c in "ab"]
 
     def run(batches):
         comp = zstandard.ZstdDecompressor()
         for batch in batches:
             keep = []
             for i in range(0, batch.num_rows, 64):
-                pairs64 = list(zip(batch.column("ta").slice(i, 64).to_pylist(), batch.column("tb").slice(i, 64).to_pylist()))
-                bodies = list({x for pair in pairs64 for x in pair})
-                own = dict(zip(bodies, sets_of([comp.decompress(x) for x in bodies], n)))
-                for x, y in ((own[a], own[b]) for a, b in pairs64):
+                some = list(zip(batch.column("ta").slice(i, 64).to_pylist(), batch.column("tb").slice(i, 64).to_pylist()))
+                texts = list({x for pair in some for x in pair})
+                own = dict(zip(texts, sets_of([comp.decompress(x) for x in texts], n)))
+                for x, y in ((own[a], own[b]) for a, b in some):
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return written(pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -241,23 +297,19 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     spark = docs.sparkSession
     rows = shingled(docs, n)
     members = rows.where(F.col("doc_id").isNotNull())
-    found = F.min(F.struct("doc_id", "size", "sig", "body")).alias("r")
-    classes = members.where("size > 0").groupBy("cid").agg(found).select("cid", "r.size", "r.sig", "r.body")
+    classes = members.where("size > 0").groupBy("cid").agg(F.min(F.struct("size", "sig")).alias("r")).select("cid", "r.size", "r.sig")
     stored = members.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
     buckets = max(2 * shuffle_partitions(spark), stored // BUCKET_BYTES + 1)
-    table = tiles(tile_blobs(rows.where(F.col("doc_id").isNotNull()), frequency_sketch(rows), n, percent, buckets), percent, ORDERS)
+    table = tiles(tile_blobs(members, frequency_sketch(rows), n, percent, buckets), percent, ORDERS)
     first = table.where(F.col("a").isNotNull()).select("a", "b").distinct()
-    links = written(linked(bounded(first, classes, percent), classes, n, percent), "links")
+    links = linked(written(bounded(first, classes, percent), "pairs"), members, n, percent)
     roots = written(components(links), "roots")
     # whatever is not connected yet meets in full, tile by tile
     t = table.where(F.col("key").isNotNull()).select("key", "cid", "size").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", "size", F.coalesce("root", "cid").alias("root"))
-    open_tiles = t.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("key")
-    t = written(t.join(open_tiles, "key", "left_semi"), "tiles")
-    x, y = (t.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "size", "root")]) for s in "xy")
-    rest = (x.join(y, "key").where((F.col("cid_x") < F.col("cid_y")) & (F.col("root_x") != F.col("root_y")))
-            .where(100 * F.least("size_x", "size_y") >= percent * F.greatest("size_x", "size_y"))
-            .select(F.col("cid_x").alias("a"), F.col("cid_y").alias("b")).distinct().join(first, ["a", "b"], "left_anti"))
-    more = linked(bounded(rest, classes, percent), classes, n, percent)
+    n_parts = F.ceil(F.count("*") / TILE_ROWS).cast("int")
+    open_tiles = t.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), n_parts.alias("n_parts")).where("lo < hi").select("key", "n_parts")
+    rest = remaining_pairs(t.join(open_tiles, "key").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("n_parts")).cast("int")), classes, percent, buckets)
+    more = linked(written(rest, "pairs"), members, n, percent)
     # links between groups that are connected already: their roots are the nodes
     r = [roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"]
     joined = more.join(r[0], "a", "left").join(r[1], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
