@@ -20,11 +20,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (4): the one whose id names the component, and of rows that share it the first by content."""
+    """One document of each group of near copies (4): the one whose id names the component.
+
+    Rows that share a ``doc_id`` are one document, of which the first row by content stays; so are rows without an id.
+    """
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(near_join.NO_ID))
     found = near_join.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("k")).distinct()
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("k")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("k")).distinct()
+    rows = docs.groupBy(key.alias("k")).agg(F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
+    return rows.join(first.hint("merge"), "k", "left_semi").select(*[F.col(f"r.{c}") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

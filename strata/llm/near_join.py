@@ -217,7 +217,7 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
                 yield batch.filter(pa.array(may_link(na, nb, signatures(batch.column("sa")), signatures(batch.column("sb")), percent))).select(["a", "b"])
 
-    return pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def cross_pairs(tile, part, cid, size, root, sig, across, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -245,7 +245,7 @@ def remaining_pairs(members: DataFrame, classes: DataFrame, percent: int, bucket
     other = F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))
     t = (members.select("key", "cid", "root", "part", other.alias("other"))
          .select("cid", "root", "part", (F.col("part") != F.col("other")).alias("across"), F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("tile"))
-         .join(classes, "cid").withColumn("bucket", F.pmod("tile", F.lit(buckets))))
+         .join(classes.hint("merge"), "cid").withColumn("bucket", F.pmod("tile", F.lit(buckets))))
 
     def run(table: pa.Table) -> pa.Table:
         tile, part, cid, size, root, across = (table.column(c).to_numpy() for c in ("tile", "part", "cid", "size", "root", "across"))
@@ -262,7 +262,7 @@ def remaining_pairs(members: DataFrame, classes: DataFrame, percent: int, bucket
 def bodies_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
     """Written ``cid, body``: one compressed text of each class that a pair names."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    rows = members.select("cid", "doc_id", "body").join(named, "cid", "left_semi")
+    rows = members.select("cid", "doc_id", "body").join(named.hint("merge"), "cid", "left_semi")
     return written(rows.groupBy("cid").agg(F.min(F.struct("doc_id", "body")).alias("r")).select("cid", "r.body"), "bodies")
 
 
@@ -284,7 +284,7 @@ def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return written(pairs.join(side[0], "a").join(side[1], "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    return written(pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -305,20 +305,20 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     links = linked(written(bounded(first, classes, percent), "pairs"), members, n, percent)
     roots = written(components(links), "roots")
     # whatever is not connected yet meets in full, tile by tile
-    t = table.where(F.col("key").isNotNull()).select("key", "cid", "size").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", "size", F.coalesce("root", "cid").alias("root"))
+    t = table.where(F.col("key").isNotNull()).select("key", "cid", "size").join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("key", "cid", "size", F.coalesce("root", "cid").alias("root"))
     n_parts = F.ceil(F.count("*") / TILE_ROWS).cast("int")
     open_tiles = t.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), n_parts.alias("n_parts")).where("lo < hi").select("key", "n_parts")
-    rest = remaining_pairs(t.join(open_tiles, "key").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("n_parts")).cast("int")), classes, percent, buckets)
+    rest = remaining_pairs(t.join(open_tiles.hint("merge"), "key").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("n_parts")).cast("int")), classes, percent, buckets)
     more = linked(written(rest, "pairs"), members, n, percent)
     # links between groups that are connected already: their roots are the nodes
     r = [roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"]
     joined = more.join(r[0], "a", "left").join(r[1], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
     again = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    low = members.groupBy("cid").agg(F.min("doc_id").alias("low")).join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "low", F.coalesce("root", "cid").alias("root"))
-    low = written(low.join(again, "root", "left").select("cid", "low", F.coalesce("top", "root").alias("root")), "classes")
+    low = members.groupBy("cid").agg(F.min("doc_id").alias("low")).join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("cid", "low", F.coalesce("root", "cid").alias("root"))
+    low = written(low.join(again.hint("merge"), "root", "left").select("cid", "low", F.coalesce("top", "root").alias("root")), "classes")
     least = low.groupBy("root").agg(F.min("low").alias("component_id"))
-    final = low.join(least, "root").select("cid", "component_id")
-    return (members.select("doc_id", F.col("size").alias("n_shingles"), "cid").join(final, "cid")
+    final = low.join(least.hint("merge"), "root").select("cid", "component_id")
+    return (members.select("doc_id", F.col("size").alias("n_shingles"), "cid").join(final.hint("merge"), "cid")
             .select(_shown("doc_id"), "n_shingles", _shown(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")), "component_id")))
 
 
