@@ -49,13 +49,13 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_strata_llm_worker", types.ModuleType("_strata_llm_worker")).__dict__
 
 
-def blocks(batches: Iterable[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in runs of about ``max_bytes`` of ``text`` (one row at least)."""
+def blocks(batches: Iterable[pa.RecordBatch], max_bytes: int, max_rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in runs of about ``max_bytes`` of ``text`` (one row at least) and at most ``max_rows``."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         start, total = 0, 0
         for i, n in enumerate(sizes.tolist()):
-            if i > start and total + n > max_bytes:
+            if i > start and (total + n > max_bytes or i - start >= max_rows):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n

@@ -140,7 +140,7 @@ def identify(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     def run(batches):
         m = None if parts is None else LanguageModel(*parts)
-        for batch in blocks(batches, 1 << 20):
+        for batch in blocks(batches, 1 << 20, 256):
             texts = batch.column("text").to_pylist()
             langs, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
             if m is not None:

@@ -25,7 +25,7 @@ WORDS = 5
 PERCENT = 80
 SIGNATURE_BITS = 1024
 SKETCH_BITS = 16
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 ORDERS = 2
 BUCKET_BYTES = 8 << 20
 TILE_ROWS = 4096

@@ -99,11 +99,11 @@ def score(docs: DataFrame, space: Space | None) -> DataFrame:
 
     def run(batches):
         s = None if shared is None else Space(*shared.value)
-        for batch in blocks(batches, 1 << 20):
+        for batch in blocks(batches, 1 << 20, 256):
             texts = batch.column("text").to_pylist()
             out = np.full(len(texts), 0.5)
-            for a in range(0, len(texts) if s is not None else 0, 256):
-                out[a:a + 256] = s.vote(vectors(texts[a:a + 256]))
+            if s is not None:
+                out = s.vote(vectors(texts))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.clip(out, 0, 1), pa.float64())], names=["doc_id", "score"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, score double")

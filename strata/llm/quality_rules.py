@@ -165,7 +165,7 @@ def _scored(rows: DataFrame, model: Model | None, threshold: float, carried: lis
 
     def run(batches):
         m = None if packed is None else Model(np.frombuffer(packed[0], dtype=np.float32), *packed[1:])
-        for batch in blocks(batches, 1 << 20):
+        for batch in blocks(batches, 1 << 20, 256):
             texts = batch.column("text").to_pylist()
             words = Words(texts)
             base = base_counts(texts, words)
@@ -185,7 +185,7 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD
 
     def run(batches):
         m = None if packed is None else Model(np.frombuffer(packed[0], dtype=np.float32), *packed[1:])
-        for batch in blocks(batches, 1 << 20):
+        for batch in blocks(batches, 1 << 20, 256):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             words = Words(texts)
             base = base_counts(texts, words)

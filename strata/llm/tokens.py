@@ -23,7 +23,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-CACHE_WORDS = 800_000
+CACHE_WORDS = 400_000
 
 
 class WordTokenizer:
@@ -96,7 +96,7 @@ def token_pieces(docs: DataFrame, max_tokens: int, name: str = TOKENIZER, end_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = tokenizer(name)
-        for batch in blocks(batches, 4 << 20):
+        for batch in blocks(batches, 2 << 20):
             ids = [raw + end for raw in tok.encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(raw) // 4 for raw in ids], pa.int64()),
@@ -111,7 +111,7 @@ def token_counts(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
 
     def run(batches):
         tok = tokenizer(name)
-        for batch in blocks(batches, 4 << 20):
+        for batch in blocks(batches, 2 << 20):
             yield pa.RecordBatch.from_arrays([pa.array([len(raw) // 4 for raw in tok.encode(batch.column("text").to_pylist())], pa.int64())], names=["length"])
 
     return id_text(docs).select(F.col("text")).mapInArrow(run, "length long")
@@ -123,7 +123,7 @@ def token_ids(docs: DataFrame, name: str = TOKENIZER, end_id: int = END_ID) -> D
 
     def run(batches):
         tok = tokenizer(name)
-        for batch in blocks(batches, 4 << 20):
+        for batch in blocks(batches, 2 << 20):
             ids = [np.frombuffer(raw + end, dtype="<u4").astype(np.int32) for raw in tok.encode(batch.column("text").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 

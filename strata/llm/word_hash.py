@@ -7,7 +7,7 @@ import numpy as np
 from .common import mix64, worker_cache
 
 BASE = 0x9E3779B97F4A7C15 | 1
-PART = 4 << 20
+PART = 1 << 18
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
@@ -17,9 +17,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     cache = worker_cache()
     have = cache.get("powers")
     if have is None or len(have[0]) < n:
-        n = max(n, PART + (1 << 16))
+        n = max(n, PART + (1 << 17))
         have = tuple(np.cumprod(np.concatenate([np.ones(1, dtype=np.uint64), np.full(n - 1, b, dtype=np.uint64)])) for b in (BASE, pow(BASE, -1, 1 << 64)))
-        if n <= 8 * PART:
+        if n <= 4 * PART:
             cache["powers"] = have
     return have[0][:n], have[1][:n]
 
@@ -28,7 +28,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (separated by 0x20 and 0x09-0x0D) of all texts, end to end, and each text's number of words.
 
     A word's hash depends on its bytes alone: the polynomial of its bytes in an odd base modulo 2 ** 64, read off prefix sums, then mixed
-    with its length.  Texts are joined into parts of a few megabytes that end at a separator.
+    with its length.  Texts are joined into parts of bounded size that end at a separator (a longer word is a part of its own).
     """
     data = b" ".join(texts) + b" "
     bounds = np.cumsum([len(t) + 1 for t in texts])
