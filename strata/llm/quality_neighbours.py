@@ -60,11 +60,11 @@ class Space:
         return unit_rows((x * self.idf) @ self.axes)
 
     def vote(self, x: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-        """Share of similarity held by neighbours of label 1, over the exact nearest by cosine (equal ones by position)."""
+        """Share of similarity held by neighbours of label 1, over the exact nearest by cosine (ties at the edge are cut in a fixed way)."""
         cosine = self.project(x) @ self.points.T
         k = min(neighbours, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6) ** POWER
+        weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-3).astype(np.float64) ** POWER
         return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
 
 
@@ -91,7 +91,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 def score(docs: DataFrame, space: Space | None) -> DataFrame:
     """``doc_id, score``: the vote for label 1 on every document's whole text, from 0 to 1.
 
-    Empty and NULL texts have the zero vector, equally far from all: their score is the vote of equal weights.  Without labelled documents every
+    Empty and NULL texts have the zero vector, equally far from all: a vote of equal weights.  Without labelled documents every
     score is 0.5.  Repeated rows score alike; an empty table gives no row.
     """
     spark = docs.sparkSession
