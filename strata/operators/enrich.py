@@ -1,10 +1,7 @@
 """Enrichment: guarded left joins on derived keys, fallbacks and coverage.
 
-Broadcast policy: a right side is broadcast only after its row count is
-*measured* at or below ``broadcast_max_rows`` (one distributed count of the
-right side, a dimension); otherwise the join is left to the planner (Spark's
-own size-based choice, sort-merge with AQE skew splitting beyond it).  Nothing
-is hinted from guesses.
+Join strategy is the planner's: it broadcasts a side by its size in bytes, and AQE converts or splits
+shuffle joins at run time.  Nothing is hinted, and building a plan starts no job.
 
 Hot keys: in a shuffle join every row whose join key is NULL hashes to the
 same reducer.  Such rows can never match, so they are spread with a salt that
@@ -23,19 +20,6 @@ from pyspark.sql import types as T
 
 from ..functions.expr import quote_ident, sql_str, try_pct
 
-DEFAULT_BROADCAST_MAX_ROWS = 200_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int | None) -> bool:
-    """True when df is measured to hold at most ``max_rows`` rows (one distributed count)."""
-    return bool(max_rows) and df.count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """``F.broadcast(df)`` when df provably has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
-
-
 def _hashable(dt: T.DataType) -> bool:
     if isinstance(dt, T.MapType):
         return False
@@ -92,16 +76,15 @@ def guard_unique(right: DataFrame, key: str, on_duplicate: str) -> DataFrame:
 
 
 def enrich(left: DataFrame, right: DataFrame, key: str, *, left_key: Column | None = None,
-           on_duplicate: str = "fanout", broadcast_max_rows: int | None = None,
-           drop_key: bool = False) -> DataFrame:
-    """``left ⟕ right USING (key)``; ``left_key`` derives the key column on the left first."""
+           on_duplicate: str = "fanout", spread_null_keys: bool = True, drop_key: bool = False) -> DataFrame:
+    """``left ⟕ right USING (key)``; ``left_key`` derives the key column on the left first.
+
+    ``spread_null_keys`` salts rows without a key (see the module text); off, tables bucketed by the key join without an exchange.
+    """
     if left_key is not None:
         left = left.withColumn(key, left_key)
     right = guard_unique(right, key, on_duplicate)
-    if fits_broadcast(right, broadcast_max_rows):
-        out = left.join(F.broadcast(right), on=key, how="left")
-    else:
-        out = salted_join(left, right, key, "left")
+    out = salted_join(left, right, key, "left") if spread_null_keys else left.join(right, on=key, how="left")
     return out.drop(key) if drop_key else out
 
 

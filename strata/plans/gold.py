@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import derived_key, recode_expr, segment_key
-from ..operators.enrich import DEFAULT_BROADCAST_MAX_ROWS, enrich, fallback
+from ..operators.enrich import enrich, fallback
 from ..specs import recode
 
 # ---- fixed values: enrichment rules of the layered sales model ----
@@ -42,30 +42,27 @@ def std_erp_gender(df: DataFrame, col: str = "erp_gender", out: str = "erp_gende
     return df.withColumn(out, recode_expr(col, ERP_GENDER_RULE))
 
 
-def join_erp_customer(silver_cust: DataFrame, erp_cust: DataFrame, *, on_duplicate="fanout",
-                      broadcast_max_rows=None) -> DataFrame:
+def join_erp_customer(silver_cust: DataFrame, erp_cust: DataFrame, *, on_duplicate="fanout") -> DataFrame:
     return enrich(silver_cust, erp_cust_clean(erp_cust), "erp_cust_cid",
                   left_key=derived_key(CUST_KEY_PREFIX, "customer_key", CUST_KEY_FROM),
-                  on_duplicate=on_duplicate, broadcast_max_rows=broadcast_max_rows)
+                  on_duplicate=on_duplicate)
 
 
-def join_erp_location(df: DataFrame, erp_loc: DataFrame, *, on_duplicate="fanout",
-                      broadcast_max_rows=None) -> DataFrame:
+def join_erp_location(df: DataFrame, erp_loc: DataFrame, *, on_duplicate="fanout") -> DataFrame:
     return enrich(df, erp_loc_clean(erp_loc), "erp_loc_cid",
                   left_key=derived_key(LOC_KEY_PREFIX, "customer_key", LOC_KEY_FROM),
-                  on_duplicate=on_duplicate, broadcast_max_rows=broadcast_max_rows)
+                  on_duplicate=on_duplicate)
 
 
 def gold_customer(silver_cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame, *,
-                  on_duplicate: str = "fanout", broadcast_max_rows: int | None = None) -> DataFrame:
+                  on_duplicate: str = "fanout") -> DataFrame:
     """Customer dimension enriched with ERP birth date, gender fallback and country.
 
     Both ERP sides are customer-sized (they grow with the customer base), so
     they are only broadcast when measured small; otherwise two sort-merge joins.
     """
-    df = join_erp_customer(silver_cust, erp_cust, on_duplicate=on_duplicate,
-                           broadcast_max_rows=broadcast_max_rows)
-    df = join_erp_location(df, erp_loc, on_duplicate=on_duplicate, broadcast_max_rows=broadcast_max_rows)
+    df = join_erp_customer(silver_cust, erp_cust, on_duplicate=on_duplicate)
+    df = join_erp_location(df, erp_loc, on_duplicate=on_duplicate)
     df = std_country(df)
     df = std_erp_gender(df)
     df = fallback(df, "gender", "erp_gender_clean")
@@ -73,20 +70,18 @@ def gold_customer(silver_cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFram
 
 
 def gold_sales(silver_sls: DataFrame, silver_prd: DataFrame, erp_cat: DataFrame, *,
-               on_duplicate: str = "fanout",
-               category_broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+               on_duplicate: str = "fanout") -> DataFrame:
     """Sales lines ⟕ product master (by id) ⟕ ERP category (by derived key).
 
     The product master is fact-sized: sort-merge join on ``product_id``.  The
-    category dimension is broadcast after its size check; the derived
-    ``category_id`` is highly skewed on the sales side (few categories), which a
-    broadcast join does not care about.
+    category dimension is broadcast by the planner while its bytes allow; beyond that AQE splits the
+    few heavy values of the derived ``category_id``.
     """
     sls, prd = silver_sls.alias("sls"), silver_prd.alias("prd")
     j = sls.join(prd, on="product_id", how="left")
     j = j.withColumn("category_id", segment_key("sls.product_key"))
     cat = erp_cat_clean(erp_cat)
-    j = enrich(j, cat, "category_id", on_duplicate=on_duplicate, broadcast_max_rows=category_broadcast_max_rows)
+    j = enrich(j, cat, "category_id", on_duplicate=on_duplicate, spread_null_keys=False)
     return j.selectExpr(
         "product_id",
         "sls.product_key AS product_key", "sls.product_name AS product_name", "sls.cost AS cost",

@@ -55,14 +55,13 @@ def run_silver(spark: SparkSession, layers: dict[str, str], audit: list, paralle
               w(silver.silver_sales, "bronze_crm_sales_details", "silver_crm_sales_details")], parallel)
 
 
-def run_gold(spark: SparkSession, layers: dict[str, str], audit: list, broadcast_max_rows: int | None = None,
+def run_gold(spark: SparkSession, layers: dict[str, str], audit: list,
              parallel: int = 1) -> None:
     b = lambda n: spark.table(qualified(layers["bronze"], n))
     s = lambda n: spark.table(qualified(layers["silver"], n))
 
     def customer():
-        gc = gold.gold_customer(s("silver_crm_cust_info"), b("bronze_erp_cust_az12"), b("bronze_erp_loc_a101"),
-                                broadcast_max_rows=broadcast_max_rows)
+        gc = gold.gold_customer(s("silver_crm_cust_info"), b("bronze_erp_cust_az12"), b("bronze_erp_loc_a101"))
         _write(gc, layers["gold"], GOLD["gold_customer_enriched"], audit)
 
     def sales():

@@ -179,7 +179,7 @@ def _join_product_master(ws: Workspace) -> DataFrame:
 @query("join_category")
 def _join_category(ws: Workspace) -> DataFrame:
     return J.enrich(ws.silver_sls, G.erp_cat_clean(ws.erp_cat), "category_id",
-                    left_key=segment_key("product_key"), broadcast_max_rows=J.DEFAULT_BROADCAST_MAX_ROWS)
+                    left_key=segment_key("product_key"), spread_null_keys=False)
 
 
 @query("gender_fallback")
@@ -317,7 +317,8 @@ def _ingest_stream(ws: Workspace) -> DataFrame:
     layers = K.ensure_layers(ws.spark, _prefix())
     table = K.qualified(layers["bronze"], "bronze_crm_cust_info")
     spec = BRONZE["bronze_crm_cust_info"]
-    ck = ingest_incremental(ws.spark, land, spec.schema, table, table_comment=spec.comment)
+    ck = scratch_path(ws.spark, "stream-checkpoints")
+    ingest_incremental(ws.spark, land, spec.schema, table, checkpoint=ck, table_comment=spec.comment)
     ingest_incremental(ws.spark, land, spec.schema, table, checkpoint=ck)
     return ws.spark.table(table)
 

@@ -18,10 +18,9 @@ from . import gold, silver
 
 
 class Workspace:
-    def __init__(self, spark: SparkSession, data_dir: str, *, broadcast_max_rows: int | None = None):
+    def __init__(self, spark: SparkSession, data_dir: str):
         self.spark = spark
         self.tables = TableSet(spark, data_dir)
-        self.broadcast_max_rows = broadcast_max_rows
 
     # ---- bronze-shaped inputs
     @cached_property
@@ -68,8 +67,7 @@ class Workspace:
     # ---- gold
     @cached_property
     def gold_cust(self) -> DataFrame:
-        return gold.gold_customer(self.silver_cust, self.erp_cust, self.erp_loc,
-                                  broadcast_max_rows=self.broadcast_max_rows)
+        return gold.gold_customer(self.silver_cust, self.erp_cust, self.erp_loc)
 
     @cached_property
     def gold_sales(self) -> DataFrame:

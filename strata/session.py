@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -44,9 +45,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; we only fall back to a fresh local
-    folder when the setting is absent (local tests).  Works without a
-    SparkContext handle too (e.g. a Spark Connect session).
+    Only a single-JVM session (master ``local`` or ``local[...]``, as in tests), whose tasks share the driver's disk, gets a fresh
+    local folder when the setting is absent.  Any other session must name one: a machine-local folder would scatter part files over
+    the executors' own disks.  Works without a SparkContext handle too (e.g. a Spark Connect session).
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -57,11 +58,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # noqa: BLE001 - static in some deployments; the folder is still returned
-            pass
+        spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
@@ -78,6 +78,3 @@ def cut_lineage(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def cpu_count() -> int:
-    return os.cpu_count() or 8

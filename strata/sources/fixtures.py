@@ -6,7 +6,8 @@ cleaning rules handle.  The text is valid in Spark SQL (ANSI) and in DuckDB and
 the single definition used on both sides: Spark binds ``{name}`` placeholders to
 DataFrames, the SQL oracle binds them to view / CTE names.
 
-Each body grows linearly with its source table: derivation, not sampling.
+Each body grows linearly with its source table: derivation, not sampling.  Keys are padded, never cut, and planted
+sales ids are negative, so neither collides at any size.  Ids stay INT as in the typed tables: a larger id fails the cast loudly.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from .tables import TableSet
 
 FX_CUST_INFO = """
 SELECT CAST(CASE WHEN c_custkey % 97 = 13 THEN NULL ELSE c_custkey END AS INT) AS cst_id,
-  'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), 8, '0') AS cst_key,
+  'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), CAST(greatest(8, length(CAST(c_custkey AS VARCHAR(20)))) AS INT), '0') AS cst_key,
   CASE WHEN c_custkey % 11 = 3 THEN NULL WHEN c_custkey % 5 = 0 THEN ' ' || c_name || ' ' WHEN c_custkey % 13 = 1 THEN '' ELSE c_name END AS cst_firstname,
   CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN c_mktsegment || '  ' ELSE c_mktsegment END AS cst_lastname,
   CASE WHEN c_custkey % 5 = 0 THEN 'M' WHEN c_custkey % 5 = 1 THEN 'S' WHEN c_custkey % 5 = 2 THEN ' M' WHEN c_custkey % 5 = 3 THEN NULL ELSE 'S' END AS cst_marital_status,
@@ -25,11 +26,11 @@ SELECT CAST(CASE WHEN c_custkey % 97 = 13 THEN NULL ELSE c_custkey END AS INT) A
   CASE WHEN c_custkey % 101 = 5 THEN NULL ELSE DATE '2024-01-01' + CAST(c_custkey % 365 AS INT) END AS cst_create_date
 FROM {customer}
 UNION ALL
-SELECT CAST(c_custkey AS INT), 'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), 8, '0'), c_name, NULL, 'S', 'F',
+SELECT CAST(c_custkey AS INT), 'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), CAST(greatest(8, length(CAST(c_custkey AS VARCHAR(20)))) AS INT), '0'), c_name, NULL, 'S', 'F',
   DATE '2024-01-01' + CAST(c_custkey % 365 + 30 AS INT)
 FROM {customer} WHERE c_custkey % 7 = 0
 UNION ALL
-SELECT CAST(c_custkey AS INT), 'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), 8, '0'), c_name, c_mktsegment, 'S', 'F',
+SELECT CAST(c_custkey AS INT), 'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), CAST(greatest(8, length(CAST(c_custkey AS VARCHAR(20)))) AS INT), '0'), c_name, c_mktsegment, 'S', 'F',
   DATE '2024-01-01' + CAST(c_custkey % 365 + 30 AS INT)
 FROM {customer} WHERE c_custkey % 21 = 0
 """
@@ -52,19 +53,19 @@ FX_SALES_DETAILS = """
 SELECT prd_id, prd_key, prd_nm, prd_cost + 1 AS prd_cost, prd_line, prd_start_dt, prd_end_dt
 FROM {fx_prd_info} WHERE prd_id IS NULL OR prd_id % 3 <> 0
 UNION ALL
-SELECT prd_id + 100000, prd_key, prd_nm || ' x', prd_cost, 'T', prd_start_dt, prd_end_dt
+SELECT -1 - prd_id, prd_key, prd_nm || ' x', prd_cost, 'T', prd_start_dt, prd_end_dt
 FROM {fx_prd_info} WHERE prd_id % 5 = 0
 """
 
 FX_ERP_CUST = """
-SELECT 'NASAW' || lpad(CAST(c_custkey AS VARCHAR(20)), 8, '0') || CASE WHEN c_custkey % 8 = 0 THEN ' ' ELSE '' END AS CID,
+SELECT 'NASAW' || lpad(CAST(c_custkey AS VARCHAR(20)), CAST(greatest(8, length(CAST(c_custkey AS VARCHAR(20)))) AS INT), '0') || CASE WHEN c_custkey % 8 = 0 THEN ' ' ELSE '' END AS CID,
   DATE '1950-01-01' + CAST(c_custkey % 15000 AS INT) AS BDATE,
   CASE WHEN c_custkey % 6 = 0 THEN 'M' WHEN c_custkey % 6 = 1 THEN 'F' WHEN c_custkey % 6 = 2 THEN 'Male ' WHEN c_custkey % 6 = 3 THEN ' ' WHEN c_custkey % 6 = 4 THEN NULL ELSE 'Female' END AS GEN
 FROM {customer} WHERE c_custkey % 10 <> 9
 """
 
 FX_ERP_LOC = """
-SELECT 'AW-' || lpad(CAST(c_custkey AS VARCHAR(20)), 8, '0') AS CID,
+SELECT 'AW-' || lpad(CAST(c_custkey AS VARCHAR(20)), CAST(greatest(8, length(CAST(c_custkey AS VARCHAR(20)))) AS INT), '0') AS CID,
   CASE WHEN c_nationkey % 7 = 0 THEN 'US' WHEN c_nationkey % 7 = 1 THEN 'USA' WHEN c_nationkey % 7 = 2 THEN 'DE' WHEN c_nationkey % 7 = 3 THEN ' ' WHEN c_nationkey % 7 = 4 THEN NULL ELSE ' ' || n_name END AS CNTRY
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_custkey % 12 <> 11
 """

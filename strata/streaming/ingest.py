@@ -3,35 +3,45 @@
 Re-reading every landed file on each daily run grows with history; the file
 stream source remembers processed files in its checkpoint, so each run reads
 only new drops.  ``trigger(availableNow=True)`` processes everything available
-in bounded micro-batches and stops, which fits a scheduled batch job.  A lost
-executor or a killed run resumes from the checkpoint without duplicating rows.
+in bounded micro-batches and stops, which fits a scheduled batch job.
+
+Batches are appended by the ordinary table writer, so the table carries no sink log and batch jobs may append to
+or overwrite it between runs.  The last batch of each checkpoint is kept as a table property: a batch that is replayed after
+it was recorded is skipped; only a run killed between an append and its record appends that one batch again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import zlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..session import scratch_path
 from ..sources.csv import READ_OPTIONS
 from ..sources.catalog import create_table
 
 
 def ingest_incremental(spark: SparkSession, landing_dir: str, schema: T.StructType, table: str, *,
-                       checkpoint: str | None = None, table_comment: str | None = None,
+                       checkpoint: str, table_comment: str | None = None,
                        max_files_per_trigger: int | None = None) -> str:
     """Append every not-yet-ingested CSV file under ``landing_dir`` to ``table``; returns the checkpoint used.
 
-    Pass the same ``checkpoint`` on every run (it lives in the shared checkpoint
-    folder by default); a fresh checkpoint re-ingests the whole folder.
+    Pass the same ``checkpoint`` (a shared folder) on every run; a fresh one ingests the whole folder again.
     """
-    checkpoint = checkpoint or scratch_path(spark, "stream-checkpoints", table.replace(".", "_"))
     if not spark.catalog.tableExists(table):
         create_table(spark, table, schema, table_comment)
+    mark = f"strata.stream.{zlib.crc32(checkpoint.encode()):08x}"
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        done = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+        if int(done.get(mark, -1)) < batch_id:
+            batch.write.insertInto(table)
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{mark}' = '{batch_id}')")
+
     reader = spark.readStream.schema(schema).options(**READ_OPTIONS).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     q = (reader.csv(landing_dir).writeStream.trigger(availableNow=True)
-         .option("checkpointLocation", checkpoint).toTable(table))
+         .option("checkpointLocation", checkpoint).foreachBatch(append).start())
     q.awaitTermination()
     return checkpoint

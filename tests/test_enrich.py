@@ -51,11 +51,15 @@ def test_salted_join_equals_plain_join_with_many_null_keys(spark):
     assert rows(anti.select("id", "k")) == rows(left.join(right, "k", "left_anti").select("id", "k"))
 
 
-def test_broadcast_only_after_size_check(spark, sides):
-    left, right = sides
-    assert J.fits_broadcast(right, 3) and not J.fits_broadcast(right, 2) and not J.fits_broadcast(right, None)
-    plan = plan_text(J.enrich(left, right, "k", broadcast_max_rows=10))
-    assert "Broadcast" in plan
+def test_enrich_builds_without_a_job_and_can_leave_keys_unsalted(spark):
+    left, right = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int"), spark.createDataFrame([("a", 9)], "k string, w int")
+    sc = spark.sparkContext
+    sc.setJobGroup("enrich-build", "no job expected")
+    salted, plain = J.enrich(left, right, "k"), J.enrich(left, right, "k", spread_null_keys=False)
+    assert not sc.statusTracker().getJobIdsForGroup("enrich-build")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert rows(salted) == rows(plain)
+    assert "xxhash64" in plan_text(salted) and "xxhash64" not in plan_text(plain)
 
 
 def test_coverage_zero_rows_gives_null_pct(spark):

@@ -128,6 +128,25 @@ def test_incremental_ingest_is_exactly_once_across_drops(spark, tmp_path, layers
     assert rows(spark.table(table)) == [("a", None), ("b", " x "), ("c", "DE")]
 
 
+def test_stream_and_batch_writers_share_a_table(spark, tmp_path, layers):
+    from strata.streaming import ingest_incremental
+
+    schema = BRONZE["bronze_erp_loc_a101"].schema
+    land, ck = str(tmp_path / "landing"), str(tmp_path / "ck")
+    table = f"{layers['bronze']}.bronze_erp_loc_a101"
+    S.write_csv(spark.createDataFrame([("a", None), ("b", "DE")], schema), f"{land}/drop1")
+    ingest_incremental(spark, land, schema, table, checkpoint=ck)
+    counts = [spark.table(table).count()]
+    spark.createDataFrame([("c", "US")], schema).write.insertInto(table)
+    counts.append(spark.table(table).count())
+    spark.createDataFrame([("x", "US"), ("y", "US"), ("z", None)], schema).write.insertInto(table, overwrite=True)
+    counts.append(spark.table(table).count())
+    S.write_csv(spark.createDataFrame([("d", "FR")], schema), f"{land}/drop2")
+    ingest_incremental(spark, land, schema, table, checkpoint=ck)
+    counts.append(spark.table(table).count())
+    assert counts == [2, 3, 3, 4]
+
+
 def test_bucketed_silver_tables_make_the_product_join_shuffle_free(spark):
     """Layered run: silver product and sales are bucketed on product_id; gold's product-master join
     then reads co-located buckets (no exchange under that join)."""

@@ -266,3 +266,24 @@ def test_silver_customer_matches_brute_force(spark, data):
         m = {"M": "Married", "S": "Single"}.get(r[4], r[4])
         want.append((r[0], r[1], r[2], r[3], m, g, r[6]))
     assert got == sorted(want, key=repr)
+
+
+def test_fixture_keys_do_not_collide_beyond_their_padded_width(spark):
+    """Ids of nine and ten digits keep distinct keys, gold keeps the silver row count, planted sales ids meet no real id."""
+    from strata.plans import gold, silver
+    from strata.sources.fixtures import FIXTURES
+
+    ids = [*range(100_000_000, 100_000_400), *range(2_147_483_000, 2_147_483_400)]
+    customer = spark.createDataFrame([(i, f"name {i}", "SEG", i % 25) for i in ids], "c_custkey bigint, c_name string, c_mktsegment string, c_nationkey int")
+    nation = spark.createDataFrame([(i, f"N{i}") for i in range(25)], "n_nationkey int, n_name string")
+    cust = spark.sql(FIXTURES["fx_cust_info"][0], customer=customer)
+    assert cust.select("cst_key").distinct().count() == len(ids)
+    s = silver.silver_customer(cust)
+    g = gold.gold_customer(s, spark.sql(FIXTURES["fx_erp_cust"][0], customer=customer), spark.sql(FIXTURES["fx_erp_loc"][0], customer=customer, nation=nation))
+    assert g.count() == s.count()
+    part = spark.createDataFrame([(i, f"p{i}", "STEEL", "Brand#11", 7, 10.0) for i in range(1, 300)] + [(i + 100_000, "p", "STEEL", "Brand#11", 7, 10.0) for i in range(1, 300)],
+                                 "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int, p_retailprice double")
+    prd = spark.sql(FIXTURES["fx_prd_info"][0], part=part)
+    sales = spark.sql(FIXTURES["fx_sales_details"][0], fx_prd_info=prd)
+    real = {r[0] for r in prd.select("prd_id").collect()}
+    assert sales.where("prd_nm LIKE '% x'").count() > 0 and not real & {r[0] for r in sales.where("prd_nm LIKE '% x'").select("prd_id").collect()}
