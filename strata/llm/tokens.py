@@ -3,7 +3,8 @@
 ``word_bpe_49k`` drops white space and never merges across it, so a text's ids are the concatenated ids
 of its blank-separated chunks.  A chunk of plain letters followed by ASCII punctuation splits once more
 between the two, and letter case folds; both only widen what the cache hits.  Chunks that the cache
-lacks are encoded together in one call, separated by a special token that cuts the result apart.
+lacks are encoded together in one call: plain letters or plain punctuation by blanks, as each is one word and ends in one
+word-end token, and others by a special token that cuts the result apart.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 SEPARATOR, SEPARATOR_ID = "<|endoftext|>", 49407
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
 class WordTokenizer:
@@ -37,6 +38,10 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
+        ends = [i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]
+        self.word_end = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        self.word_end[ends] = True
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         plain = [c for c in chunks if "<|" not in c]
@@ -52,28 +57,42 @@ class WordTokenizer:
                 found[c] = np.array(self.tokenizer.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return [found[c] for c in chunks]
 
+    def _encode_plain(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks that are one word each: a run of letters, or of ASCII punctuation."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.word_end[ids]) + 1
+        if len(ends) != len(chunks) or (len(ends) and ends[-1] != len(ids)):
+            return self._encode(chunks)
+        raw = ids.tobytes()
+        return [raw[4 * a:4 * b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        cache = self.cache
-        if len(cache) > self.cache_words:
-            cache.clear()
-            cache[""] = b""
+        if 2 * len(self.cache) > self.cache_words:
+            self.older, self.cache = self.cache, {"": b""}  # what is still in use comes back from the older half
+        cache, older = self.cache, self.older
         lacking = set()
         for words in split:
             lacking.update(words)
         lacking.difference_update(cache)
+        known = lacking & older.keys()
+        cache.update((w, older[w]) for w in known)
+        lacking -= known
         if lacking:
-            parts, needed = {}, set()
+            parts, plain, others = {}, set(), []
             for w in lacking:
                 stem = w.rstrip(PUNCTUATION)
-                if stem.isalpha() and max(stem) < "ɐ" and "İ" not in stem:
+                if stem.isalpha() and (stem.isascii() or max(stem) < "ɐ" and "İ" not in stem):
                     parts[w] = low, tail = stem.lower(), w[len(stem):]
-                    needed.add(low)
-                    needed.add(tail)
+                    plain.add(low)
+                    plain.add(tail)
                 else:
-                    needed.add(w)
-            needed = [c for c in needed if c not in cache]
-            cache.update(zip(needed, self._encode(needed)))
+                    others.append(w)
+            plain = [c for c in plain if c not in cache]
+            if plain:
+                cache.update(zip(plain, self._encode_plain(plain)))
+            if others:
+                cache.update(zip(others, self._encode(others)))
             for w, (low, tail) in parts.items():
                 cache[w] = cache[low] + cache[tail]
         return [b"".join(map(cache.__getitem__, words)) for words in split]
