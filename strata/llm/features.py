@@ -83,7 +83,7 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, steps: int = 300, r
     w, b = np.zeros(x.shape[1], dtype=np.float32), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        e = (sigmoid(x @ w + b) - y) * weight
+        e = (sigmoid(x @ w + np.float32(b)) - y) * weight  # single precision, so that x is not copied as doubles at each step
         g, gb = x.T @ e + l2 * w, float(e.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
@@ -101,7 +101,7 @@ def linear_svm(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, steps: int = 300,
     w, b = np.zeros(x.shape[1], dtype=np.float32), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        slack = np.maximum(0, 1 - sign * (x @ w + b))
+        slack = np.maximum(0, 1 - sign * (x @ w + np.float32(b)))
         e = -2 * slack * sign * weight
         g, gb = x.T @ e + l2 * w, float(e.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
