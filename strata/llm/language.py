@@ -15,6 +15,7 @@ from .features import char_ngram_counts, collected_features, linear_svm, logisti
 DIMS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE_PER_LANGUAGE = 600  # labelled documents a language that the models are fitted on, at most
+SAMPLE_PARTS = 16
 UNDETERMINED = "und"
 
 # Language codes by family.
@@ -105,8 +106,11 @@ def train(rows: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageM
     Rows without text or label are left out; with no row left there is no model (None).
     """
     known = rows.where(F.col("text").isNotNull() & F.col("label").isNotNull())
-    by = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.select("doc_id", "label").dropDuplicates().withColumn("n", F.row_number().over(by)).where(F.col("n") <= per_language).select("doc_id", "label")
+    ids = known.select("doc_id", "label").dropDuplicates().withColumn("h", F.xxhash64("doc_id"))
+    for part in (F.pmod("h", F.lit(SAMPLE_PARTS)), F.lit(0)):  # a frequent label is first ranked in parts, so the last rank sees a bounded number of rows
+        by = Window.partitionBy("label", part).orderBy("h", "doc_id")
+        ids = ids.withColumn("n", F.row_number().over(by)).where(F.col("n") <= per_language).drop("n")
+    ids = ids.drop("h")
     picked = known.join(F.broadcast(ids), ["doc_id", "label"])
     x, y = collected_features(picked, DIMS, vectors)
     languages = sorted(set(y.tolist()))
