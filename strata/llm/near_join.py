@@ -24,6 +24,7 @@ from .word_hash import split_hashes
 WORDS = 5
 PERCENT = 80
 SIGNATURE_BITS = 1024
+WIDE_BITS = 4096  # of the second signature, which only the classes that a pair names get
 SKETCH_BITS = 16
 BLOCK_BYTES = 1 << 20
 ORDERS = 2
@@ -259,16 +260,28 @@ def remaining_pairs(members: DataFrame, classes: DataFrame, percent: int, bucket
     return t.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
-def bodies_of(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Written ``cid, body``: one compressed text of each class that a pair names."""
+def bodies_of(pairs: DataFrame, members: DataFrame, n: int) -> DataFrame:
+    """Written ``cid, size, sig, body``: a wide signature and one compressed text of each class that a pair names."""
     named = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    rows = members.select("cid", "doc_id", "body").join(named.hint("merge"), "cid", "left_semi")
-    return written(rows.groupBy("cid").agg(F.min(F.struct("doc_id", "body")).alias("r")).select("cid", "r.body"), "bodies")
+    rows = members.select("cid", "doc_id", "size", "body").join(named.hint("merge"), "cid", "left_semi")
+    one = rows.groupBy("cid").agg(F.min(F.struct("doc_id", "size", "body")).alias("r")).select("cid", "r.size", F.col("r.body").alias("text"))
+
+    def run(batches):
+        comp = zstandard.ZstdDecompressor()
+        for batch in blocks(batches, BLOCK_BYTES // 2):
+            wide = [signature(s, WIDE_BITS) for s in sets_of([comp.decompress(x) for x in batch.column("text").to_pylist()], n)]
+            yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("size"), pa.array(wide, pa.binary()), batch.column("text")], names=["cid", "size", "sig", "body"])
+
+    return written(one.mapInArrow(run, "cid long, size long, sig binary, body binary"), "bodies")
 
 
 def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs that link, by exact intersection of their sorted sets, recomputed from the texts; written."""
-    bodies = bodies_of(pairs, members)
+    """The pairs that link, by exact intersection of their sorted sets, recomputed from the texts; written.
+
+    Wide signatures bound the pairs once more, so only texts of pairs that are likely to link travel.
+    """
+    bodies = bodies_of(pairs, members, n)
+    pairs = written(bounded(pairs, bodies, percent), "pairs")
     side = [bodies.select(F.col("cid").alias(c), F.col("body").alias(f"t{c}")) for c in "ab"]
 
     def run(batches):
