@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
 from .tokens import TOKENIZER, token_counts
 
 BLOCK = 1024
@@ -18,7 +19,8 @@ def length_table(lengths: DataFrame, block: int = BLOCK) -> DataFrame:
     ``length``.  NULL lengths are ignored; an empty table gives no row.  Sums run in two steps, over blocks of lengths
     and within each, so no task sees the whole histogram.
     """
-    hist = (lengths.where(F.col("length").isNotNull()).groupBy("length").agg(F.count("*").alias("n_docs"))
+    # written, as both uses below would else encode every document
+    hist = (written(lengths.where(F.col("length").isNotNull()).groupBy("length").agg(F.count("*").alias("n_docs")), "lengths")
             .withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("block", F.floor(F.col("length") / block)))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     below = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
