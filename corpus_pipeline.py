@@ -8,7 +8,6 @@ lost executor costs one stage at most.  Stages accept NULLs, empty and repeated
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, near_join, packing, quality_rules, secrets
 from strata.llm.common import read_table, written
@@ -20,15 +19,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (4): the one whose id names the component.
+    """One document of each group of near copies (4): a row of the id that names the component.
 
-    Rows that share a ``doc_id`` are one document, of which the first row by content stays; so are rows without an id.
+    A row is known by id and text together: rows that share a ``doc_id``, or have none, stay unless their texts are near copies.
     """
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(near_join.NO_ID))
-    found = near_join.near_duplicates(docs)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("k")).distinct()
-    rows = docs.groupBy(key.alias("k")).agg(F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
-    return rows.join(first.hint("merge"), "k", "left_semi").select(*[F.col(f"r.{c}") for c in docs.columns])
+    return near_join.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, id_text, mix64, shuffle_partitions, written
+from .common import blocks, mix64, shuffle_partitions, written
 from .components import components
 from .word_hash import split_hashes
 
@@ -67,8 +67,21 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def row_key():
+    """``doc_id`` as bigint, a NULL one as ``NO_ID``."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+
+
+def content_hash():
+    """64-bit hash of ``text``, in which NULL and the empty text differ."""
+    return F.xxhash64("text")
+
+
 def shingled(docs: DataFrame, n: int = WORDS) -> DataFrame:
-    """Written rows of two kinds: documents (``doc_id, size, cid, sig, body``) and, per task, counts of hashed shingle slots (``slot, freq``)."""
+    """Written rows of two kinds: documents (``doc_id, content, size, cid, sig, body``) and, per task, counts of hashed shingle slots (``slot, freq``).
+
+    ``content`` is the hash of the text as it came, so a row can be found again by it and its ``doc_id``.
+    """
 
     def run(batches):
         freq = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
@@ -83,14 +96,15 @@ def shingled(docs: DataFrame, n: int = WORDS) -> DataFrame:
                 freq += np.bincount((np.concatenate(few) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=len(freq))
             rows = len(texts)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_id(s) for s in sets], pa.int64()),
+                [batch.column("doc_id"), batch.column("content"), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_id(s) for s in sets], pa.int64()),
                  pa.array([signature(s) for s in sets], pa.binary()), pa.array([comp.compress(t) for t in texts], pa.binary()),
-                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names=["doc_id", "size", "cid", "sig", "body", "slot", "freq"])
+                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.int64())], names=["doc_id", "content", "size", "cid", "sig", "body", "slot", "freq"])
         slots = np.flatnonzero(freq)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(slots), pa.int64())] * 3 + [pa.nulls(len(slots), pa.binary())] * 2 + [pa.array(slots, pa.int32()), pa.array(freq[slots], pa.int64())],
-                                         names=["doc_id", "size", "cid", "sig", "body", "slot", "freq"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(slots), pa.int64())] * 4 + [pa.nulls(len(slots), pa.binary())] * 2 + [pa.array(slots, pa.int32()), pa.array(freq[slots], pa.int64())],
+                                         names=["doc_id", "content", "size", "cid", "sig", "body", "slot", "freq"])
 
-    rows = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID))).mapInArrow(run, "doc_id long, size long, cid long, sig binary, body binary, slot int, freq long")
+    named = docs.select(row_key().alias("doc_id"), content_hash().alias("content"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = named.mapInArrow(run, "doc_id long, content long, size long, cid long, sig binary, body binary, slot int, freq long")
     return written(rows, "shingles")
 
 
@@ -300,13 +314,9 @@ def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
     return written(pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
 
 
-def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document: its set's size, and the smallest ``doc_id`` that links of similarity
-    of at least ``percent`` percent reach from it.
-
-    Texts without words, and NULL texts, are empty sets that link with nothing.  Repeated rows and equal sets are one class.  A NULL
-    ``doc_id`` counts as larger than every id (and is the component id only among such rows).  An empty table gives no row.
-    """
+def grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The documents as :func:`shingled` has them, and a written ``cid, low, content, size, root`` of every class: its
+    smallest ``doc_id``, the smallest content hash there, its set's size, and the class that names its component."""
     spark = docs.sparkSession
     rows = shingled(docs, n)
     members = rows.where(F.col("doc_id").isNotNull())
@@ -327,14 +337,40 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     r = [roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"]
     joined = more.join(r[0], "a", "left").join(r[1], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
     again = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    low = members.groupBy("cid").agg(F.min("doc_id").alias("low")).join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("cid", "low", F.coalesce("root", "cid").alias("root"))
-    low = written(low.join(again.hint("merge"), "root", "left").select("cid", "low", F.coalesce("top", "root").alias("root")), "classes")
+    low = members.groupBy("cid").agg(F.min(F.struct("doc_id", "content", "size")).alias("r")).select("cid", F.col("r.doc_id").alias("low"), "r.content", "r.size")
+    low = low.join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("cid", "low", "content", "size", F.coalesce("root", "cid").alias("root"))
+    return members, written(low.join(again.hint("merge"), "root", "left").select("cid", "low", "content", "size", F.coalesce("top", "root").alias("root")), "classes")
+
+
+def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document: its set's size, and the smallest ``doc_id`` that links of similarity
+    of at least ``percent`` percent reach from it.
+
+    Texts without words, and NULL texts, are empty sets that link with nothing.  Repeated rows and equal sets are one class.  A NULL
+    ``doc_id`` counts as larger than every id (and is the component id only among such rows).  An empty table gives no row.
+    """
+    members, low = grouped(docs, n, percent)
     least = low.groupBy("root").agg(F.min("low").alias("component_id"))
     final = low.join(least.hint("merge"), "root").select("cid", "component_id")
     return (members.select("doc_id", F.col("size").alias("n_shingles"), "cid").join(final.hint("merge"), "cid")
             .select(_shown("doc_id"), "n_shingles", _shown(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")), "component_id")))
 
 
+def one_of_each(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without near copies, with all their columns: of every component the one of the smallest ``doc_id``.
+
+    A row is known by its ``doc_id`` and its text, so rows without an id, and rows that share one, stay unless their texts link; an id
+    that a component's rows share, or NULL (larger than every id), leaves the choice to class and content hash.  Texts without words,
+    and NULL texts, link with nothing: all stay, but for repeated rows of one id and text.
+    """
+    members, low = grouped(docs, n, percent)
+    first = low.where("size > 0").groupBy("root").agg(F.min(F.struct("low", "cid", "content")).alias("r")).select(F.col("r.low").alias("k"), F.col("r.content").alias("h"))
+    bare = members.where("size = 0").select(F.col("doc_id").alias("k"), F.col("content").alias("h")).distinct()
+    # copies of one row become one row in each map task, so a hot key is a row a task
+    rows = docs.groupBy(row_key().alias("k"), content_hash().alias("h")).agg(F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
+    return rows.join(first.unionByName(bare).hint("merge"), ["k", "h"], "left_semi").select(*[F.col(f"r.{c}") for c in docs.columns])
+
+
 def _shown(column, name: str | None = None):
     column, name = (F.col(column), column) if isinstance(column, str) else (column, name)
     return F.when(column < F.lit(NO_ID), column).alias(name)

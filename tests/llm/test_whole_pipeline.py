@@ -1,0 +1,55 @@
+"""The pipeline's stages and run() on rows with NULL and repeated ids, against plain Python."""
+
+from collections import defaultdict
+
+import pytest
+
+import corpus_pipeline as cp
+
+from .test_operators import SCHEMA, brute_near, text
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", "y", 1.5) for i, t in rows], SCHEMA)
+
+
+def brute_groups(rows):
+    """Positions of ``rows`` by component: near copies by their texts alone, whatever their ids."""
+    groups = defaultdict(list)
+    for (at, _, low) in brute_near([(k, t or "") for k, (_, t) in enumerate(rows)]):
+        groups[low].append(at)
+    return list(groups.values())
+
+
+def one_of_each(rows):
+    """Per component its smallest id (None last) and the texts that rows of this id have there."""
+    out = []
+    for group in brute_groups(rows):
+        ids = [rows[k][0] for k in group]
+        low = min((i for i in ids if i is not None), default=None)
+        out.append((low, {rows[k][1] for k in group if rows[k][0] == low}))
+    return out
+
+
+@pytest.fixture(scope="module")
+def mixed():
+    """NULL and repeated ids, unlike texts, near copies of each other or of nothing."""
+    five, copy = text(50, 200), text(50, 200).split()
+    copy[7] = "Changed"
+    near = " ".join(["Aaa", *copy[1:]])  # a near copy of document 5 that sorts before every other text
+    return [(5, five), (None, near), (None, text(51)), (None, text(52)), (None, text(52)), (6, text(53)), (6, text(54)), (6, five), (4, text(55)), (4, text(55)),
+            (7, text(52)), (8, None), (8, ""), (None, ""), (None, None), (9, ""), (3, text(56)), (None, text(57, 90)), (None, "Bbb " + text(57, 90))]
+
+
+def test_near_duplicate_stage_drops_only_copies(spark, mixed):
+    df = table(spark, mixed)
+    kept = cp.near_duplicates(spark, df, None)
+    assert kept.columns == df.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    left = list(got)
+    for low, texts in one_of_each([r for r in mixed if r[1]]):
+        found = [r for r in left if r[0] == low and r[1] in texts]
+        assert len(found) == 1, (low, texts)
+        left.remove(found[0])
+    # texts without words are no copies of one another
+    assert sorted(left, key=str) == sorted({r for r in mixed if not r[1]}, key=str)
