@@ -6,13 +6,14 @@ only new drops.  ``trigger(availableNow=True)`` processes everything available
 in bounded micro-batches and stops, which fits a scheduled batch job.
 
 Batches are appended by the ordinary table writer, so the table carries no sink log and batch jobs may append to
-or overwrite it between runs.  The last batch of each checkpoint is kept as a table property: a batch that is replayed after
-it was recorded is skipped; only a run killed between an append and its record appends that one batch again.
+or overwrite it between runs.  The last batch of each stream is kept as a table property, named by the id in the checkpoint's
+metadata (every fresh checkpoint has its own, even at the path of an old one): a batch that is replayed after it was
+recorded is skipped; only a run killed between an append and its record appends that one batch again.
 """
 
 from __future__ import annotations
 
-import zlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -30,9 +31,9 @@ def ingest_incremental(spark: SparkSession, landing_dir: str, schema: T.StructTy
     """
     if not spark.catalog.tableExists(table):
         create_table(spark, table, schema, table_comment)
-    mark = f"strata.stream.{zlib.crc32(checkpoint.encode()):08x}"
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        mark = f"strata.stream.{_stream_id(spark, checkpoint)}"
         done = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
         if int(done.get(mark, -1)) < batch_id:
             batch.write.insertInto(table)
@@ -45,3 +46,8 @@ def ingest_incremental(spark: SparkSession, landing_dir: str, schema: T.StructTy
          .option("checkpointLocation", checkpoint).foreachBatch(append).start())
     q.awaitTermination()
     return checkpoint
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the checkpoint's stream, which Spark writes there before the first batch."""
+    return json.loads("".join(r[0] for r in spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()))["id"]
