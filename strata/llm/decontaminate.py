@@ -33,21 +33,21 @@ def words_of(texts: list[str]) -> list[np.ndarray]:
 class Phrases:
     """The distinct windows of a block of benchmark items, by length, and the items that hold each."""
 
-    def __init__(self, items: list[tuple[str, str]], window: int):
+    def __init__(self, items: list[tuple[str | None, str]], window: int):
         self.window = window
         words = words_of([text for _, text in items])
         self.vocabulary = np.unique(np.concatenate([*words, np.empty(0, dtype=np.uint64)]))
-        grams: dict[tuple[int, ...], set[str]] = {}
+        grams: dict[tuple[int, ...], set[str | None]] = {}
         for (item, _), own in zip(items, words):
             ids = self.symbols(own).tolist()
             n = min(window, len(ids))
             for i in range(len(ids) - n + 1 if n else 0):
                 grams.setdefault(tuple(ids[i:i + n]), set()).add(item)
-        self.by_length: dict[int, tuple[np.ndarray, list[tuple[str, ...]]]] = {}
+        self.by_length: dict[int, tuple[np.ndarray, list[tuple[str | None, ...]]]] = {}
         for gram in sorted(grams):
             rows, items_of = self.by_length.setdefault(len(gram), ([], []))
             rows.append(gram)
-            items_of.append(tuple(sorted(grams[gram])))
+            items_of.append(tuple(_in_order(grams[gram])))
         self.by_length = {n: (np.array(rows, dtype=np.int64), items_of) for n, (rows, items_of) in self.by_length.items()}
         self.n_symbols = len(self.vocabulary) + 3
 
@@ -59,12 +59,17 @@ class Phrases:
         return np.where(self.vocabulary[at] == words, at + 3, OTHER)
 
 
+def _in_order(items: set[str | None]) -> list[str | None]:
+    """Item ids in order; the one entry that stands for items without an id comes last."""
+    return sorted(items, key=lambda x: (x is None, x or ""))
+
+
 def _within(sizes: np.ndarray) -> np.ndarray:
     """0, 1, ... within each of several runs."""
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def search_shard(parts: list[np.ndarray], phrases: Phrases) -> list[tuple[int, int, int, tuple[str, ...]]]:
+def search_shard(parts: list[np.ndarray], phrases: Phrases) -> list[tuple[int, int, int, tuple[str | None, ...]]]:
     """``(part, start, length, items)`` of every occurrence of every phrase in the parts of one shard."""
     sizes = np.array([len(p) + 1 for p in parts])
     text = np.full(int(sizes.sum()), BREAK, dtype=np.int64)
@@ -93,10 +98,10 @@ def search_shard(parts: list[np.ndarray], phrases: Phrases) -> list[tuple[int, i
     return found
 
 
-def hits(documents: list[np.ndarray], phrases: Phrases, shard_words: int) -> list[tuple[list[tuple[int, int]], list[str]]]:
+def hits(documents: list[np.ndarray], phrases: Phrases, shard_words: int) -> list[tuple[list[tuple[int, int]], list[str | None]]]:
     """Per document the merged word spans of all occurrences, and the items that occur."""
     spans: list[list[tuple[int, int]]] = [[] for _ in documents]
-    items: list[set[str]] = [set() for _ in documents]
+    items: list[set[str | None]] = [set() for _ in documents]
     parts, owners, total = [], [], 0
 
     def flush():
@@ -121,7 +126,7 @@ def hits(documents: list[np.ndarray], phrases: Phrases, shard_words: int) -> lis
             owners.append((i, a))
             total += len(part)
     flush()
-    return [(merged(s), sorted(x)) for s, x in zip(spans, items)]
+    return [(merged(s), _in_order(x)) for s, x in zip(spans, items)]
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -139,7 +144,7 @@ def phrase_blocks(benchmark: DataFrame, window: int = WINDOW, block_bytes: int =
 
     A benchmark of any size is searched block after block, so what is broadcast at once has a fixed bound.
     """
-    items = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
+    items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
     block, size = [], 0
     for row in items.toLocalIterator():
         n = 4 * len(row["text"])
@@ -158,8 +163,8 @@ SPANS = "array<struct<start:bigint,end:bigint>>"
 def with_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, text, n_words, spans, items``: merged word spans ``[start, end)`` of benchmark windows, and the items found.
 
-    A window is ``window`` consecutive words of an item, or a whole shorter item; items without words match nothing.  NULL text has
-    no words; repeated rows are searched one by one; an empty benchmark hits nothing; an empty table gives no row.
+    A window is ``window`` consecutive words of an item, or a whole shorter item; items without words match nothing.  Items with a NULL
+    ``item_id`` are searched like the others; in ``items`` all of them are one NULL, the last entry.  NULL text has no words; repeated rows are searched one by one; an empty benchmark hits nothing; an empty table gives no row.
     """
     spark = docs.sparkSession
     out = id_text(docs).select("doc_id", "text", F.lit(0).cast("bigint").alias("n_words"), F.array().cast(SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
@@ -179,7 +184,7 @@ def _pass(df: DataFrame, shared, shard_words: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [pa.array([r["doc_id"] for r in rows], pa.int64()), pa.array([r["text"] for r in rows], pa.string()), pa.array([len(w) for w in documents], pa.int64()),
              pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], pa.list_(struct)),
-             pa.array([sorted({*r["items"], *new}) for r, (_, new) in zip(rows, found)], pa.list_(pa.string()))],
+             pa.array([_in_order({*r["items"], *new}) for r, (_, new) in zip(rows, found)], pa.list_(pa.string()))],
             names=["doc_id", "text", "n_words", "spans", "items"])
 
     def run(batches):
