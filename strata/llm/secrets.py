@@ -96,7 +96,8 @@ def log_ratio(random: np.ndarray, ordinary: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame) -> np.ndarray | None:
     """The transition log-ratios from all documents: two 64 x 64 count tables are summed by Spark, whatever the input.
 
-    Labels are the fixed patterns' own finds.  Without any find there is no model of random strings (None).
+    Labels are the fixed patterns' own finds; without any find the model of random strings is even odds, as smoothing leaves it.
+    Without any labelled string, ordinary ones included, there is nothing to compare (None).
     """
 
     def run(batches):
@@ -117,7 +118,7 @@ def train(docs: DataFrame) -> np.ndarray | None:
     for r in cells:
         counts[r["cell"]] = r["n"]
     counts = counts.reshape(2, -1)
-    return log_ratio(counts[0], counts[1]) if counts[0].sum() else None
+    return log_ratio(counts[0], counts[1]) if counts.sum() else None
 
 
 def random_spans(text: str, ratio: np.ndarray, least: float = RATIO) -> list[tuple[int, int, str]]:
@@ -132,12 +133,24 @@ def random_spans(text: str, ratio: np.ndarray, least: float = RATIO) -> list[tup
     return out
 
 
+def uncovered(start: int, end: int, spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of ``[start, end)`` outside all of ``spans``, which are in order of their start."""
+    out = []
+    for a, b, _ in spans:
+        if a >= end:
+            break
+        if a > start:
+            out.append((start, a))
+        start = max(start, b)
+    return out + [(start, end)] if start < end else out
+
+
 def all_spans(text: str, ratio: np.ndarray | None, least: float = RATIO) -> list[tuple[int, int, str]]:
-    """Base spans, and random strings that no base span touches."""
+    """Base spans, and whatever of random strings no base span covers."""
     base = base_spans(text)
     if ratio is None:
         return base
-    more = [s for s in random_spans(text, ratio, least) if not any(a < s[1] and s[0] < b for a, b, _ in base)]
+    more = [(a, b, kind) for start, end, kind in random_spans(text, ratio, least) for a, b in uncovered(start, end, base)]
     return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
