@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import shuffle_partitions
+
 SEGMENT = 1 << 18  # code points handled at once
 
 
@@ -56,7 +58,10 @@ def labelled_ids(labels: DataFrame, label: str, per_class: int) -> DataFrame:
 
 
 def collected_features(rows: DataFrame, dims: int, vectors) -> tuple[np.ndarray, np.ndarray]:
-    """Feature rows (``vectors(texts)``) and labels of a bounded sample ``label, text``, in an order of its own content."""
+    """Feature rows (``vectors(texts)``) and labels of a sample ``doc_id, label, text``, in an order of its own content.
+
+    A sample bounded in ids is bounded in rows: the rows of one id and label are one, of the smallest text that is not empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,7 +70,9 @@ def collected_features(rows: DataFrame, dims: int, vectors) -> tuple[np.ndarray,
                 x = vectors(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary())], names=["doc_id", "label", "x"])
 
-    got = rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label string, x binary").toArrow().to_pylist()
+    one = rows.groupBy("doc_id", "label").agg(F.coalesce(F.min(F.nullif(F.col("text"), F.lit(""))), F.lit("")).alias("text"))
+    one = one.repartition(shuffle_partitions(rows.sparkSession), "doc_id")  # few bytes, yet costly vectors: not all in one task
+    got = one.mapInArrow(run, "doc_id long, label string, x binary").toArrow().to_pylist()
     got.sort(key=lambda r: (r["doc_id"], r["label"], r["x"]))
     x = np.frombuffer(b"".join(r["x"] for r in got), dtype=np.float32).reshape(len(got), dims)
     return x, np.array([r["label"] for r in got])
