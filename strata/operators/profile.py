@@ -205,9 +205,8 @@ def whitespace_rows_count(df: DataFrame, cols: list[str] | None = None, name: st
 def key_audit(df: DataFrame, keys) -> DataFrame:
     """One pass: rows, NULL-key rows and distinct non-NULL keys of an input.
 
-    From these three numbers every row count of the cleaning pipeline follows
-    exactly (dedupe keeps one row per distinct key, NULL-key rows are dropped),
-    so the audit never re-runs the pipeline.
+    From these three numbers every row count that the cleaning pipeline should have
+    follows (dedupe keeps one row per distinct key, NULL-key rows are dropped).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     nn = _not_null(keys)

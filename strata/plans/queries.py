@@ -128,24 +128,30 @@ _q("rename_customer", lambda ws: C.rename(ws.bronze_cust, dict(CUSTOMER_RENAMES)
 _q("rename_product", lambda ws: C.rename(ws.bronze_prd, dict(PRODUCT_RENAMES)))
 
 
+def _step_counts(steps: dict[str, DataFrame], *tags) -> DataFrame:
+    """One row: ``tags`` and the counted rows of every step's real output."""
+    out = None
+    for name in steps:
+        n = steps[name].agg(*[F.count(F.lit(1)).alias(s) if s == name else F.lit(None).cast("bigint").alias(s) for s in steps])
+        out = n if out is None else out.unionByName(n)
+    return out.agg(*[F.max(s).alias(s) for s in steps]).select(*tags, *steps)
+
+
 @query("dedupe_audit")
 def _dedupe_audit(ws: Workspace) -> DataFrame:
-    """Rows before / after / removed by the customer dedupe (NULL keys kept), from one pass."""
-    a = P.key_audit(_cust_trim(ws), CUSTOMER.key)
-    after = F.col("distinct_keys") + F.col("null_key_rows")
-    return a.select(F.col("rows_in").alias("rows_before"), after.alias("rows_after"),
-                    (F.col("rows_in") - after).alias("rows_removed"))
+    """Rows before / after / removed by the customer dedupe (NULL keys kept), counted on its input and its output."""
+    n = _step_counts({"rows_before": _cust_trim(ws), "rows_after": _cust_dedup_keep_null(ws)})
+    return n.select("rows_before", "rows_after", (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"))
 
 
 @query("pipeline_audit")
 def _pipeline_audit(ws: Workspace) -> DataFrame:
-    """Per entity: rows in, duplicates removed, NULL-key rows dropped, rows out (one pass each)."""
+    """Per entity: rows in, duplicates removed, NULL-key rows dropped, rows out, counted on the cleaning's input and output."""
     out = None
-    for spec, df in ((CUSTOMER, ws.bronze_cust), (PRODUCT, ws.bronze_prd), (SALES, ws.bronze_sales)):
-        a = P.key_audit(df, spec.key).select(
-            F.lit(spec.name).alias("entity"), "rows_in",
-            (F.col("rows_in") - F.col("null_key_rows") - F.col("distinct_keys")).alias("duplicates_removed"),
-            F.col("null_key_rows").alias("null_keys_dropped"), F.col("distinct_keys").alias("rows_out"))
+    for spec, df, cleaned in ((CUSTOMER, ws.bronze_cust, ws.silver_cust), (PRODUCT, ws.bronze_prd, ws.silver_prd), (SALES, ws.bronze_sales, ws.silver_sls)):
+        a = _step_counts({"rows_in": df, "null_keys_dropped": C.null_key_rows(df, spec.key), "rows_out": cleaned}, F.lit(spec.name).alias("entity")).select(
+            "entity", "rows_in", (F.col("rows_in") - F.col("null_keys_dropped") - F.col("rows_out")).alias("duplicates_removed"),
+            "null_keys_dropped", "rows_out")
         out = a if out is None else out.unionByName(a)
     return out
 
