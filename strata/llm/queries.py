@@ -1,12 +1,13 @@
-"""The registered queries of the ten operators, each over its whole tables, and SQL for those it can express."""
+"""The registered queries of the operators, each over its whole tables, and SQL for those it can express."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, lengths, near_join, packing, quality_neighbours, quality_rules, repeats, secrets, sharding
+from . import decontaminate, disclosure, importance, language, lengths, lexical_scan, near_join, packing, quality_neighbours, quality_rules, repeats, secrets, sharding
 from .common import fold_crc32, read_table
+from .sql import SQL
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,18 +72,39 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = secrets.scan(docs, secrets.train(docs))
 
-    def count(kind):
-        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", *map(_count, ("assign", "access", "hex")), F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
 
-    def text(spans):
-        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
-    base = F.filter("spans", lambda s: s["kind"] != "random")
-    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document by fixed patterns, and the terms beside it that give it away."""
+    found = disclosure.personal_spans(read_table(spark, sf_dir, "documents"))
+    every = F.concat_ws(",", F.nullif(_joined(F.col("spans")), F.lit("")), F.nullif(_joined(F.array_sort("more")), F.lit("")))
+    return found.select("doc_id", *map(_count, disclosure.KINDS), F.sha2(_joined(F.col("spans")), 256).alias("base_sha256"), every.alias("spans"))
+
+
+def op12_lexical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that match each benchmark item best."""
+    return lexical_scan.top_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, noisy score and rank of every document in a draw of a tenth towards the benchmark's words."""
+    out = importance.resampled(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _count(kind: str):
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
+def _joined(spans):
+    """Spans as ``kind:start:end``, joined by commas."""
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_packing, op3_suffix_dedup, op4_ngram_jaccard, op5_token_counts, op6_language_id, op7_quality_neighbours,
-                                   op8_decontamination, op9_quality_rules, op10_secret_scan)}
+                                   op8_decontamination, op9_quality_rules, op10_secret_scan, op11_personal_data, op12_lexical_scan, op13_importance_resampling)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -111,3 +133,4 @@ SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit
        sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }
+ORACLES |= SQL
