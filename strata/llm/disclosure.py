@@ -19,12 +19,12 @@ from .term_scan import TERM_PATTERN
 KINDS = ("email", "ip", "card", "phone")
 GENERALISED, REMOVED = "generalise", "remove"
 REACH = 80  # characters on each side of a mention
+CHUNK = 1024  # characters; REACH at least
 GENERALISE_AT, REMOVE_AT = 0.75, 0.9
 LEAST_DOCS = 3  # documents in which a term must stand beside an entity before it can reveal it
 LEAST_CHARS = 3  # shorter terms reveal nothing
-SLOTS = 1 << 18  # of the hashed set of terms in question: what is broadcast has at most as many rows
 SALTS = 16
-RUN = 256  # matches that are summed up at once
+RUN = 64  # matches that are summed up at once
 
 # A match can begin at the start of a run only, or where the last match ended: runs are read once, however long they are.
 PATTERNS = {
@@ -56,12 +56,18 @@ def holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def _bound(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once: a lambda's argument is bound, whereas an expression is repeated wherever it stands."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_sums(values: Column) -> Column:
     """Sums of an array's values up to and with each: within runs of ``RUN`` values and over the runs before, so long arrays stay cheap."""
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int")), lambda k: F.slice(values, k * RUN + 1, F.lit(RUN)))
     total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
-    before = F.transform(runs, total)
-    return F.flatten(F.transform(runs, lambda run, k: F.transform(run, lambda _, j: total(F.slice(before, F.lit(1), k)) + total(F.slice(run, F.lit(1), j + 1)))))
+    in_runs = lambda v: F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda k: F.slice(v, k * RUN + 1, F.lit(RUN)))
+    before = lambda sums: F.transform(sums, lambda _, k: total(F.slice(sums, F.lit(1), k)))
+    within = lambda run, base: F.transform(run, lambda _, j: base + total(F.slice(run, F.lit(1), j + 1)))
+    return _bound(values, lambda v: _bound(in_runs(v), lambda runs: F.flatten(F.zip_with(runs, _bound(F.transform(runs, total), before), within))))
 
 
 def _spans(kind: str, found: Column, gaps: Column) -> Column:
@@ -99,9 +105,17 @@ def folded(text: Column) -> Column:
 
 def mentions(found: DataFrame) -> DataFrame:
     """``row, entity, start, end, left, right``: every base span with the text on both sides, up to ``REACH`` characters and the next span."""
-    span = found.where(F.size("spans") > 0).select("row", "text", F.explode("spans").alias("s")).select("row", "s.*", "text")
-    near = span.select("row", F.concat("kind", F.lit(":"), folded(F.col("value"))).alias("entity"), "start", "end",
-                       F.expr(f"substring(text, int(greatest(start - {REACH}, 0)) + 1, int(least(start, {REACH})))").alias("left"), F.expr(f"substring(text, int(end) + 1, {REACH})").alias("right"))
+    # texts are cut into chunks in one pass, so that the windows of many spans need not each walk a long text
+    chunked = found.where(F.size("spans") > 0).select("row", "spans", F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)).alias("chunks"))
+
+    def window(start, n):
+        k = F.floor(start / CHUNK)
+        chunk = lambda i: F.coalesce(F.try_element_at("chunks", i.cast("int")), F.lit(""))
+        return F.substring(F.concat(chunk(k + 1), chunk(k + 2)), (start - k * CHUNK + 1).cast("int"), n.cast("int"))
+
+    near = chunked.select("row", F.explode(F.transform("spans", lambda s: F.struct(
+        F.concat(s["kind"], F.lit(":"), folded(s["value"])).alias("entity"), s["start"].alias("start"), s["end"].alias("end"),
+        window(F.greatest(s["start"] - REACH, F.lit(0)), F.least(s["start"], F.lit(REACH))).alias("left"), window(s["end"], F.lit(REACH)).alias("right")))).alias("s")).select("row", "s.*")
     by = Window.partitionBy("row").orderBy("start", "end", "entity")
     gap = near.select("*", F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("before"), F.lead("start").over(by).alias("after"))
     n_left = F.greatest(F.lit(0), F.least(F.length("left"), F.col("start") - F.coalesce("before", F.lit(0))))
@@ -127,14 +141,11 @@ def context_terms(found: DataFrame) -> DataFrame:
 def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, dt``: in how many documents each of the distinct ``terms`` occurs.
 
-    Every document's terms are sieved by a hashed set of the ones in question, of at most ``SLOTS`` entries however many these are, and
-    counted per task before they are shuffled.
+    All terms of all documents are counted, per task before they are shuffled, so the work follows the text and not the number of
+    terms in question.
     """
-    slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).cast("int")
-    wanted = terms.select(slot.alias("slot")).distinct()
     each = docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(F.regexp_extract_all(folded(F.col("text")), F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
-    sieved = each.withColumn("slot", slot).join(F.broadcast(wanted), "slot", "left_semi")
-    return sieved.groupBy("term").agg(F.count("*").alias("dt")).join(terms, "term", "left_semi")
+    return each.groupBy("term").agg(F.count("*").alias("dt")).join(terms, "term", "left_semi")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, context: DataFrame, generalise_at: float, remove_at: float, least_docs: int) -> DataFrame:
