@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import derived_key, recode_expr, segment_key
 from ..operators.enrich import enrich, fallback
+from ..operators.skew import Lookup, enrich_chain
 from ..specs import recode
 
 # ---- fixed values: enrichment rules of the layered sales model ----
@@ -42,27 +43,30 @@ def std_erp_gender(df: DataFrame, col: str = "erp_gender", out: str = "erp_gende
     return df.withColumn(out, recode_expr(col, ERP_GENDER_RULE))
 
 
-def join_erp_customer(silver_cust: DataFrame, erp_cust: DataFrame, *, on_duplicate="fanout") -> DataFrame:
-    return enrich(silver_cust, erp_cust_clean(erp_cust), "erp_cust_cid",
-                  left_key=derived_key(CUST_KEY_PREFIX, "customer_key", CUST_KEY_FROM),
-                  on_duplicate=on_duplicate)
+def erp_customer_lookup(erp_cust: DataFrame, on_duplicate: str = "fanout") -> Lookup:
+    return Lookup(erp_cust_clean(erp_cust), "erp_cust_cid", derived_key(CUST_KEY_PREFIX, "customer_key", CUST_KEY_FROM), on_duplicate)
 
 
-def join_erp_location(df: DataFrame, erp_loc: DataFrame, *, on_duplicate="fanout") -> DataFrame:
-    return enrich(df, erp_loc_clean(erp_loc), "erp_loc_cid",
-                  left_key=derived_key(LOC_KEY_PREFIX, "customer_key", LOC_KEY_FROM),
-                  on_duplicate=on_duplicate)
+def erp_location_lookup(erp_loc: DataFrame, on_duplicate: str = "fanout") -> Lookup:
+    return Lookup(erp_loc_clean(erp_loc), "erp_loc_cid", derived_key(LOC_KEY_PREFIX, "customer_key", LOC_KEY_FROM), on_duplicate)
+
+
+def join_erp_customer(silver_cust: DataFrame, erp_cust: DataFrame, *, on_duplicate="fanout", split: bool | None = None) -> DataFrame:
+    return enrich_chain(silver_cust, "customer_key", [erp_customer_lookup(erp_cust, on_duplicate)], split=split)
+
+
+def join_erp_location(df: DataFrame, erp_loc: DataFrame, *, on_duplicate="fanout", split: bool | None = None) -> DataFrame:
+    return enrich_chain(df, "customer_key", [erp_location_lookup(erp_loc, on_duplicate)], split=split)
 
 
 def gold_customer(silver_cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame, *,
-                  on_duplicate: str = "fanout") -> DataFrame:
+                  on_duplicate: str = "fanout", split: bool | None = None) -> DataFrame:
     """Customer dimension enriched with ERP birth date, gender fallback and country.
 
-    Both ERP sides are customer-sized (they grow with the customer base), so
-    they are only broadcast when measured small; otherwise two sort-merge joins.
+    Both ERP sides are customer-sized (they grow with the customer base).  Where the planner would not broadcast them, rows are split once for
+    both joins: customers without a key go past them, keys that many rows share are salted, all others take two plain joins.
     """
-    df = join_erp_customer(silver_cust, erp_cust, on_duplicate=on_duplicate)
-    df = join_erp_location(df, erp_loc, on_duplicate=on_duplicate)
+    df = enrich_chain(silver_cust, "customer_key", [erp_customer_lookup(erp_cust, on_duplicate), erp_location_lookup(erp_loc, on_duplicate)], split=split)
     df = std_country(df)
     df = std_erp_gender(df)
     df = fallback(df, "gender", "erp_gender_clean")
