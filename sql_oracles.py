@@ -332,6 +332,28 @@ for _k, _t, _c in (("dist_gold_country", "gold_cust", "country"), ("dist_gold_ge
 oracle("gold_verification", """SELECT 'gold_customer_enriched' AS table_name, COUNT(*) AS row_count FROM gold_cust
   UNION ALL SELECT 'gold_sales_denormalized' AS table_name, COUNT(*) AS row_count FROM gold_sales""")
 
+_PCT = lambda c: f"round(CAST({c} AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * CAST(100 AS DOUBLE), 1)"
+oracle("coverage_known", " UNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, COUNT({c}) AS matched_rows, COUNT({k}) AS known_rows, COUNT(*) AS total_rows,
+      {_PCT(f'COUNT({c})')} AS coverage_pct, {_PCT(f'COUNT({k})')} AS known_pct FROM gold_cust"""
+    for c, k in (("country", "NULLIF(country, 'Unknown')"), ("gender", "NULLIF(gender, 'Unknown')"), ("birth_date", "birth_date"))))
+_GOLD_TYPES = {
+    "gold_customer_enriched": ["customer_id int", "customer_key string", "first_name string", "last_name string", "marital_status string", "gender string",
+                               "birth_date date", "country string", "created_date date"],
+    "gold_sales_denormalized": ["product_id int", "product_key string", "product_name string", "cost int", "product_line string", "product_start_date date",
+                                "product_end_date date", "category string", "subcategory string", "maintenance_required string", "master_product_name string",
+                                "master_cost int", "master_product_line string"]}
+oracle("gold_verification_report", " UNION ALL ".join(
+    [f"SELECT '{t}' AS table_name, 'schema' AS section, '{c}' AS item, CAST({i} AS BIGINT) AS value" for t, cs in _GOLD_TYPES.items() for i, c in enumerate(cs, 1)]
+    + [f"SELECT '{t}', 'rows', NULL, COUNT(*) FROM {v}" for t, v in (("gold_customer_enriched", "gold_cust"), ("gold_sales_denormalized", "gold_sales"))]
+    + [f"SELECT '{t}', '{c}', {c}, COUNT(*) FROM {v} GROUP BY {c}" for t, v, c in (
+        ("gold_customer_enriched", "gold_cust", "country"), ("gold_customer_enriched", "gold_cust", "gender"),
+        ("gold_sales_denormalized", "gold_sales", "product_line"), ("gold_sales_denormalized", "gold_sales", "category"))]))
+oracle("write_verification", " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, COUNT(*) AS rows_written, COUNT(*) AS rows_read, true AS rows_equal, true AS digest_equal, true AS schema_equal FROM {v}"""
+    for t, v in (("gold_customer_enriched", "gold_cust"), ("gold_sales_denormalized", "gold_sales"), ("silver_crm_cust_info", "silver_cust"),
+                 ("silver_crm_prd_info", "silver_prd"), ("silver_crm_sales_details", "silver_sls"))))
+
 # ------------------------------------------------------------------ dashboard
 _GC = "customer_id, customer_key, first_name, last_name, marital_status, gender, birth_date, country, created_date"
 _SEL_COUNTRY = "('United States', 'Germany', 'Unknown')"
@@ -358,6 +380,33 @@ oracle("product_detail", """SELECT product_id, product_key, product_name, cost,
 oracle("customers_filtered", f"SELECT * FROM gold_cust WHERE country IN {_SEL_COUNTRY} AND gender IN {_SEL_GENDER}")
 oracle("filter_values_country", f"SELECT country, {_cnt(f'gender IN {_SEL_GENDER}')} AS country_associativity FROM gold_cust GROUP BY country")
 oracle("filter_values_gender", f"SELECT gender, {_cnt(f'country IN {_SEL_COUNTRY}')} AS gender_associativity FROM gold_cust GROUP BY gender")
+_CUSTOMER_DIMS, _PRODUCT_DIMS = ["country", "gender", "marital_status"], ["category", "subcategory", "product_line", "maintenance_required"]
+
+
+def _cube(view: str, dims: list[str], measures: str) -> str:
+    """Every subset of the dimensions as a grouping of its own."""
+    parts = []
+    for bits in range(1 << len(dims)):
+        own = [d for i, d in enumerate(dims) if bits >> i & 1]
+        cols = ", ".join(d if d in own else f"CAST(NULL AS VARCHAR) AS {d}" for d in dims)
+        parts.append(f"SELECT '{','.join(sorted(own))}' AS level, {cols}, {measures} FROM {view}" + (f" GROUP BY {', '.join(own)}" if own else ""))
+    return " UNION ALL ".join(parts)
+
+
+oracle("cube_customers", _cube("gold_cust", _CUSTOMER_DIMS, "COUNT(customer_id) AS customer_count, COUNT(*) AS row_count"))
+oracle("cube_products", _cube("gold_sales", _PRODUCT_DIMS, "COUNT(product_id) AS product_count, COUNT(*) AS row_count, CAST(SUM(cost) AS BIGINT) AS cost_sum, COUNT(cost) AS cost_count"))
+_FILTER = f"country IN {_SEL_COUNTRY} AND gender IN {_SEL_GENDER}"
+_tile = lambda name, item, value, rest: f"SELECT '{name}' AS tile, {item} AS item, CAST({value} AS DOUBLE) AS value FROM {rest}"
+oracle("cube_tiles_filtered", " UNION ALL ".join([
+    _tile("kpi_total_customers", "CAST(NULL AS VARCHAR)", "COUNT(customer_id)", f"gold_cust WHERE {_FILTER}"),
+    _tile("kpi_total_products", "NULL", "COUNT(product_id)", "gold_sales"),
+    _tile("kpi_product_categories", "NULL", "COUNT(DISTINCT category)", "gold_sales"),
+    _tile("kpi_countries_covered", "NULL", "COUNT(DISTINCT country)", f"gold_cust WHERE {_FILTER} AND country <> 'Unknown'"),
+    _tile("kpi_average_cost", "NULL", "AVG(cost)", "gold_sales"),
+    *(_tile(f"customers_by_{n}", d, "COUNT(customer_id)", f"gold_cust WHERE {_FILTER} GROUP BY {d}") for n, d in (("country", "country"), ("gender", "gender"), ("marital", "marital_status"))),
+    *(_tile(f"products_by_{n}", d, "COUNT(product_id)", f"gold_sales GROUP BY {d}") for n, d in (("category", "category"), ("line", "product_line"), ("subcategory", "subcategory"), ("maintenance", "maintenance_required"))),
+    _tile("filter_values_country", "country", _cnt(f"gender IN {_SEL_GENDER}"), "gold_cust GROUP BY country"),
+    _tile("filter_values_gender", "gender", _cnt(f"country IN {_SEL_COUNTRY}"), "gold_cust GROUP BY gender")]))
 oracle("top10_products_by_cost", """SELECT product_id, product_key, product_name, cost, category FROM gold_sales
   ORDER BY cost DESC NULLS LAST, product_id ASC NULLS LAST LIMIT 10""")
 

@@ -110,3 +110,14 @@ def coverage(df: DataFrame, cols: list[str], digits: int = 1) -> DataFrame:
     stack = ", ".join(f"{sql_str(c)}, m_{i}" for i, c in enumerate(cols))
     return (wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, matched_rows)", "total_rows")
             .withColumn("coverage_pct", try_pct(F.col("matched_rows"), F.col("total_rows"), digits)))
+
+
+def known_coverage(df: DataFrame, unknown: dict[str, str | None], digits: int = 1) -> DataFrame:
+    """Per column: non-NULL rows, rows whose value is known (not NULL and not the column's sentinel), all rows and both percentages (one pass)."""
+    total = F.count(F.lit(1)).alias("total_rows")
+    known = [F.count_if(F.col(c).isNotNull() & (F.lit(True) if mark is None else F.col(c) != F.lit(mark))).alias(f"k_{i}") for i, (c, mark) in enumerate(unknown.items())]
+    wide = df.agg(total, *(F.count(F.col(c)).alias(f"m_{i}") for i, c in enumerate(unknown)), *known)
+    stack = ", ".join(f"{sql_str(c)}, m_{i}, k_{i}" for i, c in enumerate(unknown))
+    long = wide.selectExpr(f"stack({len(unknown)}, {stack}) AS (column_name, matched_rows, known_rows)", "total_rows")
+    return long.select("column_name", "matched_rows", "known_rows", "total_rows", try_pct(F.col("matched_rows"), F.col("total_rows"), digits).alias("coverage_pct"),
+                       try_pct(F.col("known_rows"), F.col("total_rows"), digits).alias("known_pct"))

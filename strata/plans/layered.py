@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..schemas import BRONZE, GOLD, SILVER
 from ..sources.catalog import ensure_layers, qualified, write_spec_table
 from ..sources.csv import ingest_config
+from ..session import observed
 from ..specs import IngestConfig
 from . import gold, silver
 
@@ -23,8 +24,8 @@ BRONZE_INPUTS = ["bronze_crm_cust_info", "bronze_crm_prd_info", "bronze_crm_sale
 
 def _write(df: DataFrame, schema_name: str, spec, audit: list) -> str:
     obs = Observation(f"w_{schema_name}_{spec.name}")
-    name = write_spec_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), schema_name, spec)
-    audit.append((spec.layer, spec.name, int(obs.get["rows"])))
+    name = write_spec_table(df, schema_name, spec, observe=(obs, [F.count(F.lit(1)).alias("rows")]))
+    audit.append((spec.layer, spec.name, int(observed(obs).get("rows", 0))))
     return name
 
 

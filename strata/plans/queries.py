@@ -14,19 +14,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import segment_key
+from ..operators import audit as A
 from ..operators import clean as C
 from ..operators import enrich as J
 from ..operators import metrics as M
 from ..operators import profile as P
-from ..schemas import BRONZE, SILVER
+from ..schemas import BRONZE, GOLD, SILVER
 from ..session import scratch_path
 from ..sources import catalog as K
 from ..sources import csv as S
 from ..sources.fixtures import BRONZE_OF
+from ..sources.verify import write_verified
 from ..specs import IngestConfig, IngestSource
+from . import cube as Q
 from . import dashboard as D
 from . import gold as G
-from . import layered
+from . import layered, verification
 from .silver import CUSTOMER, CUSTOMER_RENAMES, LINEITEM, PRODUCT, PRODUCT_RENAMES, SALES
 from .workspace import Workspace
 
@@ -128,32 +131,21 @@ _q("rename_customer", lambda ws: C.rename(ws.bronze_cust, dict(CUSTOMER_RENAMES)
 _q("rename_product", lambda ws: C.rename(ws.bronze_prd, dict(PRODUCT_RENAMES)))
 
 
-def _step_counts(steps: dict[str, DataFrame], *tags) -> DataFrame:
-    """One row: ``tags`` and the counted rows of every step's real output."""
-    out = None
-    for name in steps:
-        n = steps[name].agg(*[F.count(F.lit(1)).alias(s) if s == name else F.lit(None).cast("bigint").alias(s) for s in steps])
-        out = n if out is None else out.unionByName(n)
-    return out.agg(*[F.max(s).alias(s) for s in steps]).select(*tags, *steps)
-
-
 @query("dedupe_audit")
 def _dedupe_audit(ws: Workspace) -> DataFrame:
-    """Rows before / after / removed by the customer dedupe (NULL keys kept), counted on its input and its output."""
-    n = _step_counts({"rows_before": _cust_trim(ws), "rows_after": _cust_dedup_keep_null(ws)})
-    return n.select("rows_before", "rows_after", (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"))
+    """Rows before / after / removed by the customer dedupe (NULL keys kept), counted on its input and its output within one run."""
+    counts = A.StepCounts()
+    came = counts.through(_cust_trim(ws), "dedupe_in")
+    A.run_to_end(counts.through(C.dedupe_latest(came, CUSTOMER.key, CUSTOMER.order_col, keep_null_keys=True), "dedupe_out"))
+    before, after = counts.of("dedupe_in"), counts.of("dedupe_out")
+    return ws.spark.createDataFrame([(before, after, before - after)], "rows_before bigint, rows_after bigint, rows_removed bigint")
 
 
 @query("pipeline_audit")
 def _pipeline_audit(ws: Workspace) -> DataFrame:
-    """Per entity: rows in, duplicates removed, NULL-key rows dropped, rows out, counted on the cleaning's input and output."""
-    out = None
-    for spec, df, cleaned in ((CUSTOMER, ws.bronze_cust, ws.silver_cust), (PRODUCT, ws.bronze_prd, ws.silver_prd), (SALES, ws.bronze_sales, ws.silver_sls)):
-        a = _step_counts({"rows_in": df, "null_keys_dropped": C.null_key_rows(df, spec.key), "rows_out": cleaned}, F.lit(spec.name).alias("entity")).select(
-            "entity", "rows_in", (F.col("rows_in") - F.col("null_keys_dropped") - F.col("rows_out")).alias("duplicates_removed"),
-            "null_keys_dropped", "rows_out")
-        out = a if out is None else out.unionByName(a)
-    return out
+    """Per entity: rows in, duplicates removed, NULL-key rows dropped, rows out, observed within one run of the three cleanings."""
+    audit = A.cleaning_audit([(CUSTOMER, ws.bronze_cust), (PRODUCT, ws.bronze_prd), (SALES, ws.bronze_sales)])
+    return ws.spark.createDataFrame(audit, "entity string, rows_in bigint, duplicates_removed bigint, null_keys_dropped bigint, rows_out bigint")
 
 
 # ---------------------------------------------------------------- silver pipelines
@@ -215,6 +207,12 @@ def _gold_verification(ws: Workspace) -> DataFrame:
     return c.unionByName(s)
 
 
+@query("coverage_known")
+def _coverage_known(ws: Workspace) -> DataFrame:
+    """Enrichment coverage with the rows whose value is known: the standardised country is never NULL, so its plain coverage says nothing."""
+    return J.known_coverage(ws.gold_cust, {"country": "Unknown", "gender": "Unknown", "birth_date": None})
+
+
 # ---------------------------------------------------------------- dashboard
 def _cust(ws: Workspace) -> DataFrame:
     return D.gold_customers_dataset(ws.gold_cust)
@@ -302,6 +300,47 @@ def _write_overwrite_roundtrip(ws: Workspace) -> DataFrame:
     return ws.spark.table(name)
 
 
+def _written_gold(ws: Workspace) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The gold tables as written, and the report of their verified writes."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    report = None
+    for name, df in (("gold_customer_enriched", ws.gold_cust), ("gold_sales_denormalized", ws.gold_sales)):
+        one = write_verified(df, name, spec=GOLD[name], schema_name=layers["gold"])
+        report = one if report is None else report.unionByName(one)
+    return {n: ws.spark.table(K.qualified(layers["gold"], n)) for n in GOLD}, report
+
+
+@query("write_verification")
+def _write_verification(ws: Workspace) -> DataFrame:
+    """Every silver and gold table written, read back and compared by rows, content digest and schema."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    report = _written_gold(ws)[1]
+    for name, df in (("silver_crm_cust_info", ws.silver_cust), ("silver_crm_prd_info", ws.silver_prd), ("silver_crm_sales_details", ws.silver_sls)):
+        report = report.unionByName(write_verified(df, name, spec=SILVER[name], schema_name=layers["silver"]))
+    return report
+
+
+@query("gold_verification_report")
+def _gold_verification_report(ws: Workspace) -> DataFrame:
+    """Schema, row count and distributions of both written gold tables, one scan each."""
+    gold, _ = _written_gold(ws)
+    return verification.gold_report(gold["gold_customer_enriched"], gold["gold_sales_denormalized"])
+
+
+_q("cube_customers", lambda ws: Q.customer_cube(D.gold_customers_dataset(ws.gold_cust)))
+_q("cube_products", lambda ws: Q.product_cube(D.gold_products_dataset(ws.gold_sales)))
+
+
+@query("cube_tiles_filtered")
+def _cube_tiles_filtered(ws: Workspace) -> DataFrame:
+    """Every tile under the filter selection, answered from the written cubes."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    names = [K.qualified(layers["gold"], n) for n in ("cube_customers", "cube_products")]
+    for name, df in zip(names, (QUERIES["cube_customers"](ws), QUERIES["cube_products"](ws))):
+        K.write_table(df, name, comment="Dashboard measures of every subset of the dimensions")
+    return Q.tiles_long(*(ws.spark.table(n) for n in names), _SELECTION)
+
+
 @query("rename_table_roundtrip")
 def _rename_table_roundtrip(ws: Workspace) -> DataFrame:
     """Write under a raw name, rename to the layer convention (replace-safe), read back."""

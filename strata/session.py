@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Configs a caller-built session should carry.  A cluster session supplies its own
@@ -78,3 +79,11 @@ def cut_lineage(df):
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def observed(observation) -> dict:
+    """The metrics of a finished run; none where the optimizer proved the observed rows empty and left them out of the plan."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+

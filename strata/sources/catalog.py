@@ -8,7 +8,7 @@ overwrite would replace it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,8 @@ def table_ddl(name: str, schema: T.StructType, comment: str | None = None, fmt:
               bucket_by: tuple[str, ...] = (), buckets: int | None = None) -> str:
     cols = []
     for f in schema.fields:
-        col = f"`{f.name}` {f.dataType.simpleString().upper()}"
+        kind = f.dataType.simpleString()  # field names of nested types keep their case
+        col = f"`{f.name}` {kind if '<' in kind else kind.upper()}"
         if f.metadata.get("comment"):
             col += f" COMMENT {_lit(f.metadata['comment'])}"
         cols.append(col)
@@ -90,14 +91,17 @@ def create_layer_tables(spark: SparkSession, layers: dict[str, str], buckets: in
 
 
 def write_table(df: DataFrame, name: str, *, schema: T.StructType | None = None, comment: str | None = None,
-                mode: str = "overwrite", bucket_by: tuple[str, ...] = (), buckets: int | None = None) -> None:
+                mode: str = "overwrite", bucket_by: tuple[str, ...] = (), buckets: int | None = None,
+                observe: tuple[Observation, list[Column]] | None = None) -> None:
     """Overwrite (or append to) a managed table, keeping its DDL when it already exists.
 
     The table is created from ``schema`` (or the DataFrame's) on first use; the
     data is then written with ``insertInto`` by column *name* order of the table.
     Bucketed tables are hash-partitioned on the bucket key first so every bucket
     is one file; Spark drops that repartition when the plan is already
-    partitioned that way (e.g. by the dedupe window on the same key).
+    partitioned that way (e.g. by the dedupe window on the same key).  ``observe`` takes
+    metrics of the rows as they go to the files, after that repartition: in the writing tasks, each of which
+    counts once, and not in a map stage that may run again.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(name):
@@ -108,14 +112,16 @@ def write_table(df: DataFrame, name: str, *, schema: T.StructType | None = None,
         n = table_buckets(spark, name)
         if n:
             out = out.repartition(n, *bucket_by)
+    if observe is not None:
+        out = out.observe(observe[0], *observe[1])
     out.write.insertInto(name, overwrite=(mode == "overwrite"))
 
 
 def write_spec_table(df: DataFrame, schema_name: str, spec: TableSpec, mode: str = "overwrite",
-                     buckets: int | None = None) -> str:
+                     buckets: int | None = None, observe: tuple[Observation, list[Column]] | None = None) -> str:
     name = qualified(schema_name, spec.name)
     write_table(df, name, schema=spec.schema, comment=spec.comment, mode=mode, bucket_by=spec.bucket_by,
-                buckets=buckets)
+                buckets=buckets, observe=observe)
     return name
 
 
