@@ -237,16 +237,15 @@ def brute_hits(rows, bench, window=10):
     return out
 
 
-@pytest.mark.parametrize("shard_words,block", [(1 << 18, 1 << 20), (16, 40)])
-def test_decontamination_equals_brute_force(spark, docs, empty, shard_words, block, monkeypatch):
-    monkeypatch.setattr(decontaminate.phrase_blocks, "__defaults__", (10, block))
+@pytest.mark.parametrize("shard_words,block", [(1 << 18, 1 << 20), (16, 1600)])
+def test_decontamination_equals_brute_force(spark, docs, empty, shard_words, block):
     bench = [(1, " ".join(text(2, 400).split()[100:130])), (2, "One, two!"), (3, None), (4, ""), (10, text(1).upper()), (11, "no such words here at all")]
     b = spark.createDataFrame(bench, "item_id bigint, text string")
-    got = decontaminate.with_hits(docs, b, shard_words=shard_words).collect()
+    got = decontaminate.with_hits(docs, b, shard_words=shard_words, block_bytes=block).collect()
     flat = Counter((r["doc_id"], r["n_words"], sum(s["end"] - s["start"] for s in r["spans"]), ",".join(r["items"])) for r in got)
     want = brute_hits(pairs(docs), bench)
     assert flat == Counter((d, n, h, ",".join(i)) for d, n, h, i in want)
-    kept = decontaminate.clean(docs, b, shard_words=shard_words)
+    kept = decontaminate.clean(docs, b, shard_words=shard_words, block_bytes=block)
     assert kept.columns == docs.columns and Counter(r["doc_id"] for r in kept.collect()) == Counter(d for d, _, h, _ in want if not h)
     assert decontaminate.with_hits(empty, b).count() == 0
     assert decontaminate.with_hits(docs, b.where("false")).where("size(spans) > 0").count() == 0
