@@ -60,12 +60,20 @@ class Space:
         return unit_rows((x * self.idf) @ self.axes)
 
     def vote(self, x: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-        """Share of similarity held by neighbours of label 1, over the exact nearest by cosine (ties at the edge are cut in a fixed way)."""
-        cosine = self.project(x) @ self.points.T
+        """Share of similarity held by neighbours of label 1, over the exact nearest by cosine.
+
+        Of points that are equally near at the edge those that come first are taken (points are in order of their ids).  A vector without
+        features is equally far from all points, and all of them vote alike.
+        """
+        own = self.project(x)
+        cosine = own @ self.points.T
         k = min(neighbours, cosine.shape[1])
         near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+        edge = np.take_along_axis(cosine, near, axis=1).min(axis=1)
+        for i in np.flatnonzero((cosine >= edge[:, None]).sum(axis=1) > k).tolist():
+            near[i] = np.lexsort((np.arange(cosine.shape[1]), -cosine[i]))[:k]
         weight = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-3).astype(np.float64) ** POWER
-        return (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+        return np.where(own.any(axis=1), (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), self.labels.mean(dtype=np.float64))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, latent: int = LATENT) -> Space | None:
@@ -91,7 +99,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS,
 def score(docs: DataFrame, space: Space | None) -> DataFrame:
     """``doc_id, score``: the vote for label 1 on every document's whole text, from 0 to 1.
 
-    Empty and NULL texts have the zero vector, equally far from all: a vote of equal weights.  Without labelled documents every
+    Empty and NULL texts, and others without features, have the zero vector: all labelled documents vote alike.  Without labelled documents every
     score is 0.5.  Repeated rows score alike; an empty table gives no row.
     """
     spark = docs.sparkSession

@@ -15,6 +15,18 @@ def _matches(n: int, kind: str, pattern: str) -> str:
 
 
 SQL = {
+    "op3_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+f AS (SELECT s, min(doc_id) AS lo FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT doc_id, i, i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS gap FROM w JOIN f USING (s) WHERE lo < doc_id),
+n AS (SELECT doc_id, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY doc_id, run),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS z FROM r),
+k AS (SELECT p.doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+      FROM p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
     "op11_personal_data": rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 m AS ({_matches(1, 'email', _EMAIL)} UNION ALL {_matches(2, 'ip', _IP)} UNION ALL {_matches(3, 'card', _CARD)} UNION ALL {_matches(4, 'phone', _PHONE)}),
