@@ -1,15 +1,16 @@
 """N-gram Jaccard join: tiles by size band and rare shingle, bitmap signatures, exact sorted-array intersection.
 
-Every document is its set of distinct word n-grams as 64-bit hashes.  Two sets of a given similarity share one of each other's few
-rarest elements (the prefix), so a *tile* is the sets that hold one element in their prefix; within it only sets of
-compatible size meet.  A pair's signatures bound its overlap from above; pairs that the bound leaves are compared
-exactly.  Equal sets are one class throughout, and the result is components, so a pair whose ends are already
+Every document is its set of distinct word n-grams as 64-bit hashes.  Of two similar sets, the first element that they share, from rare to common,
+lies in the short index prefix of the smaller one and in the probe prefix of the larger, so a *tile* is the sets that hold one
+element in their prefix, of one size band; there index members meet the larger ones of compatible size.  The element's places and then the
+signatures bound a pair's overlap from above; pairs that the bounds leave are compared exactly.  Equal sets are one class throughout, and the result is components, so a pair whose ends are already
 connected is never built: large groups of near copies cost a few partners per member, not all pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, mix64, shuffle_partitions, written
+from .common import blocks, mix64, shuffle_partitions, spread_join, written
 from .components import components
 from .word_hash import split_hashes
 
@@ -30,6 +31,10 @@ BLOCK_BYTES = 1 << 20
 ORDERS = 2
 BUCKET_BYTES = 8 << 20
 TILE_ROWS = 4096
+BAND_STEPS = 4  # factors of 100 / percent that a size band spans
+HEAVY_ELEMENT = 1 << 16  # occurrences from which on an element's tile is read in parts
+HEAVY_SHARE = 1000  # a class or a tile with at least one in so many rows is heavy, so there are HEAVY_SHARE heavy ones at most
+PAIRS_AT_ONCE = 1 << 18
 NO_ID = (1 << 63) - 1
 
 
@@ -67,6 +72,15 @@ def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
 
+def index_length(size: int, percent: int) -> int:
+    """How many of a set's rarest elements hold the first one that it shares with any set that links and is no smaller."""
+    return size - -(-percent * 2 * size // (100 + percent)) + 1
+
+
+def band_of(size: int, percent: int) -> int:
+    return int(math.log(size) / math.log(100 / percent) / BAND_STEPS + 1e-9) if percent < 100 else size
+
+
 def row_key():
     """``doc_id`` as bigint, a NULL one as ``NO_ID``."""
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
@@ -80,7 +94,7 @@ def content_hash():
 def shingled(docs: DataFrame, n: int = WORDS) -> DataFrame:
     """Written rows of two kinds: documents (``doc_id, content, size, cid, sig, body``) and, per task, counts of hashed shingle slots (``slot, freq``).
 
-    ``content`` is the hash of the text as it came, so a row can be found again by it and its ``doc_id``.
+    ``content`` is the hash of the text as it came, so a row can be found again by it and its ``doc_id``; ``row`` numbers the rows.
     """
 
     def run(batches):
@@ -105,7 +119,7 @@ def shingled(docs: DataFrame, n: int = WORDS) -> DataFrame:
 
     named = docs.select(row_key().alias("doc_id"), content_hash().alias("content"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     rows = named.mapInArrow(run, "doc_id long, content long, size long, cid long, sig binary, body binary, slot int, freq long")
-    return written(rows, "shingles")
+    return written(rows.withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
 def frequency_sketch(rows: DataFrame) -> np.ndarray:
@@ -116,8 +130,31 @@ def frequency_sketch(rows: DataFrame) -> np.ndarray:
     return out
 
 
+def prefix_records(s: np.ndarray, freq: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``element, band, place`` of a set's prefix, once for each size band that a set of it may meet in.
+
+    ``place`` is that in the set's order from rare to common (or a smaller one: bounds stay right), with ``INDEX`` added within the index prefix,
+    which counts in the set's own band alone.
+    """
+    f = freq[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
+    k = prefix_length(len(s), percent)
+    element = s[np.lexsort((s, f))[:k]]
+    own, least = band_of(len(s), percent), band_of(-(-percent * len(s) // 100), percent)
+    place = np.minimum(np.arange(k), INDEX - 1).astype(np.uint16)
+    flagged = place + np.where(np.arange(k) < index_length(len(s), percent), INDEX, 0).astype(np.uint16)
+    if own == least:
+        return element, np.full(k, own), flagged
+    return np.concatenate([element, element]), np.repeat([own, least], k), np.concatenate([flagged, place])
+
+
+INDEX = 1 << 15
+
+
 def tile_blobs(rows: DataFrame, sketch: np.ndarray, n: int, percent: int, buckets: int) -> DataFrame:
-    """``bucket, blob``: prefix elements with the class and size that hold them, packed per block and bucket of elements."""
+    """``bucket, blob``: prefix elements with the class and size that hold them, packed per block and bucket of elements.
+
+    Tiles of elements that occur often are dealt, by class, over buckets from ``buckets`` on, so no bucket holds a whole hot tile.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches):
@@ -126,34 +163,37 @@ def tile_blobs(rows: DataFrame, sketch: np.ndarray, n: int, percent: int, bucket
         for batch in blocks(renamed, BLOCK_BYTES // 2):
             by_class = dict(zip(batch.column("cid").to_pylist(), batch.column("text").to_pylist()))  # a block's copies count once
             sets = sets_of([zstandard.ZstdDecompressor().decompress(x) for x in by_class.values()], n)
-            keys, cids, sizes = [], [], []
-            for cid, s in zip(by_class, sets):
-                k = prefix_length(len(s), percent)
-                f = freq[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]
-                keys.append(s[np.lexsort((s, f))[:k]])
-                cids.append(np.full(k, cid, dtype=np.int64))
-                sizes.append(np.full(k, len(s), dtype=np.int64))
-            key, cid, size = np.concatenate(keys), np.concatenate(cids), np.concatenate(sizes)
-            bucket = (key >> np.uint64(17)) % np.uint64(buckets)
+            found = [prefix_records(s, freq, percent) for s in sets]
+            count = np.array([len(x[0]) for x in found], dtype=np.int64)
+            element, band, place = (np.concatenate(x) for x in zip(*found))
+            cid, size = np.repeat(np.array(list(by_class), dtype=np.int64), count), np.repeat(np.array([len(s) for s in sets], dtype=np.int64), count)
+            key = mix64(element ^ mix64(band.astype(np.uint64) + np.uint64(1)))
+            parts = freq[(element & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)] // HEAVY_ELEMENT + 1
+            part = (mix64(cid.view(np.uint64)) % parts.astype(np.uint64)).astype(np.uint64)
+            bucket = ((mix64(key + part) if (parts > 1).any() else key) >> np.uint64(17)) % np.uint64(buckets)
+            bucket = np.where(parts > 1, bucket + np.uint64(buckets), (key >> np.uint64(17)) % np.uint64(buckets))
             order = np.argsort(bucket, kind="stable")
             out = []
             for idx in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
                 table, local = np.unique(cid[idx], return_inverse=True)
                 size_of = np.zeros(len(table), dtype=np.int64)
                 size_of[local] = size[idx]
-                raw = np.array([len(idx), len(table)], dtype=np.int64).tobytes() + key[idx].tobytes() + table.tobytes() + size_of.astype(np.int32).tobytes() + local.astype(np.int32).tobytes()
+                raw = np.array([len(idx), len(table)], dtype=np.int64).tobytes() + key[idx].tobytes() + table.tobytes() + size_of.astype(np.int32).tobytes() + local.astype(np.int32).tobytes() + place[idx].tobytes()
                 out.append((int(bucket[idx[0]]), zstandard.ZstdCompressor(level=1).compress(raw)))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["bucket", "blob"])
 
     return rows.where("size > 0").select("cid", "body").mapInArrow(run, "bucket long, blob binary")
 
 
-def read_tiles(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct ``(key, cid, size)`` of one bucket, in order of key, then cid; elements that only one class holds are dropped."""
-    keys, cids, sizes = [], [], []
+def read_tiles(blobs: list[bytes], whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct ``(key, cid, size, place)`` of one bucket, in order of key, size and cid.
+
+    Where the tiles are ``whole``, those that only one class holds, or that have no index member, are dropped.
+    """
+    keys, cids, sizes, places = [], [], [], []
     for blob in blobs:
         raw = zstandard.ZstdDecompressor().decompress(blob)
-        m, t = np.frombuffer(raw, dtype=np.int64, count=2)
+        m, t = (int(x) for x in np.frombuffer(raw, dtype=np.int64, count=2))
         at = 16
         keys.append(np.frombuffer(raw, dtype=np.uint64, count=m, offset=at))
         table = np.frombuffer(raw, dtype=np.int64, count=t, offset=at + 8 * m)
@@ -161,24 +201,27 @@ def read_tiles(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         local = np.frombuffer(raw, dtype=np.int32, count=m, offset=at + 8 * (m + t) + 4 * t)
         cids.append(table[local])
         sizes.append(size[local].astype(np.int64))
-    key, cid, size = np.concatenate(keys), np.concatenate(cids), np.concatenate(sizes)
-    order = np.argsort(key, kind="stable")
-    same = np.zeros(len(key), dtype=bool)
-    eq = key[order][1:] == key[order][:-1]
-    same[1:] |= eq
-    same[:-1] |= eq
-    order = order[same]
-    key, cid, size = key[order], cid[order], size[order]
-    order = np.lexsort((cid, key))
-    key, cid, size = key[order], cid[order], size[order]
+        places.append(np.frombuffer(raw, dtype=np.uint16, count=m, offset=at + 12 * (m + t)))
+    key, cid, size, place = (np.concatenate(x) for x in (keys, cids, sizes, places))
+    if whole:  # most elements are one record's alone: out with them before anything else is sorted
+        order = np.argsort(key, kind="stable")
+        same = np.zeros(len(key), dtype=bool)
+        eq = key[order][1:] == key[order][:-1]
+        same[1:] |= eq
+        same[:-1] |= eq
+        order = order[same]
+        key, cid, size, place = key[order], cid[order], size[order], place[order]
+    order = np.lexsort((cid, size, key))
+    key, cid, size, place = key[order], cid[order], size[order], place[order]
     first = np.ones(len(key), dtype=bool)
     first[1:] = (key[1:] != key[:-1]) | (cid[1:] != cid[:-1])
-    key, cid, size = key[first], cid[first], size[first]
-    shared = np.zeros(len(key), dtype=bool)
-    eq = key[1:] == key[:-1]
-    shared[1:] |= eq
-    shared[:-1] |= eq
-    return key[shared], cid[shared], size[shared]
+    key, cid, size, place = key[first], cid[first], size[first], place[first]
+    if whole and len(key):
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        members = np.diff(np.append(begin, len(key)))
+        live = np.repeat((members > 1) & (np.add.reduceat((place >= INDEX).astype(np.int64), begin) > 0), members)
+        key, cid, size, place = key[live], cid[live], size[live], place[live]
+    return key, cid, size, place
 
 
 def compatible(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
@@ -199,17 +242,18 @@ def neighbour_pairs(key, cid, size, percent: int, orders: int) -> tuple[np.ndarr
     return both[:, 0], both[:, 1]
 
 
-def tiles(blobs: DataFrame, percent: int, orders: int) -> DataFrame:
-    """Written rows of two kinds: first pairs (``a, b``) and the members of shared tiles (``key, cid, size``)."""
+def tiles(blobs: DataFrame, percent: int, orders: int, buckets: int) -> DataFrame:
+    """Written rows of two kinds: first pairs (``a, b``) and the members of shared tiles (``key, cid, size, place``)."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, cid, size = read_tiles(table.column("blob").to_pylist())
+        key, cid, size, place = read_tiles(table.column("blob").to_pylist(), table.column("bucket")[0].as_py() < buckets)
         a, b = neighbour_pairs(key, cid, size, percent, orders) if len(key) else (cid, cid)
+        none = pa.nulls(len(a), pa.int64())
         return pa.table({"a": pa.concat_arrays([pa.array(a), pa.nulls(len(key), pa.int64())]), "b": pa.concat_arrays([pa.array(b), pa.nulls(len(key), pa.int64())]),
-                         "key": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(key.view(np.int64))]), "cid": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(cid)]),
-                         "size": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(size)])})
+                         "key": pa.concat_arrays([none, pa.array(key.view(np.int64))]), "cid": pa.concat_arrays([none, pa.array(cid)]),
+                         "size": pa.concat_arrays([none, pa.array(size)]), "place": pa.concat_arrays([pa.nulls(len(a), pa.int32()), pa.array(place.astype(np.int32))])})
 
-    return written(blobs.groupBy("bucket").applyInArrow(run, "a long, b long, key long, cid long, size long"), "tiles")
+    return written(blobs.groupBy("bucket").applyInArrow(run, "a long, b long, key long, cid long, size long, place int"), "tiles")
 
 
 def may_link(na: np.ndarray, nb: np.ndarray, sa: np.ndarray, sb: np.ndarray, percent: int) -> np.ndarray:
@@ -235,38 +279,50 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def cross_pairs(tile, part, cid, size, root, sig, across, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of unconnected classes within each run of equal ``tile`` that the size band and the signatures leave; with ``across`` set, of unlike ``part`` only."""
+def cross_pairs(tile, part, cid, size, place, root, sig, across, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unconnected classes within each run of equal ``tile``, in order of size and class: every index member with the members behind
+    it that the size band, the element's places and the signatures leave; with ``across`` set, of unlike ``part`` only."""
     n = len(tile)
-    ends = np.repeat(np.append(np.flatnonzero(tile[1:] != tile[:-1]) + 1, n), np.diff(np.concatenate([[0], np.flatnonzero(tile[1:] != tile[:-1]) + 1, [n]])))
-    out, x, d = [], np.arange(n), 1
-    while len(x):
-        x = x[x + d < ends[x]]
-        y = x + d
-        ok = (root[x] != root[y]) & compatible(size[x], size[y], percent) & (~across[x] | (part[x] != part[y]))
-        p, q = x[ok], y[ok]
+    begin = np.flatnonzero(np.append(True, tile[1:] != tile[:-1])) if n else np.empty(0, dtype=np.int64)
+    tile_end = np.repeat(np.append(begin[1:], n), np.diff(np.append(begin, n)))
+    index, at = place >= INDEX, place & (INDEX - 1)
+    # sizes rise within a tile, so the members that are not too large for one end at a place that a sorted search finds
+    rank = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, n)))
+    span = int(size.max(initial=0)) + 1
+    reach = np.searchsorted(rank * span + size, rank * span + np.minimum(100 * size // percent, span - 1), side="right")
+    x = np.flatnonzero(index)
+    count = np.minimum(reach, tile_end)[x] - x - 1
+    x, count = x[count > 0], count[count > 0]
+    ends = np.cumsum(count)
+    out, a = [], 0
+    while a < len(x):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PAIRS_AT_ONCE, side="right")))
+        p = np.repeat(x[a:b], count[a:b])
+        q = p + 1 + np.arange(len(p)) - np.repeat(np.cumsum(count[a:b]) - count[a:b], count[a:b])
+        ok = (root[p] != root[q]) & (~across[p] | (part[p] != part[q])) & (np.minimum(size[p] - at[p], size[q] - at[q]) >= least_overlap(size[p], size[q], percent))
+        p, q = p[ok], q[ok]
         ok = may_link(size[p], size[q], sig[p], sig[q], percent)
         out.append((cid[p[ok]], cid[q[ok]]))
-        d += 1
+        a = b
     return out
 
 
 def remaining_pairs(members: DataFrame, classes: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Distinct pairs ``a, b`` of members ``key, cid, size, root, n_parts, part`` that share a tile and are not connected yet.
+    """Distinct pairs ``a, b`` of members ``key, cid, size, place, root, n_parts, part`` that share a tile and are not connected yet.
 
     A tile of more than ``TILE_ROWS`` members is cut into parts and each pair of parts meets in a task of its own, so no task
-    holds a whole hot tile; pairs are bounded by their signatures where they meet and only those left become rows.
+    holds a whole hot tile; pairs are bounded by their places and signatures where they meet and only those left become rows.
     """
     other = F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1))
-    t = (members.select("key", "cid", "root", "part", other.alias("other"))
-         .select("cid", "root", "part", (F.col("part") != F.col("other")).alias("across"), F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("tile"))
+    t = (members.select("key", "cid", "place", "root", "part", other.alias("other"))
+         .select("cid", "place", "root", "part", (F.col("part") != F.col("other")).alias("across"), F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other")).alias("tile"))
          .join(classes.hint("merge"), "cid").withColumn("bucket", F.pmod("tile", F.lit(buckets))))
 
     def run(table: pa.Table) -> pa.Table:
-        tile, part, cid, size, root, across = (table.column(c).to_numpy() for c in ("tile", "part", "cid", "size", "root", "across"))
+        tile, part, cid, size, place, root, across = (table.column(c).to_numpy() for c in ("tile", "part", "cid", "size", "place", "root", "across"))
         sig = signatures(table.column("sig"))
-        order = np.lexsort((cid, tile))
-        found = cross_pairs(*(x[order] for x in (tile, part, cid, size, root, sig, across)), percent)
+        order = np.lexsort((cid, size, tile))
+        found = cross_pairs(*(x[order] for x in (tile, part, cid, size, place, root, sig, across)), percent)
         a, b = (np.concatenate([*x, np.empty(0, dtype=np.int64)]) for x in (zip(*found) if found else ((), ())))
         pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
@@ -275,10 +331,13 @@ def remaining_pairs(members: DataFrame, classes: DataFrame, percent: int, bucket
 
 
 def bodies_of(pairs: DataFrame, members: DataFrame, n: int) -> DataFrame:
-    """Written ``cid, size, sig, body``: a wide signature and one compressed text of each class that a pair names."""
+    """Written ``cid, size, sig, body``: a wide signature and one compressed text of each class that a pair names.
+
+    A class's text is that of one row, chosen before any text moves, so a text of a million copies is fetched once.
+    """
     named = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    rows = members.select("cid", "doc_id", "size", "body").join(named.hint("merge"), "cid", "left_semi")
-    one = rows.groupBy("cid").agg(F.min(F.struct("doc_id", "size", "body")).alias("r")).select("cid", "r.size", F.col("r.body").alias("text"))
+    chosen = members.groupBy("cid").agg(F.min("row").alias("row")).join(named.hint("merge"), "cid", "left_semi")
+    one = members.select("row", "size", F.col("body").alias("text")).join(chosen.hint("merge"), "row").select("cid", "size", "text")
 
     def run(batches):
         comp = zstandard.ZstdDecompressor()
@@ -315,31 +374,33 @@ def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
 
 
 def grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """The documents as :func:`shingled` has them, and a written ``cid, low, content, size, root`` of every class: its
-    smallest ``doc_id``, the smallest content hash there, its set's size, and the class that names its component."""
+    """The documents as :func:`shingled` has them, and a written ``cid, low, row, size, n, root`` of every class: its
+    smallest ``doc_id``, a row of this id, its set's size, its rows, and the class that names its component."""
     spark = docs.sparkSession
     rows = shingled(docs, n)
     members = rows.where(F.col("doc_id").isNotNull())
     classes = members.where("size > 0").groupBy("cid").agg(F.min(F.struct("size", "sig")).alias("r")).select("cid", "r.size", "r.sig")
     stored = members.agg(F.sum(F.length("body")).alias("n")).first()["n"] or 0
     buckets = max(2 * shuffle_partitions(spark), stored // BUCKET_BYTES + 1)
-    table = tiles(tile_blobs(members, frequency_sketch(rows), n, percent, buckets), percent, ORDERS)
+    table = tiles(tile_blobs(members, frequency_sketch(rows), n, percent, buckets), percent, ORDERS, buckets)
     first = table.where(F.col("a").isNotNull()).select("a", "b").distinct()
     links = linked(written(bounded(first, classes, percent), "pairs"), members, n, percent)
     roots = written(components(links), "roots")
     # whatever is not connected yet meets in full, tile by tile
-    t = table.where(F.col("key").isNotNull()).select("key", "cid", "size").join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("key", "cid", "size", F.coalesce("root", "cid").alias("root"))
+    t = table.where(F.col("key").isNotNull()).select("key", "cid", "size", "place").join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     n_parts = F.ceil(F.count("*") / TILE_ROWS).cast("int")
-    open_tiles = t.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), n_parts.alias("n_parts")).where("lo < hi").select("key", "n_parts")
-    rest = remaining_pairs(t.join(open_tiles.hint("merge"), "key").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("n_parts")).cast("int")), classes, percent, buckets)
+    open_tiles = t.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), n_parts.alias("n_parts"), F.count("*").alias("n")).where("lo < hi").select("key", "n_parts", "n")
+    heavy = open_tiles.where(F.col("n") * HEAVY_SHARE >= table.where(F.col("key").isNotNull()).count()).select("key")
+    members_left = spread_join(t, open_tiles.select("key", "n_parts"), "key", heavy, ["cid"])
+    rest = remaining_pairs(members_left.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("n_parts")).cast("int")), classes, percent, buckets)
     more = linked(written(rest, "pairs"), members, n, percent)
     # links between groups that are connected already: their roots are the nodes
     r = [roots.select(F.col("node").alias(c), F.col("root").alias(f"r{c}")) for c in "ab"]
     joined = more.join(r[0], "a", "left").join(r[1], "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
     again = components(joined).select(F.col("node").alias("root"), F.col("root").alias("top"))
-    low = members.groupBy("cid").agg(F.min(F.struct("doc_id", "content", "size")).alias("r")).select("cid", F.col("r.doc_id").alias("low"), "r.content", "r.size")
-    low = low.join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").select("cid", "low", "content", "size", F.coalesce("root", "cid").alias("root"))
-    return members, written(low.join(again.hint("merge"), "root", "left").select("cid", "low", "content", "size", F.coalesce("top", "root").alias("root")), "classes")
+    low = members.groupBy("cid").agg(F.min(F.struct("doc_id", "row", "size")).alias("r"), F.count("*").alias("n")).select("cid", F.col("r.doc_id").alias("low"), F.col("r.row").alias("row"), "r.size", "n")
+    low = low.join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    return members, written(low.join(again.hint("merge"), "root", "left").select("cid", "low", "row", "size", "n", F.coalesce("top", "root").alias("root")), "classes")
 
 
 def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -352,23 +413,28 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     members, low = grouped(docs, n, percent)
     least = low.groupBy("root").agg(F.min("low").alias("component_id"))
     final = low.join(least.hint("merge"), "root").select("cid", "component_id")
-    return (members.select("doc_id", F.col("size").alias("n_shingles"), "cid").join(final.hint("merge"), "cid")
-            .select(_shown("doc_id"), "n_shingles", _shown(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")), "component_id")))
+    heavy = low.where(F.col("n") * HEAVY_SHARE >= max(1, members.count())).select("cid")  # a class of many copies is dealt over tasks
+    named = spread_join(members.select("doc_id", F.col("size").alias("n_shingles"), "cid", "row"), final, "cid", heavy, ["row"])
+    return named.select(_shown("doc_id"), "n_shingles", _shown(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")), "component_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without near copies, with all their columns: of every component the one of the smallest ``doc_id``.
 
     A row is known by its ``doc_id`` and its text, so rows without an id, and rows that share one, stay unless their texts link; an id
-    that a component's rows share, or NULL (larger than every id), leaves the choice to class and content hash.  Texts without words,
-    and NULL texts, link with nothing: all stay, but for repeated rows of one id and text.
+    that a component's rows share, or NULL (larger than every id), leaves the choice to class and row; rows of one id and text that differ
+    elsewhere leave it to a hash of their columns.  Texts without words, and NULL texts, link with nothing: all their rows stay, repeated
+    ones too.
     """
     members, low = grouped(docs, n, percent)
-    first = low.where("size > 0").groupBy("root").agg(F.min(F.struct("low", "cid", "content")).alias("r")).select(F.col("r.low").alias("k"), F.col("r.content").alias("h"))
-    bare = members.where("size = 0").select(F.col("doc_id").alias("k"), F.col("content").alias("h")).distinct()
+    first = low.where("size > 0").groupBy("root").agg(F.min(F.struct("low", "cid", "row")).alias("r")).select("r.row")
+    kept = members.select("row", F.col("doc_id").alias("k"), F.col("content").alias("h")).join(first.hint("merge"), "row", "left_semi").select("k", "h")
+    has_words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields]
+    order = F.xxhash64(*(F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()))
     # copies of one row become one row in each map task, so a hot key is a row a task
-    rows = docs.groupBy(row_key().alias("k"), content_hash().alias("h")).agg(F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("r"))
-    return rows.join(first.unionByName(bare).hint("merge"), ["k", "h"], "left_semi").select(*[F.col(f"r.{c}") for c in docs.columns])
+    rows = docs.where(has_words).groupBy(row_key().alias("k"), content_hash().alias("h")).agg(F.min_by(F.struct(*columns), order).alias("r"))
+    return rows.join(kept.hint("merge"), ["k", "h"], "left_semi").select("r.*").unionByName(docs.where(~has_words))
 
 
 def _shown(column, name: str | None = None):
