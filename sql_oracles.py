@@ -457,6 +457,17 @@ oracle("create_tables_catalog", """SELECT 'bronze_crm_cust_info' AS table_name,
   UNION ALL SELECT 'bronze_erp_loc_a101', COUNT(*) FROM fx_erp_loc
   UNION ALL SELECT 'bronze_erp_px_cat_g1v2', COUNT(*) FROM fx_px_cat""")
 oracle("write_overwrite_roundtrip", "SELECT * FROM silver_cust")
+oracle("publish_roundtrip", "SELECT * FROM silver_cust")
+oracle("profile_merged_lineitem", " UNION ALL ".join(
+    f"""SELECT '{n}' AS column_name, COUNT(*) AS row_count, COUNT(*) - COUNT({c}) AS nulls, CAST(MIN({c}) AS VARCHAR) AS min_value,
+      CAST(MAX({c}) AS VARCHAR) AS max_value, COUNT(DISTINCT {c}) AS distinct_values, true AS estimate_within_bound FROM lineitem"""
+    for n, c in (("ship_date", "CAST(l_shipdate AS DATE)"), ("l_quantity", "l_quantity"), ("l_extendedprice", "l_extendedprice"),
+                 ("l_partkey", "l_partkey"), ("l_returnflag", "l_returnflag"))))
+oracle("top_values_lineitem", " UNION ALL ".join(
+    part for c in ("l_returnflag", "l_linestatus", "l_quantity", "l_linenumber") for part in (
+        f"SELECT '{c}' AS column_name, 'value' AS kind, CAST({c} AS VARCHAR) AS value, COUNT(*) AS \"count\", CAST(0 AS BIGINT) AS max_error FROM lineitem WHERE {c} IS NOT NULL GROUP BY {c}",
+        f"SELECT '{c}', 'null', NULL, COUNT(*) - COUNT({c}), CAST(0 AS BIGINT) FROM lineitem",
+        f"SELECT '{c}', 'others', NULL, CAST(0 AS BIGINT), CAST(0 AS BIGINT)")))
 oracle("ingest_stream", "SELECT * FROM fx_cust_info")
 oracle("rename_table_roundtrip", "SELECT * FROM fx_cust_info")
 oracle("layered_pipeline", "SELECT * FROM gold_cust")

@@ -19,11 +19,13 @@ from ..operators import clean as C
 from ..operators import enrich as J
 from ..operators import metrics as M
 from ..operators import profile as P
+from ..operators import sketches as Z
 from ..schemas import BRONZE, GOLD, SILVER
 from ..session import scratch_path
 from ..sources import catalog as K
 from ..sources import csv as S
 from ..sources.fixtures import BRONZE_OF
+from ..sources.publish import publish_table
 from ..sources.verify import write_verified
 from ..specs import IngestConfig, IngestSource
 from . import cube as Q
@@ -105,6 +107,25 @@ _q("profile_lineitem", lambda ws: P.profile(ws.lineitem))
 _q("category_dist_lineitem", lambda ws: P.category_distribution(ws.lineitem, list(LINEITEM.categorical)))
 _q("date_range_lineitem", lambda ws: P.date_profile(ws.lineitem, "l_shipdate", as_of=AS_OF))
 _q("duplicate_rows_lineitem", lambda ws: P.duplicate_rows(ws.lineitem, list(LINEITEM.key)))
+_LINEITEM_TYPES = {"ship_date": "date", "l_quantity": "double", "l_extendedprice": "double", "l_partkey": "bigint"}
+
+
+@query("profile_merged_lineitem")
+def _profile_merged_lineitem(ws: Workspace) -> DataFrame:
+    """The fact table's profile merged from written per-month sketches, with the distinct estimate against the exact count."""
+    cols = [*_LINEITEM_TYPES, "l_returnflag"]
+    lines = ws.lineitem.withColumn("ship_date", F.col("l_shipdate").cast("date"))
+    path = scratch_path(ws.spark, "profiles")
+    Z.partition_profile(lines, F.trunc("ship_date", "month"), cols).write.parquet(path)
+    merged = Z.merged_profile(ws.spark.read.parquet(path), _LINEITEM_TYPES)
+    exact = lines.agg(*(F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)))
+    stack = ", ".join(f"'{c}', d{i}" for i, c in enumerate(cols))
+    known = exact.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, distinct_values)")
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= F.greatest(F.lit(1.0), F.col("distinct_values") * Z.DISTINCT_ERROR)
+    return merged.join(known, "column_name").select("column_name", "row_count", "nulls", "min_value", "max_value", "distinct_values", near.alias("estimate_within_bound"))
+
+
+_q("top_values_lineitem", lambda ws: Z.top_values(ws.lineitem, ["l_returnflag", "l_linestatus", "l_quantity", "l_linenumber"], 50))
 _q("sample_customer", lambda ws: ws.bronze_cust.orderBy(
     *[F.col(c).asc_nulls_last() for c in ws.bronze_cust.columns]).limit(20))
 
@@ -341,6 +362,16 @@ def _cube_tiles_filtered(ws: Workspace) -> DataFrame:
     return Q.tiles_long(*(ws.spark.table(n) for n in names), _SELECTION)
 
 
+@query("publish_roundtrip")
+def _publish_roundtrip(ws: Workspace) -> DataFrame:
+    """Publish a few customers, then all of them in their place; the table reads the second version."""
+    layers = K.ensure_layers(ws.spark, _prefix())
+    name = K.qualified(layers["silver"], "silver_crm_cust_info")
+    publish_table(ws.silver_cust.limit(3), name)
+    publish_table(ws.silver_cust, name)
+    return ws.spark.table(name)
+
+
 @query("rename_table_roundtrip")
 def _rename_table_roundtrip(ws: Workspace) -> DataFrame:
     """Write under a raw name, rename to the layer convention (replace-safe), read back."""
