@@ -444,12 +444,17 @@ def _dq_oracle() -> str:
 
 
 oracle("dq_checks_gold", _dq_oracle())
+oracle("dq_history_gold", f"SELECT table_name, check_name, {AS_OF} AS measured_on, metric_value, warn_threshold, fail_threshold, status FROM ({_dq_oracle()}) q")
 
 # ------------------------------------------------------------------ sources, sinks, catalog (round trips)
 oracle("ingest_csv", "SELECT * FROM fx_cust_info")
 oracle("ingest_config", """SELECT 'bronze_erp_cust_az12' AS table_name, COUNT(*) AS row_count FROM fx_erp_cust
   UNION ALL SELECT 'bronze_erp_loc_a101', COUNT(*) FROM fx_erp_loc
   UNION ALL SELECT 'bronze_erp_px_cat_g1v2', COUNT(*) FROM fx_px_cat""")
+oracle("ingest_config_crm", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, CAST(0 AS BIGINT) AS corrupt_rows FROM {v}"
+    for t, v in (("bronze_crm_cust_info", "fx_cust_info"), ("bronze_crm_prd_info", "fx_prd_info"), ("bronze_crm_sales_details", "fx_sales_details"))))
+oracle("ingest_quarantine", """SELECT CASE WHEN cst_id % 10 = 3 THEN 'quarantined' ELSE 'loaded' END AS kind, cst_id FROM fx_cust_info""")
 oracle("create_tables_catalog", """SELECT 'bronze_crm_cust_info' AS table_name, COUNT(*) AS row_count FROM fx_cust_info
   UNION ALL SELECT 'bronze_crm_prd_info', COUNT(*) FROM fx_prd_info
   UNION ALL SELECT 'bronze_crm_sales_details', COUNT(*) FROM fx_sales_details

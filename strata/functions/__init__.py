@@ -1,6 +1,6 @@
 """Column-expression builders (pure Catalyst expressions, no UDFs)."""
 
 from .expr import (  # noqa: F401
-    blank, coverage_pct, derived_key, has_whitespace, null_flag_count, recode_expr,
+    blank, derived_key, has_whitespace, null_flag_count, recode_expr,
     segment_key, string_columns, try_pct,
 )

@@ -83,7 +83,11 @@ def derived_key(prefix: str, c: str | Column, start: int) -> Column:
 def segment_key(c: str | Column, sep: str = "-", parts: int = 2, joiner: str = "_") -> Column:
     """First ``parts`` ``sep``-separated segments joined by ``joiner``; NULL when a segment is missing.
 
-    ``c`` is a Column, a column name, or a qualified reference such as ``"sls.product_key"``."""
+    ``c`` is a Column, a column name, or a qualified reference such as ``"sls.product_key"``; ``sep`` is
+    plain text, whatever it means in a pattern."""
+    if not sep:
+        raise ValueError("the separator must not be empty")
+    sep = "".join(f"\\{ch}" if ch in "\\.[]{}()<>*+-=!?^$|" else ch for ch in sep)
     if isinstance(c, str):
         ref = c if "." in c else quote_ident(c)
         pieces = [f"try_element_at(split({ref}, {sql_str(sep)}), {i})" for i in range(1, parts + 1)]
@@ -101,6 +105,3 @@ def try_pct(num: Column, den: Column, digits: int = 1) -> Column:
     """round(num / den * 100, digits); NULL when den is 0."""
     return F.round(F.try_divide(num.cast("double"), den.cast("double")) * F.lit(100.0), digits)
 
-
-def coverage_pct(c: str, digits: int = 1) -> Column:
-    return try_pct(F.count(F.col(c)), F.count(F.lit(1)), digits)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import try_pct
 from ..operators import metrics as M
-from ..operators.dq import dq_checks
+from ..operators.dq import dq_checks, metric_rows
 from ..specs import DqRule
 from .gold import GOLD_CUSTOMER_COLUMNS
 
@@ -48,10 +48,10 @@ def gold_products_dataset(gold_sales: DataFrame) -> DataFrame:
     return gold_sales.select(GOLD_PRODUCT_COLUMNS)
 
 
-def customer_dq(gold_cust: DataFrame, as_of) -> DataFrame:
+def customer_metrics(as_of) -> dict:
     total = F.count(F.lit(1))
     as_of = F.to_date(F.lit(as_of.isoformat() if isinstance(as_of, dt.date) else as_of))
-    metrics = {
+    return {
         "customer_id_nulls": F.count_if(F.col("customer_id").isNull()),
         "gender_nulls": F.count_if(F.col("gender").isNull()),
         "created_date_nulls": F.count_if(F.col("created_date").isNull()),
@@ -61,17 +61,35 @@ def customer_dq(gold_cust: DataFrame, as_of) -> DataFrame:
         "gender_unknown_pct": try_pct(F.count_if(F.col("gender") == UNKNOWN), total, 2),
         "days_since_last_customer": F.datediff(as_of, F.max("created_date")),
     }
-    return dq_checks(gold_cust, metrics, CUSTOMER_RULES, "gold_customer_enriched")
 
 
-def product_dq(gold_sales: DataFrame) -> DataFrame:
+def product_metrics() -> dict:
     total = F.count(F.lit(1))
-    metrics = {
+    return {
         "category_null_pct": try_pct(F.count_if(F.col("category").isNull()), total, 2),
         "master_missing_pct": try_pct(F.count_if(F.col("master_product_name").isNull()), total, 2),
         "product_line_unknown_pct": try_pct(F.count_if(F.col("product_line") == UNKNOWN), total, 2),
     }
-    return dq_checks(gold_sales, metrics, PRODUCT_RULES, "gold_sales_denormalized")
+
+
+def customer_dq(gold_cust: DataFrame, as_of) -> DataFrame:
+    return dq_checks(gold_cust, customer_metrics(as_of), CUSTOMER_RULES, "gold_customer_enriched")
+
+
+def product_dq(gold_sales: DataFrame) -> DataFrame:
+    return dq_checks(gold_sales, product_metrics(), PRODUCT_RULES, "gold_sales_denormalized")
+
+
+def gold_metrics(gold_cust: DataFrame, gold_sales: DataFrame, as_of) -> DataFrame:
+    """The day's rows of the metrics history of both gold tables: append them to a table, day by day."""
+    day = F.to_date(F.lit(as_of.isoformat() if isinstance(as_of, dt.date) else as_of))
+    return metric_rows(gold_cust, customer_metrics(as_of), "gold_customer_enriched", day).unionByName(metric_rows(gold_sales, product_metrics(), "gold_sales_denormalized", day))
+
+
+def default_thresholds(valid_from: dt.date | None = None) -> list[tuple]:
+    """The rules above as rows of a threshold table."""
+    return [(table, r.check_name, r.metric, float(r.warn), float(r.fail), valid_from, None)
+            for table, rules in (("gold_customer_enriched", CUSTOMER_RULES), ("gold_sales_denormalized", PRODUCT_RULES)) for r in rules]
 
 
 def dq_checks_gold(gold_cust: DataFrame, gold_sales: DataFrame, as_of) -> DataFrame:

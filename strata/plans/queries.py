@@ -7,6 +7,7 @@ bronze inputs or to the driver tables; the matching DuckDB SQL lives in
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from ..operators import enrich as J
 from ..operators import metrics as M
 from ..operators import profile as P
 from ..operators import sketches as Z
+from ..operators.dq import THRESHOLDS, judged_history
 from ..schemas import BRONZE, GOLD, SILVER
 from ..session import scratch_path
 from ..sources import catalog as K
@@ -260,6 +262,16 @@ for _name in ("kpi_total_customers", "kpi_total_products", "kpi_product_categori
 _q("customers_filtered", _widget("customer_detail", _SELECTION))
 _q("filter_values_country", _widget("filter_values_country", _SELECTION))
 _q("filter_values_gender", _widget("filter_values_gender", _SELECTION))
+@query("dq_history_gold")
+def _dq_history_gold(ws: Workspace) -> DataFrame:
+    """The day's metrics of the gold tables under the thresholds valid that day: one that has ended and one yet to begin play no part."""
+    day = dt.date.fromisoformat(AS_OF)
+    rows = D.default_thresholds(dt.date(2024, 1, 1))
+    rows += [("gold_customer_enriched", "country_known", "country_unknown_pct", 0.0, 0.0, dt.date(2020, 1, 1), dt.date(2024, 1, 1)),
+             ("gold_customer_enriched", "country_known", "country_unknown_pct", 100.0, 100.0, day + dt.timedelta(1), None)]
+    return judged_history(D.gold_metrics(ws.gold_cust, ws.gold_sales, AS_OF), ws.spark.createDataFrame(rows, THRESHOLDS))
+
+
 _q("dq_checks_gold", lambda ws: D.dq_checks_gold(ws.gold_cust, ws.gold_sales, AS_OF))
 
 
@@ -300,6 +312,34 @@ def _ingest_config(ws: Workspace) -> DataFrame:
     return report.select("table_name", "row_count")
 
 
+@query("ingest_config_crm")
+def _ingest_config_crm(ws: Workspace) -> DataFrame:
+    """Config-driven CRM ingest: three landed CSVs -> three bronze tables; report of observed row counts."""
+    base = scratch_path(ws.spark, "landing", "crm")
+    files = {"bronze_crm_cust_info": ("cust_info.csv", ws.bronze_cust), "bronze_crm_prd_info": ("prd_info.csv", ws.bronze_prd),
+             "bronze_crm_sales_details": ("sales_details.csv", ws.bronze_sales)}
+    for fname, df in files.values():
+        S.write_csv(df, f"{base}/{fname}")
+    layers = K.ensure_layers(ws.spark, _prefix())
+    cfg = IngestConfig(base, layers["bronze"], tuple(IngestSource(f, t, BRONZE[t].comment) for t, (f, _) in files.items()))
+    return S.ingest_config(ws.spark, cfg, {t: BRONZE[t].schema for t in files}).select("table_name", "row_count", "corrupt_rows")
+
+
+@query("ingest_quarantine")
+def _ingest_quarantine(ws: Workspace) -> DataFrame:
+    """A CRM file in which some dates do not parse: the other rows are loaded, those lines are quarantined with their file."""
+    spec = BRONZE["bronze_crm_cust_info"]
+    path = scratch_path(ws.spark, "landing", "crm", "cust_info.csv")
+    text = ws.bronze_cust.select(*(F.col(c).cast("string").alias(c) for c in spec.schema.fieldNames()))
+    S.write_csv(text.withColumn("cst_create_date", F.when(F.col("cst_id").cast("int") % 10 == 3, "n/a").otherwise(F.col("cst_create_date"))), path)
+    layers = K.ensure_layers(ws.spark, _prefix())
+    table, bad = K.qualified(layers["bronze"], spec.name), K.qualified(layers["bronze"], "quarantine")
+    S.ingest_quarantined(ws.spark, path, spec.schema, table, bad, table_comment=spec.comment)
+    loaded = ws.spark.table(table).select(F.lit("loaded").alias("kind"), F.col("cst_id"))
+    lines = ws.spark.table(bad).where(F.col("source_file").contains("cust_info.csv")).select(F.lit("quarantined").alias("kind"), F.split("line", ",")[0].cast("int").alias("cst_id"))
+    return loaded.unionByName(lines)
+
+
 @query("create_tables_catalog")
 def _create_tables_catalog(ws: Workspace) -> DataFrame:
     """Create the three layer schemas and all eleven typed tables, load the six bronze inputs;

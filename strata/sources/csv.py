@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..specs import IngestConfig
+from ..session import observed
 from .catalog import qualified, write_table
 
 NULL_TOKEN = "\\N"
@@ -27,6 +28,56 @@ WRITE_OPTIONS = {"header": "true", "nullValue": NULL_TOKEN, "emptyValue": '""',
                  "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
+SOURCE_COL = "_source_file"
+QUARANTINE = T.StructType([T.StructField("table_name", T.StringType()), T.StructField("source_file", T.StringType()), T.StructField("line", T.StringType())])
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+
+
+def write_quarantine(df: DataFrame, table: str, quarantine: str) -> None:
+    """Append the lines of ``df`` (with the corrupt-line and source-file columns) that did not parse to ``quarantine``, as ``table_name, source_file, line``."""
+    bad = df.where(F.col(CORRUPT_COL).isNotNull()).select(F.lit(table).alias("table_name"), F.col(SOURCE_COL).alias("source_file"), F.col(CORRUPT_COL).alias("line"))
+    write_table(bad, quarantine, schema=QUARANTINE, comment="Lines that did not parse, with their file", mode="append")
+
+
+def ingest_quarantined(spark: SparkSession, path: str, schema: T.StructType, table: str, quarantine: str, *, table_comment: str | None = None) -> tuple[int, int]:
+    """CSV -> managed table without the lines that do not parse, which are appended to ``quarantine``; returns both counts.
+
+    The counts are taken while the table is written; the files are read again only if some line is corrupt.
+    """
+    df = read_csv(spark, path, schema, keep_corrupt=True).select("*", F.col("_metadata.file_path").alias(SOURCE_COL))
+    obs = Observation(f"ingest_{table.replace('.', '_')}")
+    seen = df.observe(obs, F.count_if(F.col(CORRUPT_COL).isNull()).alias("rows"), F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("corrupt"))
+    write_table(seen.where(F.col(CORRUPT_COL).isNull()).select(*schema.fieldNames()), table, schema=schema, comment=table_comment)
+    got = observed(obs)
+    if got.get("corrupt", 0):
+        bad = df.where(F.col(CORRUPT_COL).isNotNull()).persist()  # kept with all columns: a scan that prunes them would not parse them
+        write_quarantine(bad, table, quarantine)
+        bad.unpersist()
+    return int(got.get("rows", 0)), int(got.get("corrupt", 0))
+
+
+def merged_schema(spark: SparkSession, paths: list[str], options: dict | None = None) -> T.StructType:
+    """One schema for several CSV files: columns in the order of their first appearance, each of the widest type that any file needs.
+
+    Types are inferred file by file and widened int < bigint < double < string; date widens to timestamp; any other mixture is text.
+    """
+    wide = ["int", "bigint", "double"]
+    found: dict[str, str] = {}
+    for path in paths:
+        for f in read_csv(spark, path, infer_schema=True, options=options).schema.fields:
+            kind, was = f.dataType.simpleString(), found.get(f.name)
+            if was is None or was == kind:
+                found[f.name] = kind
+            elif was in wide and kind in wide:
+                found[f.name] = max(was, kind, key=wide.index)
+            else:
+                found[f.name] = "timestamp" if {was, kind} == {"date", "timestamp"} else "string"
+    return T.StructType([T.StructField(c, T._parse_datatype_string(t), True) for c, t in found.items()])
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, *,
              infer_schema: bool = False, keep_corrupt: bool = False, options: dict | None = None) -> DataFrame:
     """Typed CSV scan.  ``keep_corrupt`` adds ``_corrupt_record`` holding lines whose
@@ -35,7 +86,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     reader = spark.read.options(**opts)
     if schema is not None:
         if keep_corrupt:
-            schema = T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+            schema = with_corrupt(schema)
             reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
         reader = reader.schema(schema)
     elif infer_schema:

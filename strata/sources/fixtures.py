@@ -23,7 +23,7 @@ SELECT CAST(CASE WHEN c_custkey % 97 = 13 THEN NULL ELSE c_custkey END AS INT) A
   CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN c_mktsegment || '  ' ELSE c_mktsegment END AS cst_lastname,
   CASE WHEN c_custkey % 5 = 0 THEN 'M' WHEN c_custkey % 5 = 1 THEN 'S' WHEN c_custkey % 5 = 2 THEN ' M' WHEN c_custkey % 5 = 3 THEN NULL ELSE 'S' END AS cst_marital_status,
   CASE WHEN c_custkey % 4 = 0 THEN 'M' WHEN c_custkey % 4 = 1 THEN 'F ' WHEN c_custkey % 4 = 2 THEN NULL ELSE 'F' END AS cst_gndr,
-  CASE WHEN c_custkey % 101 = 5 THEN NULL ELSE DATE '2024-01-01' + CAST(c_custkey % 365 AS INT) END AS cst_create_date
+  CASE WHEN c_custkey % 101 = 5 THEN NULL WHEN c_custkey % 103 = 9 THEN DATE '1899-11-30' + CAST(c_custkey % 20 AS INT) ELSE DATE '2024-01-01' + CAST(c_custkey % 365 AS INT) END AS cst_create_date
 FROM {customer}
 UNION ALL
 SELECT CAST(c_custkey AS INT), 'AW' || lpad(CAST(c_custkey AS VARCHAR(20)), CAST(greatest(8, length(CAST(c_custkey AS VARCHAR(20)))) AS INT), '0'), c_name, NULL, 'S', 'F',
@@ -41,7 +41,7 @@ SELECT CAST(CASE WHEN p_partkey % 211 = 7 THEN NULL ELSE p_partkey END AS INT) A
   CASE WHEN p_partkey % 23 = 0 THEN NULL WHEN p_partkey % 4 = 0 THEN ' ' || p_name ELSE p_name END AS prd_nm,
   CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INT) END AS prd_cost,
   CASE WHEN p_partkey % 6 = 0 THEN 'R ' WHEN p_partkey % 6 = 1 THEN 'S' WHEN p_partkey % 6 = 2 THEN 'M' WHEN p_partkey % 6 = 3 THEN 'T' WHEN p_partkey % 6 = 4 THEN NULL ELSE 'X' END AS prd_line,
-  DATE '2011-07-01' + CAST(p_size AS INT) AS prd_start_dt,
+  CASE WHEN p_partkey % 107 = 11 THEN DATE '2030-01-01' + CAST(p_size AS INT) ELSE DATE '2011-07-01' + CAST(p_size AS INT) END AS prd_start_dt,
   CASE WHEN p_partkey % 3 = 0 THEN NULL WHEN p_partkey % 3 = 1 THEN DATE '2011-07-01' + CAST(p_size + 100 AS INT) ELSE DATE '2011-07-01' + CAST(p_size - 20 AS INT) END AS prd_end_dt
 FROM {part}
 UNION ALL

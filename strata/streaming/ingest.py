@@ -1,4 +1,4 @@
-"""Incremental CSV landing-folder -> bronze table ingest (exactly once, restartable).
+"""Incremental CSV landing-folder -> bronze table ingest (at least once, restartable).
 
 Re-reading every landed file on each daily run grows with history; the file
 stream source remembers processed files in its checkpoint, so each run reads
@@ -16,18 +16,20 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.csv import READ_OPTIONS
 from ..sources.catalog import create_table
+from ..sources.csv import CORRUPT_COL, READ_OPTIONS, SOURCE_COL, with_corrupt, write_quarantine
 
 
 def ingest_incremental(spark: SparkSession, landing_dir: str, schema: T.StructType, table: str, *,
                        checkpoint: str, table_comment: str | None = None,
-                       max_files_per_trigger: int | None = None) -> str:
+                       max_files_per_trigger: int | None = None, quarantine: str | None = None) -> str:
     """Append every not-yet-ingested CSV file under ``landing_dir`` to ``table``; returns the checkpoint used.
 
-    Pass the same ``checkpoint`` (a shared folder) on every run; a fresh one ingests the whole folder again.
+    Pass the same ``checkpoint`` (a shared folder) on every run; a fresh one ingests the whole folder again.  With ``quarantine``
+    lines that do not parse go to that table instead, with their file, as in the batch ingest.
     """
     if not spark.catalog.tableExists(table):
         create_table(spark, table, schema, table_comment)
@@ -36,13 +38,24 @@ def ingest_incremental(spark: SparkSession, landing_dir: str, schema: T.StructTy
         mark = f"strata.stream.{_stream_id(spark, checkpoint)}"
         done = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
         if int(done.get(mark, -1)) < batch_id:
-            batch.write.insertInto(table)
+            if quarantine:
+                batch = batch.persist()  # both tables are written from one read of the files
+                write_quarantine(batch, table, quarantine)
+                batch.where(F.col(CORRUPT_COL).isNull()).select(*schema.fieldNames()).write.insertInto(table)
+                batch.unpersist()
+            else:
+                batch.write.insertInto(table)
             spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{mark}' = '{batch_id}')")
 
-    reader = spark.readStream.schema(schema).options(**READ_OPTIONS).option("recursiveFileLookup", "true")
+    reader = spark.readStream.schema(with_corrupt(schema) if quarantine else schema).options(**READ_OPTIONS).option("recursiveFileLookup", "true")
+    if quarantine:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    q = (reader.csv(landing_dir).writeStream.trigger(availableNow=True)
+    source = reader.csv(landing_dir)
+    if quarantine:
+        source = source.select("*", F.col("_metadata.file_path").alias(SOURCE_COL))
+    q = (source.writeStream.trigger(availableNow=True)
          .option("checkpointLocation", checkpoint).foreachBatch(append).start())
     q.awaitTermination()
     return checkpoint
