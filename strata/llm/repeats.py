@@ -7,11 +7,15 @@ Digit 0 is chosen to make the first pass cheap to shuffle: the window's *anchor*
 of smallest hash.  Equal windows have the same anchor at the same place, and neighbouring windows mostly share
 theirs, so a run of windows travels as one span of bytes instead of one string each.  The remaining passes
 take eight bytes at a time within the bucket of the anchor.  All comparisons are of bytes; hashes only deal out.
+
+The digits after the anchor's are its *context*: the eight bytes before what is known already where all of a span's windows reach that far, else
+the eight bytes behind it; a span is cut where this changes, in three at most for two digits.  Spans without an equal context in another
+document end there, before any window is looked at.  Anchors that are frequent in the whole table, which one pass counts, are
+dealt out by their context, so no bucket holds all windows around a frequent string.
 """
 
 from __future__ import annotations
 
-import hashlib
 import struct
 from collections.abc import Iterator
 
@@ -21,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, id_text, mix64, shuffle_partitions, text_bytes
+from .common import blocks, id_text, mix64, shuffle_partitions, text_bytes, written
 
 WIDTH = 50
 ANCHOR = 8
@@ -30,6 +34,11 @@ BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 4 << 20
 LEVEL = 7  # of the compression of what is shuffled: spans overlap, so this shuffle is the largest
 WINDOWS = 1 << 19  # windows that are ordered at once
+CONTEXT = 2  # digits of context
+HEAVY_SHARE = 1000  # an anchor of one in so many spans is heavy,
+HEAVY_SPANS = 200_000  # and one of so many; of these the most frequent HEAVY_MOST
+HEAVY_MOST = 1 << 16
+HEAVY_IN_BLOCK = 4  # spans of an anchor that a block reports
 C1 = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -122,6 +131,23 @@ def repeated_spans(s: Spans, words: np.ndarray, width: int) -> tuple[np.ndarray,
     return gone, np.flatnonzero(mask)
 
 
+def contexts(s: Spans, words: np.ndarray, width: int, which: np.ndarray, levels: int = CONTEXT) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``span, first, end, key``: the spans ``which`` cut into runs ``[first, end)`` of windows with the same context, and the context as a hash.
+
+    Equal windows have equal keys.  Of a run, ``left`` and ``right`` bytes around the anchor are known to lie in all of its windows.
+    """
+    span, first, end = which, np.zeros(len(which), dtype=np.int64), s.count[which]
+    left, right, key = np.zeros(len(which), dtype=np.int64), np.zeros(len(which), dtype=np.int64), mix64(words[s.at[which] + s.anchor[which]])
+    for _ in range(min(levels, max(0, (width - 15) // 8))):
+        cut = np.clip(s.anchor[span] - left - 7, first, end)  # windows before it hold eight bytes more to the left
+        anchor = s.at[span] + s.anchor[span]
+        a, b = np.flatnonzero(first < cut), np.flatnonzero(cut < end)
+        key = np.concatenate([mix64((key[a] ^ words[anchor[a] - left[a] - 8]) * C1 + np.uint64(1)), mix64((key[b] ^ words[anchor[b] + ANCHOR + right[b]]) * C1 + np.uint64(2))])
+        span, first, end = np.concatenate([span[a], span[b]]), np.concatenate([first[a], cut[b]]), np.concatenate([cut[a], end[b]])
+        left, right = np.concatenate([left[a] + 8, left[b]]), np.concatenate([right[a], right[b] + 8])
+    return span, first, end, key
+
+
 def group_starts(*keys: np.ndarray) -> np.ndarray:
     new = np.zeros(len(keys[0]), dtype=bool)
     new[:1] = True
@@ -146,23 +172,29 @@ def repeated_windows(s: Spans, words: np.ndarray, width: int) -> tuple[np.ndarra
     digit = digit[order]
     new = group_starts(digit)
     alive = shared_groups(new, s.doc[order])
-    span, group = order[alive], np.cumsum(new)[alive]
+    # the context's digits are compared as one hash, which may only join groups, not part them; bytes follow below
+    span, first, end, key = contexts(s, words, width, order[alive])
+    order = np.argsort(key, kind="stable")
+    span, first, end, key = span[order], first[order], end[order], key[order]
+    new = group_starts(key)
+    alive = shared_groups(new, s.doc[span])
+    span, first, end, group = span[alive], first[alive], end[alive], np.cumsum(new)[alive]
     begin = np.flatnonzero(group_starts(group))
-    windows = np.concatenate([[0], np.cumsum(s.count[span])])
+    windows = np.concatenate([[0], np.cumsum(end - first)])
     found, a = [], 0
     while a < len(begin):
         b = max(a + 1, int(np.searchsorted(windows[begin], windows[begin[a]] + WINDOWS, side="right")) - 1)
         lo, hi = begin[a], begin[b] if b < len(begin) else len(span)
-        found.append(_digit_passes(s, words, width, span[lo:hi], group[lo:hi]))
+        found.append(_digit_passes(s, words, width, span[lo:hi], first[lo:hi], end[lo:hi], group[lo:hi]))
         a = b
     if not found:
         return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _digit_passes(s: Spans, words: np.ndarray, width: int, span: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = s.count[span]
-    j = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+def _digit_passes(s: Spans, words: np.ndarray, width: int, span: np.ndarray, first: np.ndarray, end: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    n = end - first
+    j = np.arange(int(n.sum())) + np.repeat(first - (np.cumsum(n) - n), n)
     group = np.repeat(group, n) * width + np.repeat(s.anchor[span], n) - j  # equal windows have their anchor at the same place
     span = np.repeat(span, n)
     order = np.argsort(group, kind="stable")
@@ -236,8 +268,8 @@ def range_rows(doc: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndar
             yield int(part[idx[0]]), packed(doc[idx], row[idx], start[idx], end[idx] - start[idx])
 
 
-def span_rows(batches, width: int, buckets: int, parts: int):
-    """Map side: spans by bucket of their anchor (side 0), and ranges found already within a block (side 1)."""
+def text_groups(batches, width: int):
+    """Blocks of texts as ``(pieces, doc_ids, rows)``; a piece is ``(row of the batch, offset, bytes)``."""
     for batch in blocks(batches, BLOCK_BYTES):
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         docs, rows = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("row").to_numpy(zero_copy_only=False)
@@ -251,30 +283,68 @@ def span_rows(batches, width: int, buckets: int, parts: int):
             groups[-1].append(piece)
             total += len(piece[2])
         for group in groups:
-            yield from _block_rows(group, docs, rows, width, buckets, parts)
+            if group:
+                yield group, docs, rows
 
 
-def _block_rows(group, docs, rows, width, buckets, parts):
+def block_spans(group, docs, rows, width: int) -> tuple[Spans, np.ndarray]:
+    """The spans of a block, and the number at each of its bytes."""
     which = np.array([i for i, _, _ in group], dtype=np.int64)
     base = np.array([k for _, k, _ in group], dtype=np.int64)
     sizes = np.array([len(t) for _, _, t in group], dtype=np.int64)
-    if not len(group):
-        return
     buffer = np.frombuffer(b"".join(t for _, _, t in group), dtype=np.uint8)
     ends = np.cumsum(sizes)
     words = words_at(buffer)
-    s = spans_of(buffer, ends - sizes, ends, docs[which], rows[which], base, words, width)
-    if not len(s):
-        return
+    return spans_of(buffer, ends - sizes, ends, docs[which], rows[which], base, words, width), words
+
+
+def frequent_anchors(texts: DataFrame, width: int) -> np.ndarray:
+    """The anchors of so many spans that they are dealt out by their context, sorted: ``HEAVY_MOST`` at most.
+
+    Blocks report every anchor that they hold a few times with its exact number of spans.  Which anchors are heavy never affects results.
+    """
+
+    def run(batches):
+        for group, docs, rows in text_groups(batches, width):
+            s, words = block_spans(group, docs, rows, width)
+            anchor, n = np.unique(words[s.at + s.anchor].view(np.int64), return_counts=True)
+            some = n >= HEAVY_IN_BLOCK
+            yield pa.RecordBatch.from_arrays([pa.array([None, *anchor[some].tolist()], pa.int64()), pa.array([len(s), *n[some].tolist()], pa.int64())], names=["anchor", "n"])
+
+    counts = written(texts.select("doc_id", "row", "text").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")), "anchors")
+    total = counts.where(F.col("anchor").isNull()).agg(F.max("n").alias("n")).first()["n"] or 0
+    least = max(64, min(HEAVY_SPANS, total // HEAVY_SHARE))
+    heavy = counts.where(F.col("anchor").isNotNull() & (F.col("n") >= least)).orderBy(F.col("n").desc(), "anchor").limit(HEAVY_MOST)
+    return np.sort(np.array([r["anchor"] for r in heavy.collect()], dtype=np.int64).view(np.uint64))
+
+
+def span_rows(batches, width: int, buckets: int, parts: int, heavy: np.ndarray):
+    """Map side: spans by bucket of their anchor, or of its context where it is heavy (side 0), and ranges found already within a block (side 1)."""
+    for group, docs, rows in text_groups(batches, width):
+        s, words = block_spans(group, docs, rows, width)
+        if len(s):
+            yield _block_rows(s, words, width, buckets, parts, heavy)
+
+
+def _block_rows(s: Spans, words: np.ndarray, width: int, buckets: int, parts: int, heavy: np.ndarray) -> pa.RecordBatch:
     gone, kept = repeated_spans(s, words, width)
     out = [(1, part, blob) for part, blob in range_rows(s.doc[gone], s.row[gone], s.pos[gone], s.pos[gone] + s.count[gone] + width - 1, parts)]
-    a = s.at[kept] + s.anchor[kept]
-    bucket = (mix64(words[a] ^ C1) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    s = s.take(kept)
+    anchor = words[s.at + s.anchor]
+    key = mix64(anchor ^ C1)
+    hot = heavy[np.minimum(np.searchsorted(heavy, anchor), len(heavy) - 1)] == anchor if len(heavy) else np.zeros(len(s), dtype=bool)
+    if hot.any():
+        span, first, end, context = contexts(s, words, width, np.flatnonzero(hot))
+        cold = np.flatnonzero(~hot)
+        key = np.concatenate([key[cold], mix64(context)])
+        cuts = Spans(s.buffer, doc=s.doc[span], row=s.row[span], pos=s.pos[span] + first, count=end - first, anchor=s.anchor[span] - first, at=s.at[span] + first)
+        s = Spans(s.buffer, **{f: np.concatenate([getattr(s, f)[cold], getattr(cuts, f)]) for f in Spans.FIELDS})
+    bucket = (key % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((s.pos, s.row, s.doc, bucket)) if hot.any() else np.argsort(bucket, kind="stable")
     for idx in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-        t = s.take(kept[idx])
-        out.append((0, int(bucket[idx[0]]), packed_spans(t, gathered(buffer, t.at, t.count + width - 1))))
-    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()),
+        t = s.take(idx)
+        out.append((0, int(bucket[idx[0]]), packed_spans(t, gathered(s.buffer, t.at, t.count + width - 1))))
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64()),
                                       pa.array([x[2] for x in out], pa.binary())], names=["side", "part", "blob"])
 
 
@@ -326,8 +396,10 @@ def repeated_ranges(docs: DataFrame, width: int = WIDTH) -> tuple[DataFrame, Dat
     least = shuffle_partitions(spark)
     buckets, parts = max(4 * least, total // BUCKET_BYTES + 1), max(2 * least, total // (2 * BUCKET_BYTES) + 1)
 
+    heavy = spark.sparkContext.broadcast(frequent_anchors(texts, width))
+
     def mapped(batches):
-        yield from span_rows(batches, width, buckets, parts)
+        yield from span_rows(batches, width, buckets, parts, heavy.value)
 
     def reduced(table: pa.Table) -> pa.Table:
         blobs = table.column("blob").to_pylist()
