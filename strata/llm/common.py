@@ -49,18 +49,18 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_strata_llm_worker", types.ModuleType("_strata_llm_worker")).__dict__
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, by: list[str], how: str = "inner", salts: int = 32) -> DataFrame:
-    """``left`` joined with ``right`` on ``key``, where the keys of ``heavy`` are dealt over ``salts`` tasks.
+def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: list[int], by: str, salts: int = 32) -> DataFrame:
+    """``left`` joined with ``right`` on ``key``, where the few keys ``heavy`` are dealt over ``salts`` tasks.
 
-    ``heavy`` (one column, ``key``) must hold few keys, as those with at least a given share of all rows do: it is broadcast.  Rows of ``left``
-    with a heavy key are dealt by a hash of the columns ``by``; the rows of ``right`` with that key, which should be few, go to every salt.
+    ``heavy`` must have a fixed bound, as the keys with at least a given share of all rows do.  Rows of ``left`` with a heavy key are dealt by a
+    hash of the column ``by``; the rows of ``right`` with that key, which should be few, go to every salt.  Without heavy keys this is a plain join.
     """
-    marked = F.broadcast(heavy.select(key).distinct().withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")).otherwise(0)
-    dealt = left.join(marked, key, "left").withColumn("_salt", salt).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    each = right.join(marked, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return dealt.join(each.hint("merge"), [key, "_salt"], how).drop("_salt")
+    if not heavy:
+        return left.join(right.hint("merge"), key)
+    hot = F.col(key).isin(heavy)
+    dealt = left.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).otherwise(0))
+    copies = right.withColumn("_salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return dealt.join(copies.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def blocks(batches: Iterable[pa.RecordBatch], max_bytes: int, max_rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:

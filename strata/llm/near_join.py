@@ -34,6 +34,7 @@ TILE_ROWS = 4096
 BAND_STEPS = 4  # factors of 100 / percent that a size band spans
 HEAVY_ELEMENT = 1 << 16  # occurrences from which on an element's tile is read in parts
 HEAVY_SHARE = 1000  # a class or a tile with at least one in so many rows is heavy, so there are HEAVY_SHARE heavy ones at most
+LEAST_HEAVY = 200  # rows below which no class is heavy
 PAIRS_AT_ONCE = 1 << 18
 NO_ID = (1 << 63) - 1
 
@@ -390,8 +391,10 @@ def grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame
     t = table.where(F.col("key").isNotNull()).select("key", "cid", "size", "place").join(roots.withColumnRenamed("node", "cid").hint("merge"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     n_parts = F.ceil(F.count("*") / TILE_ROWS).cast("int")
     open_tiles = t.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), n_parts.alias("n_parts"), F.count("*").alias("n")).where("lo < hi").select("key", "n_parts", "n")
-    heavy = open_tiles.where(F.col("n") * HEAVY_SHARE >= table.where(F.col("key").isNotNull()).count()).select("key")
-    members_left = spread_join(t, open_tiles.select("key", "n_parts"), "key", heavy, ["cid"])
+    open_tiles = written(open_tiles, "open-tiles")
+    n_members = open_tiles.agg(F.sum("n").alias("n")).first()["n"] or 0
+    heavy = [r["key"] for r in open_tiles.where(F.col("n") * HEAVY_SHARE >= max(n_members, TILE_ROWS * HEAVY_SHARE)).select("key").collect()]
+    members_left = spread_join(t, open_tiles.select("key", "n_parts"), "key", heavy, "cid")
     rest = remaining_pairs(members_left.withColumn("part", F.pmod(F.xxhash64("cid"), F.col("n_parts")).cast("int")), classes, percent, buckets)
     more = linked(written(rest, "pairs"), members, n, percent)
     # links between groups that are connected already: their roots are the nodes
@@ -413,8 +416,9 @@ def near_duplicates(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     members, low = grouped(docs, n, percent)
     least = low.groupBy("root").agg(F.min("low").alias("component_id"))
     final = low.join(least.hint("merge"), "root").select("cid", "component_id")
-    heavy = low.where(F.col("n") * HEAVY_SHARE >= max(1, members.count())).select("cid")  # a class of many copies is dealt over tasks
-    named = spread_join(members.select("doc_id", F.col("size").alias("n_shingles"), "cid", "row"), final, "cid", heavy, ["row"])
+    n_rows = low.agg(F.sum("n").alias("n")).first()["n"] or 0
+    heavy = [r["cid"] for r in low.where(F.col("n") * HEAVY_SHARE >= max(n_rows, LEAST_HEAVY * HEAVY_SHARE)).select("cid").collect()]
+    named = spread_join(members.select("doc_id", F.col("size").alias("n_shingles"), "cid", "row"), final, "cid", heavy, "row")
     return named.select(_shown("doc_id"), "n_shingles", _shown(F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")), "component_id"))
 
 
