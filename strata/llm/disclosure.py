@@ -142,10 +142,10 @@ def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, dt``: in how many documents each of the distinct ``terms`` occurs.
 
     All terms of all documents are counted, per task before they are shuffled, so the work follows the text and not the number of
-    terms in question.
+    terms in question.  The join is an inner one: a semi join would be pushed below the count, where it meets a row for each document of a term.
     """
     each = docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(F.regexp_extract_all(folded(F.col("text")), F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
-    return each.groupBy("term").agg(F.count("*").alias("dt")).join(terms, "term", "left_semi")
+    return each.groupBy("term").agg(F.count("*").alias("dt")).join(terms, "term")
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, context: DataFrame, generalise_at: float, remove_at: float, least_docs: int) -> DataFrame:

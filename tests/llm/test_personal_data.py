@@ -141,3 +141,15 @@ def test_no_python_runs_on_the_main_path(spark, rows):
     from tests.conftest import plan_text
 
     assert not re.search("Python|Pandas|Arrow", plan_text(disclosure.personal_spans(frame(spark, rows))))
+
+
+def test_terms_are_counted_before_they_are_joined(spark, tmp_path):
+    """The join meets one row a term, in however many documents it occurs, also when the terms are few enough to be broadcast."""
+    from tests.conftest import plan_text
+
+    df = frame(spark, [(i, f"common word{i % 5} Common rare{i}") for i in range(50)] + [(None, None), (90, ""), (90, "")])
+    spark.createDataFrame([("common",), ("word3",), ("rare7",), ("absent",)], "term string").write.parquet(f"{tmp_path}/terms")
+    found = disclosure.document_frequencies(df, spark.read.parquet(f"{tmp_path}/terms"))
+    assert {r["term"]: r["dt"] for r in found.collect()} == {"common": 50, "word3": 10, "rare7": 1}
+    plan = plan_text(found, "simple")
+    assert plan.index("Join") < plan.index("HashAggregate") < plan.index("Generate")
