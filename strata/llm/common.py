@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,36 @@ def worker_cache() -> dict:
     return sys.modules.setdefault("_strata_llm_worker", types.ModuleType("_strata_llm_worker")).__dict__
 
 
+SHARED = ("powers",)  # entries of the worker's cache that are small and of use to several operators
+
+
+def give_back() -> None:
+    """Memory that this process has freed goes back to the system; allocators keep it otherwise, as long as the worker lives."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux") and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)
+
+
+def own_task(operator: str, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` as the function of an operator's tasks: they share a worker's cache with one another, not with those of other operators.
+
+    A worker outlives its stage.  What another operator keeps there is dropped before the first batch, and what a task has freed goes
+    back to the system after its last.
+    """
+
+    def task(batches):
+        cache = worker_cache()
+        if cache.get("owner") != operator:
+            for key in [k for k in cache if not k.startswith("__") and k not in SHARED]:
+                del cache[key]
+            cache["owner"] = operator
+            give_back()
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 def spread_join(left: DataFrame, right: DataFrame, key: str, heavy: list[int], by: str, salts: int = 32) -> DataFrame:
     """``left`` joined with ``right`` on ``key``, where the few keys ``heavy`` are dealt over ``salts`` tasks.
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, worker_cache, written
+from .common import id_text, own_task, worker_cache, written
 from .fm_index import FMIndex
 from .term_scan import FOLD
 from .word_hash import split_hashes
@@ -151,7 +151,7 @@ def windows_of(benchmark: DataFrame, window: int) -> tuple[DataFrame, DataFrame]
                     yield pa.RecordBatch.from_arrays([pa.array([item] * len(grams), pa.string()), pa.array([raw[8 * n * i:8 * n * (i + 1)] for i in range(len(grams))], pa.binary())], names=["item", "gram"])
 
     items = benchmark.where(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item"), "text")
-    each = written(items.mapInArrow(run, "item string, gram binary").distinct(), "windows")
+    each = written(items.mapInArrow(own_task("decontaminate", run), "item string, gram binary").distinct(), "windows")
     grams = written(each.select("gram").distinct().withColumn("number", F.monotonically_increasing_id()), "windows")
     return grams, written(each.join(grams, "gram").select("number", "item"), "windows")
 
@@ -216,7 +216,7 @@ def _searched(rows: DataFrame, block: Block, shard_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), pa.array([len(w) for w in documents], pa.int64()), _lists(doc, spans, n),
                                               _lists(pair[:, 0], pa.array(pair[:, 1], pa.int64()), n)], names=["row", "doc_id", "n_words", "spans", "windows"])
 
-    return rows.select("row", "doc_id", "text").mapInArrow(run, f"row long, doc_id long, n_words long, spans {SPANS}, windows array<long>")
+    return rows.select("row", "doc_id", "text").mapInArrow(own_task("decontaminate", run), f"row long, doc_id long, n_words long, spans {SPANS}, windows array<long>")
 
 
 def _merged_hits(parts: DataFrame) -> DataFrame:
@@ -232,7 +232,7 @@ def _merged_hits(parts: DataFrame) -> DataFrame:
             pairs = pa.StructArray.from_arrays([pa.array(start, pa.int64()), pa.array(end, pa.int64())], names=["start", "end"])
             yield pa.RecordBatch.from_arrays([batch.column("row"), _lists(doc, pairs, batch.num_rows), batch.column("windows")], names=["row", "spans", "windows"])
 
-    return hits.mapInArrow(run, f"row long, spans {SPANS}, windows array<long>")
+    return hits.mapInArrow(own_task("decontaminate", run), f"row long, spans {SPANS}, windows array<long>")
 
 
 def _items_found(hits: DataFrame, holders: DataFrame) -> DataFrame:
@@ -290,4 +290,4 @@ def _kept(docs: DataFrame, block: Block, shard_words: int) -> DataFrame:
             free[doc] = False
             yield batch.filter(pa.array(free))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(own_task("decontaminate", run), docs.schema)

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, mix64, shuffle_partitions, spread_join, written
+from .common import blocks, mix64, own_task, shuffle_partitions, spread_join, written
 from .components import components
 from .word_hash import split_hashes
 
@@ -119,7 +119,7 @@ def shingled(docs: DataFrame, n: int = WORDS) -> DataFrame:
                                          names=["doc_id", "content", "size", "cid", "sig", "body", "slot", "freq"])
 
     named = docs.select(row_key().alias("doc_id"), content_hash().alias("content"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    rows = named.mapInArrow(run, "doc_id long, content long, size long, cid long, sig binary, body binary, slot int, freq long")
+    rows = named.mapInArrow(own_task("near_join", run), "doc_id long, content long, size long, cid long, sig binary, body binary, slot int, freq long")
     return written(rows.withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
@@ -183,7 +183,7 @@ def tile_blobs(rows: DataFrame, sketch: np.ndarray, n: int, percent: int, bucket
                 out.append((int(bucket[idx[0]]), zstandard.ZstdCompressor(level=1).compress(raw)))
             yield pa.RecordBatch.from_arrays([pa.array([b for b, _ in out], pa.int64()), pa.array([b for _, b in out], pa.binary())], names=["bucket", "blob"])
 
-    return rows.where("size > 0").select("cid", "body").mapInArrow(run, "bucket long, blob binary")
+    return rows.where("size > 0").select("cid", "body").mapInArrow(own_task("near_join", run), "bucket long, blob binary")
 
 
 def read_tiles(blobs: list[bytes], whole: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -277,7 +277,7 @@ def bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("na", "nb"))
                 yield batch.filter(pa.array(may_link(na, nb, signatures(batch.column("sa")), signatures(batch.column("sb")), percent))).select(["a", "b"])
 
-    return pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(own_task("near_join", run), "a long, b long")
 
 
 def cross_pairs(tile, part, cid, size, place, root, sig, across, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -346,7 +346,7 @@ def bodies_of(pairs: DataFrame, members: DataFrame, n: int) -> DataFrame:
             wide = [signature(s, WIDE_BITS) for s in sets_of([comp.decompress(x) for x in batch.column("text").to_pylist()], n)]
             yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("size"), pa.array(wide, pa.binary()), batch.column("text")], names=["cid", "size", "sig", "body"])
 
-    return written(one.mapInArrow(run, "cid long, size long, sig binary, body binary"), "bodies")
+    return written(one.mapInArrow(own_task("near_join", run), "cid long, size long, sig binary, body binary"), "bodies")
 
 
 def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFrame:
@@ -371,7 +371,7 @@ def linked(pairs: DataFrame, members: DataFrame, n: int, percent: int) -> DataFr
                     keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    return written(pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long"), "links")
+    return written(pairs.join(side[0].hint("merge"), "a").join(side[1].hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(own_task("near_join", run), "a long, b long"), "links")
 
 
 def grouped(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, id_text, mix64
+from .common import blocks, id_text, mix64, own_task
 from .features import char_ngram_counts, collected_features, labelled_ids, logistic, sigmoid, unit_rows
 from .word_hash import split_hashes
 
@@ -176,7 +176,7 @@ def _scored(rows: DataFrame, model: Model | None, threshold: float, carried: lis
                 [batch.column("doc_id"), *[pa.array(base[k], pa.int64()) for k in names], pa.array(failed), pa.array(p, pa.float64()), pa.array(~failed & (p >= threshold))],
                 names=["doc_id", *names, "base_failed", "probability", "kept"])
 
-    return rows.mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean")
+    return rows.mapInArrow(own_task("quality_rules", run), "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean")
 
 
 def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
@@ -195,4 +195,4 @@ def keep_good(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD
                 ok &= m.probability(vectors(texts, words)) >= threshold
             yield batch.filter(pa.array(ok))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(own_task("quality_rules", run), docs.schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, id_text
+from .common import blocks, id_text, own_task
 
 KINDS = ("assign", "access", "hex", "random")
 MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -113,7 +113,7 @@ def train(docs: DataFrame) -> np.ndarray | None:
         cells = np.flatnonzero(total.reshape(-1))
         yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(total.reshape(-1)[cells], pa.int64())], names=["cell", "n"])
 
-    cells = id_text(docs).select("text").mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    cells = id_text(docs).select("text").mapInArrow(own_task("secrets", run), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(2 * N_SYMBOLS * N_SYMBOLS)
     for r in cells:
         counts[r["cell"]] = r["n"]
@@ -166,7 +166,7 @@ def scan(docs: DataFrame, ratio: np.ndarray | None, least: float = RATIO) -> Dat
             found = [[{"kind": k, "start": a, "end": b} for a, b, k in all_spans(t, ratio, least)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.list_(kind))], names=["doc_id", "spans"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
+    return id_text(docs).mapInArrow(own_task("secrets", run), "doc_id long, spans array<struct<kind:string,start:long,end:long>>")
 
 
 def redacted_text(text: str, spans: list[tuple[int, int, str]], mark: str = "[secret]") -> str:
@@ -188,7 +188,7 @@ def redact(docs: DataFrame, ratio: np.ndarray | None, least: float = RATIO) -> D
             texts = [t if t is None else redacted_text(t, all_spans(t, ratio, least)) for t in batch.column("text").to_pylist()]
             yield batch.set_column(text_at, "text", pa.array(texts, pa.string()))
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.mapInArrow(own_task("secrets", run), docs.schema)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out

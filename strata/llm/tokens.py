@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, id_text, worker_cache
+from .common import blocks, give_back, id_text, own_task, worker_cache
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
@@ -186,8 +186,10 @@ def token_pieces(docs: DataFrame, max_tokens: int, name: str = TOKENIZER, end_id
                 [batch.column("doc_id"), pa.array([len(raw) // 4 for raw in ids], pa.int64()),
                  pa.array([[zlib.crc32(raw[i:i + step]) for i in range(0, len(raw), step)] for raw in ids], pa.list_(pa.int64()))],
                 names=["doc_id", "doc_tokens", "crcs"])
+            del ids
+            give_back()
 
-    return id_text(docs).mapInArrow(run, "doc_id long, doc_tokens long, crcs array<long>")
+    return id_text(docs).mapInArrow(own_task("tokens", run), "doc_id long, doc_tokens long, crcs array<long>")
 
 
 def token_counts(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
@@ -198,7 +200,7 @@ def token_counts(docs: DataFrame, name: str = TOKENIZER) -> DataFrame:
         for batch in blocks(batches, BLOCK_BYTES):
             yield pa.RecordBatch.from_arrays([pa.array(np.diff(tok.encode(batch.column("text"))[1], prepend=0), pa.int64())], names=["length"])
 
-    return id_text(docs).select(F.col("text")).mapInArrow(run, "length long")
+    return id_text(docs).select(F.col("text")).mapInArrow(own_task("tokens", run), "length long")
 
 
 def token_ids(docs: DataFrame, name: str = TOKENIZER, end_id: int = END_ID) -> DataFrame:
@@ -210,4 +212,4 @@ def token_ids(docs: DataFrame, name: str = TOKENIZER, end_id: int = END_ID) -> D
             ids = [np.append(own, end_id).astype(np.int32) for own in _per_text(tok, batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
-    return id_text(docs).mapInArrow(run, "doc_id long, ids array<int>")
+    return id_text(docs).mapInArrow(own_task("tokens", run), "doc_id long, ids array<int>")
