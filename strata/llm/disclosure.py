@@ -25,6 +25,7 @@ LEAST_DOCS = 3  # documents in which a term must stand beside an entity before i
 LEAST_CHARS = 3  # shorter terms reveal nothing
 SALTS = 16
 RUN = 64  # matches that are summed up at once
+BETWEEN_TERMS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # in texts of either case
 
 # A match can begin at the start of a run only, or where the last match ended: runs are read once, however long they are.
 PATTERNS = {
@@ -138,13 +139,26 @@ def context_terms(found: DataFrame) -> DataFrame:
             .where((F.length("term") >= LEAST_CHARS) & F.col("term").rlike("[^0-9]")))
 
 
+def distinct_terms(text: Column) -> Column:
+    """The distinct terms of a text, folded.
+
+    ``translate`` makes a string of every character and a pattern of terms tests each by a chain of ranges: over whole texts that is most of
+    the operator's time and garbage.  So the text is cut between its terms, by a class that is a table in the engine, an ASCII text is folded by ``lower``
+    (A-Z are all that it can change there) and of other texts only the distinct terms are folded, those beyond ASCII by ``translate``.
+    """
+    plain = lambda t: F.octet_length(t) == F.char_length(t)
+    cut = lambda t: F.array_remove(F.array_distinct(F.split(t, BETWEEN_TERMS)), "")
+    fold = lambda t: F.when(plain(t), F.lower(t)).otherwise(folded(t))
+    return F.when(plain(text), cut(F.lower(text))).otherwise(F.array_distinct(F.transform(cut(text), fold)))
+
+
 def document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, dt``: in how many documents each of the distinct ``terms`` occurs.
 
     All terms of all documents are counted, per task before they are shuffled, so the work follows the text and not the number of
     terms in question.  The join is an inner one: a semi join would be pushed below the count, where it meets a row for each document of a term.
     """
-    each = docs.where(F.col("text").isNotNull()).select(F.explode(F.array_distinct(F.regexp_extract_all(folded(F.col("text")), F.lit(TERM_PATTERN), F.lit(0)))).alias("term"))
+    each = docs.where(F.col("text").isNotNull()).select(F.explode(distinct_terms(F.col("text"))).alias("term"))
     return each.groupBy("term").agg(F.count("*").alias("dt")).join(terms, "term")
 
 
